@@ -23,6 +23,15 @@ def json_object(message: str | Column) -> Column:
     return F.from_json(as_col(message), "map<string,variant>", JSON_OPTIONS)
 
 
+def decode_once(df: DataFrame, decoded: Column, name: str, *keep: str) -> DataFrame:
+    """``df`` with the decoded message as column ``name``.
+
+    It is passed through a one-element ``explode``, which Spark does not push
+    filters past. A plain projection would be decoded again in every filter on it.
+    """
+    return df.select(*keep, F.explode(F.array(decoded)).alias(name))
+
+
 def json_field(message: str | Column, name: str, dtype: str = "string") -> Column:
     """One field by name; only that field is decoded."""
     schema = T.StructType([T.StructField(name, T.StringType())])
@@ -87,7 +96,7 @@ def typed_rows(
         options["columnNameOfCorruptRecord"] = _CORRUPT
     else:
         options["mode"] = "FAILFAST"
-    decoded = df.select(*keep, F.from_json(message, as_text, options).alias("_m"))
+    decoded = decode_once(df, F.from_json(message, as_text, options), "_m", *keep)
     if lenient:
         decoded = decoded.where(F.col("_m").isNotNull() & F.col(f"_m.{_CORRUPT}").isNull())
 

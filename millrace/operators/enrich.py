@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from millrace.session import materialise
@@ -47,9 +48,13 @@ def lookup_join(df: DataFrame, dim: DataFrame, on: str, hot: Sequence = ()) -> D
 
 
 def lookup_map(df: DataFrame, on: str, mapping: dict[str, str], name: str) -> DataFrame:
-    """Left join to a mapping given in code."""
-    rows = df.sparkSession.createDataFrame(list(mapping.items()), f"{on} string, {name} string")
-    return lookup_join(df, rows, on)
+    """Left join to a mapping given in code.
+
+    Made from an Arrow table the mapping is a local relation, whose size the planner
+    knows when it decides on broadcasting.
+    """
+    rows = pa.table({on: list(mapping), name: list(mapping.values())})
+    return lookup_join(df, df.sparkSession.createDataFrame(rows), on)
 
 
 def service_lookup(

@@ -44,24 +44,25 @@ def add_range(
 ) -> DataFrame | None:
     """``df`` with the column ``_range``, or None when one range is enough.
 
-    One pass over the ordering columns finds their quantiles; the driver receives
-    at most ``MAX_RANGES`` numbers per column. A value of the first column that
-    fills whole ranges by itself is cut further by the second.
+    A count tells whether cutting is needed at all. One pass over the ordering
+    columns then finds their quantiles; the driver receives at most ``MAX_RANGES``
+    numbers per column. A value of the first column that fills whole ranges by itself
+    (and null) is cut further by the second.
     """
+    pieces = min(MAX_RANGES, math.ceil(df.count() / rows_per_range))
+    if pieces <= 1:
+        return None
     numbers = {f"_order{i}": order_number(c, df.schema[c].dataType) for i, c in enumerate(order[:2])}
     grid = ",".join(f"{i / MAX_RANGES}D" for i in range(1, MAX_RANGES))
     stats = (
         df.select(*[number.alias(name) for name, number in numbers.items()])
         .agg(
-            F.count(F.lit(1)).alias("rows"),
-            *[F.expr(f"percentile_approx({name}, array({grid}), 10000)").alias(name) for name in numbers],
+            *[F.expr(f"percentile_approx({name}, array({grid}), 10000)").alias(name) for name in numbers]
         )
         .first()
     )
-    pieces = min(MAX_RANGES, math.ceil(stats["rows"] / rows_per_range))
-    if pieces <= 1 or stats["_order0"] is None:
+    if stats["_order0"] is None:
         return None
-
     cuts = {name: _cuts(stats[name], pieces) for name in numbers if stats[name] is not None}
     out = df.withColumns(numbers)
     out = Bucketizer(
@@ -71,11 +72,15 @@ def add_range(
         handleInvalid="keep",
     ).transform(out)
 
-    number = F.col("_order0_piece").cast("bigint") * (2 * MAX_RANGES)
+    piece = F.col("_order0_piece").cast("bigint")
+    inner = F.lit(0)
+    if "_order1" in cuts:
+        inner = F.when(F.col("_order1").isNull(), -1).otherwise(F.col("_order1_piece").cast("bigint"))
     heavy = _repeated(cuts["_order0"])
-    if heavy and "_order1" in cuts:
-        inner = F.when(F.col("_order1").isNull(), -1).otherwise(F.col("_order1_piece"))
-        number += F.when(F.col("_order0").isin(heavy), inner.cast("bigint")).otherwise(0)
-    # nulls come first in an ascending order
-    number = F.when(F.col("_order0").isNull(), F.lit(-1).cast("bigint") * 2 * MAX_RANGES).otherwise(number)
+    # rows of equal first value are cut by the second; nulls come first
+    number = (
+        F.when(F.col("_order0").isNull(), inner - 2 * MAX_RANGES)
+        .when(F.col("_order0").isin(heavy), piece * 2 * MAX_RANGES + inner)
+        .otherwise(piece * 2 * MAX_RANGES)
+    )
     return out.withColumn(RANGE, number).drop(*numbers, *[f"{name}_piece" for name in cuts])

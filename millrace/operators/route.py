@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from millrace.functions.messages import as_long, has_key, json_object, raw_text
+from millrace.functions.messages import JSON_OPTIONS, as_long, decode_once, raw_text
 
 GROUP, MEMBER, CORRUPT = "group", "member", "corrupt"
 
@@ -17,11 +17,16 @@ ROUTED_SCHEMA = (
 )
 
 
-def kind_of(fields: Column, marker: str = "group_code") -> Column:
-    """``group`` when the marker key is present (even as null), else ``member``;
-    ``corrupt`` for text that is not a JSON object."""
+# Values stay as they came. A null one is a value here, only a missing key is null.
+_MESSAGE = "id variant, group_code variant, group_id variant, _corrupt_record string"
+
+
+def kind_of(message: Column) -> Column:
+    """``group`` when the key ``group_code`` is present (even as null), else
+    ``member``; ``corrupt`` for text that is not a JSON object."""
+    corrupt = message.isNull() | message["_corrupt_record"].isNotNull()
     return (
-        F.when(fields.isNull(), CORRUPT).when(has_key(fields, marker), GROUP).otherwise(MEMBER)
+        F.when(corrupt, CORRUPT).when(message["group_code"].isNotNull(), GROUP).otherwise(MEMBER)
     )
 
 
@@ -29,19 +34,18 @@ def route(messages: DataFrame, raw: bool = False) -> DataFrame:
     """Kafka-shaped messages as routed rows carrying their source position.
 
     Text payloads are plain by default; ``raw`` keeps them as JSON text, quotes
-    included. Each message is decoded once.
+    included. Each message is decoded once, and only the fields in use.
     """
-    decoded = messages.select(
-        json_object(F.col("value").cast("string")).alias("f"), "topic", "partition", "offset"
-    )
-    f = F.col("f")
+    message = F.from_json(F.col("value").cast("string"), _MESSAGE, JSON_OPTIONS)
+    decoded = decode_once(messages, message, "m", "topic", "partition", "offset")
+    m = F.col("m")
     text = raw_text if raw else (lambda v: v.cast("string"))
-    kind = kind_of(f)
+    kind = kind_of(m)
     return decoded.select(
         kind.alias("kind"),
-        as_long(f["id"]).alias("id"),
-        F.when(kind == GROUP, text(f["group_code"])).alias("group_code"),
-        F.when(kind == MEMBER, text(f["group_id"])).alias("group_id"),
+        as_long(m["id"]).alias("id"),
+        F.when(kind == GROUP, text(m["group_code"])).alias("group_code"),
+        F.when(kind == MEMBER, text(m["group_id"])).alias("group_id"),
         "topic",
         F.col("partition").cast("int").alias("partition_value"),
         F.col("offset").alias("offset_value"),

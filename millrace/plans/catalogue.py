@@ -320,9 +320,8 @@ select event_id, cast(json_extract_string(props, '$.k') as bigint) as k, event_n
 def q_json_enrich(spark: SparkSession, sf: str) -> DataFrame:
     named = lookup_map(table(spark, sf, "events"), "event_type", _NAMES, "event_name")
     message = json_text(put_field(json_object("props"), "event_name", F.col("event_name")))
-    return named.select("event_id", message.alias("m")).select(
-        "event_id", json_field("m", "k", "bigint").alias("k"),
-        json_field("m", "event_name").alias("event_name"),
+    return typed_rows(
+        named.select("event_id", message.alias("m")), "m", "k bigint, event_name string", "event_id"
     )
 
 
@@ -542,7 +541,7 @@ def _committed(spark: SparkSession, sf: str) -> tuple[SparkSession, str]:
 @query(f"""{_MESSAGES}
 select case when topic = 'groups' then 'group' else 'member' end as kind, * from msg""")
 def q_stream_commit(spark: SparkSession, sf: str) -> DataFrame:
-    return committed_rows(*_committed(spark, sf)).drop("batch_id")
+    return committed_rows(*_committed(spark, sf)).drop("run", "batch_id")
 
 
 @query(_MESSAGES + _NEWEST.format(name="offset_value"))

@@ -18,7 +18,7 @@ from millrace.operators.enrich import Fetch, lookup_map, service_lookup
 from millrace.operators.offsets import starting_offsets
 from millrace.operators.route import route, union_streams
 from millrace.operators.windows import report_line, tumbling
-from millrace.sinks.jdbc import WriteBatch
+from millrace.sinks.batches import WriteBatch
 from millrace.sinks.metrics import observe_kinds
 from millrace.sources.kafka import kafka_messages
 from millrace.streaming.event_time import with_bounded_lateness

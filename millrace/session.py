@@ -19,9 +19,12 @@ JOB_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
+# Set when a session starts: recording the call site of every column expression
+# slows down plan building.
+START_CONF = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+
 # Incremental state on the checkpoint's file system.
 STATE_CONF = {
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
@@ -34,7 +37,7 @@ def build_session(app: str = "millrace", master: str | None = None, **conf: str)
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    settings = {**JOB_CONF, **STATE_CONF, **{k.replace("__", "."): v for k, v in conf.items()}}
+    settings = {**START_CONF, **JOB_CONF, **STATE_CONF, **{k.replace("__", "."): v for k, v in conf.items()}}
     for key, value in settings.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()

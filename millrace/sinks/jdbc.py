@@ -9,10 +9,9 @@ the same transaction makes a replayed batch a no-op.
 Tables (``Outlet`` names the first two kinds):
 
 - result table: the outlet's columns
-- offset history: ``partition_value int, offset_value bigint, insert_time timestamp
-  not null default current_timestamp``
+- offset history: ``partition_value int, offset_value bigint, insert_time timestamp``
 - staging table: the columns of ``route.ROUTED_SCHEMA``
-- ledger: ``target varchar, batch_id bigint, committed_at timestamp``
+- ledger: ``target varchar, run varchar, batch_id bigint, committed_at timestamp``
 """
 
 from __future__ import annotations
@@ -23,20 +22,21 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
+from millrace.sinks.batches import WriteBatch, run_of
 from millrace.sources.jdbc import Database
 
-WriteBatch = Callable[[DataFrame, int], None]
 Stage = Callable[[DataFrame, str], None]
 Connect = Callable[[SparkSession], Any]
 
 
 @dataclass(frozen=True)
 class Outlet:
-    """The table that rows of one kind go to, and their offset history."""
+    """The table that rows of one kind go to, and the offset history of a topic."""
 
     kind: str
     table: str
     columns: tuple[str, ...]
+    topic: str | None = None
     offsets: str | None = None
 
 
@@ -72,7 +72,7 @@ def insert_offsets(outlet: Outlet, staging: str) -> str:
     return (
         f"INSERT INTO {outlet.offsets} (partition_value, offset_value, insert_time) "
         f"SELECT partition_value, MAX(offset_value), CURRENT_TIMESTAMP "
-        f"FROM {staging} WHERE kind = '{outlet.kind}' GROUP BY partition_value"
+        f"FROM {staging} WHERE topic = '{outlet.topic}' GROUP BY partition_value"
     )
 
 
@@ -104,10 +104,11 @@ def transaction(connection: Any, statements: Sequence[str]) -> None:
         connection.close()
 
 
-def _recorded(connection: Any, ledger: str, target: str, batch_id: int) -> bool:
+def _recorded(connection: Any, ledger: str, target: str, run: str, batch_id: int) -> bool:
     try:
         found = connection.createStatement().executeQuery(
-            f"SELECT COUNT(*) FROM {ledger} WHERE target = '{target}' AND batch_id = {batch_id}"
+            f"SELECT COUNT(*) FROM {ledger} "
+            f"WHERE target = '{target}' AND run = '{run}' AND batch_id = {batch_id}"
         )
         found.next()
         return found.getLong(1) > 0
@@ -121,15 +122,15 @@ def _write_groups(
     """A batch writer running one transaction per entry of ``groups``."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        todo = [t for t in groups if not _recorded(connect(spark), ledger, t, batch_id)]
-        if not todo or batch.isEmpty():
+        spark, run = batch.sparkSession, run_of(batch)
+        todo = [t for t in groups if not _recorded(connect(spark), ledger, t, run, batch_id)]
+        if not todo:
             return
         stage(batch, staging)
         for target in todo:
             record = (
-                f"INSERT INTO {ledger} (target, batch_id, committed_at) "
-                f"VALUES ('{target}', {batch_id}, CURRENT_TIMESTAMP)"
+                f"INSERT INTO {ledger} (target, run, batch_id, committed_at) "
+                f"VALUES ('{target}', '{run}', {batch_id}, CURRENT_TIMESTAMP)"
             )
             transaction(connect(spark), [*groups[target], record])
 
@@ -165,7 +166,6 @@ def rows_into_view(view: str, columns: Sequence[str]) -> WriteBatch:
     """A ``foreachBatch`` writer inserting into a view made by ``jdbc_view``."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        if not batch.isEmpty():
-            batch.select(*columns).write.insertInto(view)
+        batch.select(*columns).write.insertInto(view)
 
     return write

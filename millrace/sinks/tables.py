@@ -1,9 +1,11 @@
 """Batches into a folder of files, rows and source offsets committed together.
 
-Layout: ``rows/batch_id=N/kind=K`` holds the rows and ``offsets/batch_id=N`` the
-newest offset per source partition. The offsets are written last and mark the batch
-as committed: readers see the rows of marked batches only. Writing a batch again
-replaces it, so a replay neither loses nor repeats rows.
+Layout: ``rows/run=R/batch_id=N/kind=K`` holds the rows and
+``offsets/run=R/batch_id=N`` the newest offset per source partition, ``R`` being the
+streaming query. The offsets are written last and mark the batch as committed:
+readers see the rows of marked batches only. Writing a batch again replaces it, so a
+replay neither loses nor repeats rows. A query with a new checkpoint, started from
+``stored_offsets``, goes on in the same folder.
 """
 
 from __future__ import annotations
@@ -13,10 +15,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from millrace.operators.offsets import newest
 from millrace.operators.route import ROUTED_SCHEMA
 from millrace.session import path_exists
-from millrace.sinks.jdbc import WriteBatch
+from millrace.sinks.batches import WriteBatch, run_of
 
 _OFFSETS_SCHEMA = (
-    "topic string, partition_value int, offset_value bigint, insert_time timestamp, batch_id bigint"
+    "topic string, partition_value int, offset_value bigint, insert_time timestamp, "
+    "run string, batch_id bigint"
 )
 
 
@@ -25,8 +28,9 @@ def commit_to_folder(root: str) -> WriteBatch:
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        rows, offsets = f"{root}/rows/batch_id={batch_id}", f"{root}/offsets/batch_id={batch_id}"
-        if path_exists(spark, f"{offsets}/_SUCCESS") or batch.isEmpty():
+        place = f"run={run_of(batch)}/batch_id={batch_id}"
+        rows, offsets = f"{root}/rows/{place}", f"{root}/offsets/{place}"
+        if path_exists(spark, f"{offsets}/_SUCCESS"):
             return
         _replace(batch, rows, "kind")
         written = spark.read.schema(ROUTED_SCHEMA).parquet(rows)
@@ -36,6 +40,7 @@ def commit_to_folder(root: str) -> WriteBatch:
 
 
 def _replace(df: DataFrame, path: str, *partitions: str) -> None:
+    # static: nothing of an earlier attempt stays, whatever the session says
     writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
     (writer.partitionBy(*partitions) if partitions else writer).parquet(path)
 
@@ -47,8 +52,9 @@ def stored_offsets(spark: SparkSession, root: str) -> DataFrame:
 
 def committed_rows(spark: SparkSession, root: str) -> DataFrame:
     """The routed rows of the committed batches."""
-    rows = _read(spark, f"{root}/rows", f"{ROUTED_SCHEMA}, batch_id bigint")
-    return rows.join(stored_offsets(spark, root).select("batch_id").distinct(), "batch_id", "left_semi")
+    rows = _read(spark, f"{root}/rows", f"{ROUTED_SCHEMA}, run string, batch_id bigint")
+    batch = ["run", "batch_id"]
+    return rows.join(stored_offsets(spark, root).select(*batch).distinct(), batch, "left_semi")
 
 
 def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from millrace.sinks.jdbc import WriteBatch
+from millrace.sinks.batches import WriteBatch
 
 
 def start_batches(

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from millrace.operators.aggregate import keyed_totals
 from millrace.operators.ranges import ROWS_PER_RANGE
 from millrace.operators.running import running_totals
-from millrace.sinks.jdbc import WriteBatch
+from millrace.sinks.batches import WriteBatch
 
 
 def changelog_to_folder(
@@ -18,6 +18,7 @@ def changelog_to_folder(
     A batch is worked on in ranges like a table, so a hot key is spread over tasks,
     and starts from the totals the batch before left in ``totals/batch_id=N``. Rows
     with their totals go to ``changes/batch_id=N``. A replayed batch replaces both.
+    ``root`` belongs to one checkpoint, as batch numbers do.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:

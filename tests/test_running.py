@@ -1,0 +1,172 @@
+"""Running values and windows against brute force, over many ranges."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from millrace.operators.ranges import RANGE, add_range
+from millrace.operators.running import running, running_max, running_totals
+from millrace.operators.watermark import drop_late, flag_late, trace
+from millrace.operators.windows import assign_window, collect_window, report_line, tumbling
+
+
+def events(spark, n=2000, hot=0.4, ties=0.0, nulls=0.02, seed=1):
+    """Rows ``seq, t, k, v``; ``hot`` of them have key 0, ``ties`` of them time 500
+    and ``nulls`` of the others none."""
+    rng = random.Random(seed)
+    rows = [
+        (
+            i,
+            500 if rng.random() < ties else None if rng.random() < nulls else rng.randrange(1000),
+            0 if rng.random() < hot else rng.randrange(1, 20),
+            rng.randrange(100),
+        )
+        for i in range(n)
+    ]
+    return rows, spark.createDataFrame(rows, "seq long, t int, k int, v int").repartition(5)
+
+
+def in_order(rows):
+    return sorted(rows, key=lambda r: (r[1] is not None, r[1] or 0, r[0]))
+
+
+@pytest.mark.parametrize("ties", [0.0, 0.4, 1.0])
+@pytest.mark.parametrize("rows_per_range", [1_000_000, 100, 7])
+@pytest.mark.parametrize("include_current", [True, False])
+@pytest.mark.parametrize("how", ["sum", "max"])
+def test_running_matches_brute_force(spark, ties, rows_per_range, include_current, how):
+    rows, df = events(spark, 1200, ties=ties)
+    got = running(
+        df, value="v", how=how, keys=["k"], order=["t", "seq"], name="r",
+        include_current=include_current, rows_per_range=rows_per_range,
+    )
+    assert got.columns == ["seq", "t", "k", "v", "r"]
+    combine = (lambda a, b: a + b) if how == "sum" else max
+    reached, want = {}, {}
+    for seq, _, k, v in in_order(rows):
+        before = reached.get(k)
+        reached[k] = v if before is None else combine(before, v)
+        want[seq] = reached[k] if include_current else before
+    assert {r.seq: r.r for r in got.collect()} == want
+
+
+def test_running_without_keys(spark):
+    rows, df = events(spark, 500)
+    got = running_totals(df, [], ["seq"], "n", rows_per_range=50)
+    assert {r.seq: r.n for r in got.collect()} == {r[0]: r[0] + 1 for r in rows}
+
+
+@pytest.mark.parametrize("rows_per_range", [1_000_000, 50])
+def test_running_goes_on_from_earlier_totals(spark, rows_per_range):
+    rows, df = events(spark, 600)
+    first, second = df.where("seq < 250"), df.where("seq >= 250")
+    earlier = first.groupBy("k").agg(F.count("*").alias("n"))
+    got = running_totals(second, ["k"], ["seq"], "n", initial=earlier, rows_per_range=rows_per_range)
+    whole = running_totals(df, ["k"], ["seq"], "n").where("seq >= 250")
+    assert {r.seq: r.n for r in got.collect()} == {r.seq: r.n for r in whole.collect()}
+
+
+@pytest.mark.parametrize("ties,nulls", [(0.0, 0.02), (0.5, 0.02), (1.0, 0.0), (0.3, 0.5)])
+def test_ranges_are_bounded_and_in_order(spark, ties, nulls):
+    rows, df = events(spark, 3000, ties=ties, nulls=nulls)
+    ranged = add_range(df, ["t", "seq"], 100)
+    number = {r.seq: r[RANGE] for r in ranged.collect()}
+    numbers = [number[r[0]] for r in in_order(rows)]
+    assert numbers == sorted(numbers)
+    sizes = [numbers.count(n) for n in set(numbers)]
+    assert max(sizes) <= 150, sorted(sizes)[-5:]
+
+
+def test_one_range_is_not_cut(spark):
+    assert add_range(events(spark, 50)[1], ["seq"], 50) is None
+
+
+def test_order_must_be_numeric_or_time(spark):
+    with pytest.raises(TypeError):
+        add_range(spark.range(10).select(F.col("id").cast("string").alias("s")), ["s"], 2)
+
+
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz", "date"])
+def test_ranges_over_time_types(spark, kind):
+    ts = F.timestamp_seconds(F.col("id") * 40_000).cast(kind)
+    df = spark.range(400).select("id", ts.alias("t"))
+    got = running_totals(df, [], ["t", "id"], "n", rows_per_range=20)
+    assert {r.id: r.n for r in got.collect()} == {i: i + 1 for i in range(400)}
+
+
+def test_watermark_trace_of_the_sample(spark):
+    df = spark.createDataFrame([(0, "0001", 1790820682000)], "seq int, k string, ms long").select(
+        "seq", "k", F.timestamp_millis("ms").alias("ts")
+    )
+    row = trace(df, "ts", "10 SECONDS", ["k"], ["seq"]).select(
+        F.unix_millis("max_ts"), F.unix_millis("wm")
+    ).first()
+    assert tuple(row) == (1790820682000, 1790820672000)
+
+
+@pytest.mark.parametrize("rows_per_range", [1_000_000, 90])
+def test_late_rows_match_brute_force(spark, rows_per_range):
+    rng = random.Random(3)
+    rows = [(i, i % 3, max(0, i * 100 + rng.randrange(-15_000, 1_000))) for i in range(1500)]
+    df = spark.createDataFrame(rows, "seq int, p int, ms long").withColumn(
+        "ts", F.timestamp_millis("ms")
+    )
+    args = dict(ts="ts", width="3 seconds", delay="10 SECONDS", source=["p"], order=["seq"])
+    got = flag_late(df, **args, rows_per_range=rows_per_range)
+    seen, want = {}, {}
+    for seq, p, ms in rows:
+        end = ms // 3000 * 3000 + 3000
+        want[seq] = p in seen and end - 1 <= seen[p] - 10_000
+        seen[p] = max(seen.get(p, 0), ms)
+    assert {r.seq: r.is_late for r in got.collect()} == want
+    assert 0 < sum(want.values()) < len(want)
+    kept = drop_late(df, **args, rows_per_range=rows_per_range)
+    assert {r.seq for r in kept.collect()} == {s for s, late in want.items() if not late}
+
+
+def sample_events(spark):
+    base = 1790820681000
+    rows = [("a", 0), ("a", 2999), ("b", 1500), ("a", 3000)]
+    df = spark.createDataFrame([(k, base + ms) for k, ms in rows], "k string, ms long")
+    return df.select("k", F.timestamp_millis("ms").alias("ts"))
+
+
+def test_tumbling_windows_are_aligned(spark):
+    got = tumbling(sample_events(spark), "ts", "3 seconds", ["k"]).select(
+        "k", "cnt", F.unix_millis("ws") - 1790820681000, F.unix_millis("we") - 1790820681000
+    )
+    assert sorted(map(tuple, got.collect())) == [("a", 1, 3000, 6000), ("a", 2, 0, 3000), ("b", 1, 0, 3000)]
+
+
+def test_report_line(spark):
+    lines = report_line(tumbling(sample_events(spark).where("k = 'b'"), "ts", "3 seconds", ["k"]), "k")
+    assert lines.first().line == (
+        "b,1,2026-10-01 02:11:222026-10-01 02:11:222026-10-01 02:11:212026-10-01 02:11:24"
+    )
+
+
+@pytest.mark.parametrize("rows_per_range", [1_000_000, 64])
+def test_window_lists_are_whole_and_bounded(spark, rows_per_range):
+    # two thirds of the rows fall into one window
+    df = spark.range(900).select(
+        "id", F.timestamp_seconds(F.when(F.col("id") < 600, 5).otherwise(F.col("id"))).alias("ts")
+    )
+    got = collect_window(
+        df, "ts", "30 seconds", "id", ["ts", "id"], name="ids", chunk_rows=50,
+        rows_per_range=rows_per_range,
+    ).collect()
+    assert max(len(r.ids) for r in got) == 50 and all(r.cnt == len(r.ids) for r in got)
+    lists = {}
+    for r in sorted(got, key=lambda r: (r.ws, r.chunk)):
+        lists.setdefault(r.ws, []).extend(r.ids)
+    want = {}
+    for r in assign_window(df, "ts", "30 seconds").orderBy("ts", "id").collect():
+        want.setdefault(r.ws, []).append(r.id)
+    assert lists == want
+
+
+def test_running_max_keeps_the_order_of_arrival(spark):
+    df = spark.createDataFrame([(0, 5), (1, 3), (2, 9)], "seq int, v int")
+    got = running_max(df, "v", [], ["seq"], "m").orderBy("seq").collect()
+    assert [r.m for r in got] == [5, 5, 9]
