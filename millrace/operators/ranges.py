@@ -19,6 +19,9 @@ RANGE = "_range"
 ROWS_PER_RANGE = 1_000_000
 MAX_RANGES = 1_000
 
+# Cut points are read off about this many rows, a thousand to a range.
+CUT_ROWS = 1_000_000
+
 # Doubles hold every integer below this bound, so equal doubles mean equal values.
 _EXACT = 2.0**53
 
@@ -44,26 +47,28 @@ def add_range(
 ) -> DataFrame | None:
     """``df`` with the column ``_range``, or None when one range is enough.
 
-    A count tells whether cutting is needed at all. One pass over the ordering
-    columns then finds their quantiles; the driver receives at most ``MAX_RANGES``
-    numbers per column. A value of the first column that fills whole ranges by itself
-    (and null) is cut further by the second.
+    A count tells whether cutting is needed at all. The quantiles of the ordering
+    columns are then estimated; the driver receives at most ``MAX_RANGES`` numbers per
+    column. They only say where the cuts lie: every row falls in a range. A value of
+    the first column that fills whole ranges by itself (and null) is cut further by
+    the second.
     """
-    pieces = min(MAX_RANGES, math.ceil(df.count() / rows_per_range))
+    rows = df.count()
+    pieces = min(MAX_RANGES, math.ceil(rows / rows_per_range))
     if pieces <= 1:
         return None
     numbers = {f"_order{i}": order_number(c, df.schema[c].dataType) for i, c in enumerate(order[:2])}
     grid = ",".join(f"{i / MAX_RANGES}D" for i in range(1, MAX_RANGES))
+    seen = df if rows <= CUT_ROWS else df.sample(CUT_ROWS / rows, seed=0)
     stats = (
-        df.select(*[number.alias(name) for name, number in numbers.items()])
+        seen.select(*[number.alias(name) for name, number in numbers.items()])
         .agg(
             *[F.expr(f"percentile_approx({name}, array({grid}), 10000)").alias(name) for name in numbers]
         )
         .first()
     )
-    if stats["_order0"] is None:
-        return None
-    cuts = {name: _cuts(stats[name], pieces) for name in numbers if stats[name] is not None}
+    # a column of nulls has no quantiles; any cut does
+    cuts = {name: _cuts(stats[name], pieces) if stats[name] else [0.0] for name in numbers}
     out = df.withColumns(numbers)
     out = Bucketizer(
         splitsArray=[_splits(c) for c in cuts.values()],

@@ -69,7 +69,7 @@ def q_word_count(spark: SparkSession, sf: str) -> DataFrame:
     return keyed_totals(tokens(table(spark, sf, "documents"), "text"), ["word"], value="n")
 
 
-@query(f"select doc_id, word, 1 as n from ({_TOKENS.format(keep='doc_id,')})")
+@query(f"select doc_id, word, cast(1 as bigint) as n from ({_TOKENS.format(keep='doc_id,')})")
 def q_tokenize(spark: SparkSession, sf: str) -> DataFrame:
     return tokens(table(spark, sf, "documents"), "text", "doc_id")
 
@@ -428,15 +428,11 @@ def q_offset_max(spark: SparkSession, sf: str) -> DataFrame:
 
 def _offset_history(spark: SparkSession, sf: str) -> DataFrame:
     """The newest offsets of each 30 s batch; messages are a second apart."""
-    messages = _messages(spark, sf).withColumn("timestamp", utc_clock("timestamp"))
-    batches = assign_window(messages, "timestamp", "30 seconds")
-    return newest(
-        batches.select(
-            "topic", F.col("partition").alias("partition_value"),
-            F.col("offset").alias("offset_value"), "ws",
-        ),
-        "ws",
+    batches = assign_window(_messages(spark, sf), "timestamp", "30 seconds")
+    positions = batches.select(
+        "topic", F.col("partition").alias("partition_value"), F.col("offset").alias("offset_value"), "ws"
     )
+    return newest(positions, "ws").withColumn("ws", utc_clock("ws"))
 
 
 @query(f"""{_MESSAGES}

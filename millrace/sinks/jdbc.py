@@ -20,7 +20,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.sinks.batches import WriteBatch, run_of
 from millrace.sources.jdbc import Database
@@ -45,6 +45,22 @@ def append_rows(df: DataFrame, database: Database, table: str) -> None:
     _writer(df, database, table).option("isolationLevel", "NONE").mode("append").save()
 
 
+def append_per_table(outlets: Sequence[Outlet], database: Database) -> WriteBatch:
+    """A ``foreachBatch`` writer of routed rows with a plain insert per table; a
+    replayed batch is inserted again."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            for outlet in outlets:
+                rows = batch.where(F.col("kind") == outlet.kind).select(*outlet.columns)
+                append_rows(rows, database, outlet.table)
+        finally:
+            batch.unpersist()
+
+    return write
+
+
 def stage_rows(database: Database) -> Stage:
     """Replaces the rows of a staging table, keeping its definition."""
     return lambda df, table: _writer(df, database, table).option("truncate", "true").mode("overwrite").save()

@@ -10,7 +10,7 @@ import pytest
 
 from millrace.operators.route import ROUTED_SCHEMA
 from millrace.sinks.jdbc import (
-    Outlet, append_rows, commit_per_table, commit_with_offsets, compact_offsets, rows_into_view,
+    Outlet, append_per_table, append_rows, commit_per_table, commit_with_offsets, compact_offsets, rows_into_view,
     stage_rows, transaction,
 )
 from millrace.sources.jdbc import Database, _quoted, jdbc_query, jdbc_view
@@ -107,6 +107,15 @@ def test_each_table_has_its_transaction(db, batch):
     assert [e for e in db.log if e != "close"] == [("commit", 2), ("commit", 2)]
 
 
+def test_plain_inserts_go_to_each_table(monkeypatch, batch):
+    from millrace.sinks import jdbc
+
+    seen = []
+    monkeypatch.setattr(jdbc, "append_rows", lambda df, db, table: seen.append((table, list(map(tuple, df.collect())))))
+    append_per_table([GROUPS, MEMBERS], DB)(batch, 0)
+    assert seen == [("groups", [(1, "g")]), ("members", [(2, "m")])]
+
+
 def test_repeated_staging_rows_count_once(db, batch):
     writer(commit_with_offsets, db, [])(batch, 0)
     assert db.committed[0] == (

@@ -1,0 +1,80 @@
+"""What the plans look like: shuffles, pruning, and nothing that cannot scale."""
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__ as entry
+from millrace.operators import ranges
+from millrace.operators.running import running_totals
+
+SF = "/root/testdata/sf0.001"
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def query_plan(spark, name):
+    return plan(entry.queries()[name](spark, SF))
+
+
+@pytest.mark.parametrize("name", sorted(entry.queries()))
+def test_no_cross_join_and_no_single_task(spark, name):
+    text = query_plan(spark, name)
+    for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "SinglePartition", "CollectLimit"):
+        assert bad not in text
+
+
+@pytest.mark.parametrize("name,columns", [
+    ("q_tumbling_event_time", ["ts", "user_id"]),
+    ("q_running_count", ["event_id", "event_type"]),
+    ("q_word_count", ["text"]),
+    ("q_lookup_join", ["event_id", "event_type"]),
+    ("q_window_counts", ["ts"]),
+    ("q_json_field", ["event_id", "props"]),
+    ("q_offset_max", ["c_custkey", "o_orderkey"]),
+])
+def test_scans_read_only_what_is_used(spark, name, columns):
+    schemas = re.findall(r"ReadSchema: struct<(.*?)>\n", query_plan(spark, name) + "\n")
+    assert sorted(c.split(":")[0] for s in schemas for c in s.split(",")) == columns
+
+
+@pytest.mark.parametrize("name,shuffles", [
+    ("q_window_assign", 0), ("q_tokenize", 0), ("q_route_kind", 0), ("q_demux_member", 0),
+    ("q_csv_key_ts", 0), ("q_json_lenient", 0), ("q_lookup_join", 0), ("q_kafka_shape", 0),
+    ("q_tumbling_event_time", 1), ("q_word_count", 1), ("q_union_topics", 1), ("q_offset_max", 1),
+    ("q_window_counts", 1), ("q_window_collect", 1), ("q_late_flag", 1), ("q_running_count", 1),
+])
+def test_shuffles(spark, name, shuffles):
+    assert len(re.findall(r"(?<!Broadcast)Exchange hashpartitioning", query_plan(spark, name))) == shuffles
+
+
+@pytest.mark.parametrize("name", ["q_tumbling_event_time", "q_word_count", "q_union_topics", "q_offset_max"])
+def test_rows_are_combined_before_the_shuffle(spark, name):
+    text = query_plan(spark, name)
+    assert "partial_" in text[text.index("Exchange"):]
+
+
+@pytest.mark.parametrize("name", ["q_demux_group", "q_demux_member", "q_json_lenient"])
+def test_messages_are_decoded_once(spark, name):
+    assert query_plan(spark, name).count("from_json(") == 1
+
+
+def test_ranges_split_a_hot_key(spark, monkeypatch):
+    df = spark.range(20_000).select(F.col("id"), F.lit("hot").alias("k"))
+    # cut points from a part of the rows, as on large tables
+    monkeypatch.setattr(ranges, "CUT_ROWS", 5_000)
+    got = running_totals(df, ["k"], ["id"], "n", rows_per_range=500)
+    text = plan(got)
+    assert "hashpartitioning(k#" in text and "_range#" in text and "Join" not in text
+    assert got.where(F.col("n") != F.col("id") + 1).isEmpty() and got.count() == 20_000
+    sizes = ranges.add_range(df, ["id"], 500).groupBy(ranges.RANGE).count()
+    assert sizes.count() == 40 and sizes.agg(F.max("count")).first()[0] < 1_000
+
+
+def test_the_shared_folder_comes_from_the_session(spark):
+    from millrace import shared_dir
+
+    assert shared_dir(spark) == spark.sparkContext.getConf().get("spark.checkpoint.dir")

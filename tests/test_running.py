@@ -67,7 +67,7 @@ def test_running_goes_on_from_earlier_totals(spark, rows_per_range):
     assert {r.seq: r.n for r in got.collect()} == {r.seq: r.n for r in whole.collect()}
 
 
-@pytest.mark.parametrize("ties,nulls", [(0.0, 0.02), (0.5, 0.02), (1.0, 0.0), (0.3, 0.5)])
+@pytest.mark.parametrize("ties,nulls", [(0.0, 0.02), (0.5, 0.02), (1.0, 0.0), (0.3, 0.5), (0.0, 1.0)])
 def test_ranges_are_bounded_and_in_order(spark, ties, nulls):
     rows, df = events(spark, 3000, ties=ties, nulls=nulls)
     ranged = add_range(df, ["t", "seq"], 100)
