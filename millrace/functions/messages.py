@@ -18,9 +18,11 @@ _CORRUPT = "_corrupt_record"
 _LONG_MIN, _LONG_MAX = -(2**63), 2**63 - 1
 
 
-def json_object(message: str | Column) -> Column:
-    """The whole object, every value kept as it came; null for unparsable text."""
-    return F.from_json(as_col(message), "map<string,variant>", JSON_OPTIONS)
+def json_object(message: str | Column, strict: bool = False) -> Column:
+    """The whole object, every value kept as it came. Unparsable text gives null, or
+    fails the job when ``strict``."""
+    options = {**JSON_OPTIONS, "mode": "FAILFAST"} if strict else JSON_OPTIONS
+    return F.from_json(as_col(message), "map<string,variant>", options)
 
 
 def decode_once(df: DataFrame, decoded: Column, name: str, *keep: str) -> DataFrame:

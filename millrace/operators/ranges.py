@@ -1,9 +1,9 @@
-"""Cut an ordered table into ranges of bounded size.
+"""Cut the rows of hot keys into ranges of bounded size.
 
-A running value needs its rows in order, but one key may hold a third of them, so
-a key must not become one task. ``add_range`` gives every row the number of the
-slice of the order it falls in; rows of a lower slice come before all rows of a
-higher one.
+A running value needs the rows of a key in order, but one key may hold a third of
+all rows, so a hot key must not become one task. ``add_range`` gives every row of a
+hot key the number of the slice of the order it falls in; rows of a lower slice come
+before all rows of a higher one. The other keys are one slice each.
 """
 
 from __future__ import annotations
@@ -11,81 +11,115 @@ from __future__ import annotations
 import math
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.functions.times import order_number
 
 RANGE = "_range"
-ROWS_PER_RANGE = 1_000_000
-MAX_RANGES = 1_000
+ROWS_PER_RANGE = 4_000_000
+MAX_RANGES = 10_000
 
-# Cut points are read off about this many rows, a thousand to a range.
-CUT_ROWS = 1_000_000
+# A cut point is read off about this many rows to a range.
+ROWS_PER_CUT = 200
 
 # Doubles hold every integer below this bound, so equal doubles mean equal values.
 _EXACT = 2.0**53
 
-
-def _cuts(grid: list[float], pieces: int) -> list[float]:
-    """``pieces - 1`` of the grid's quantiles, evenly spaced."""
-    return [grid[i * (len(grid) + 1) // pieces - 1] for i in range(1, pieces)]
-
-
-def _splits(cuts: list[float]) -> list[float]:
-    """Cut points; a value filling a whole piece gets a piece of its own."""
-    points = set(cuts)
-    points |= {math.nextafter(v, math.inf) for v in _repeated(cuts)}
-    return [-math.inf, *sorted(points), math.inf]
-
-
-def _repeated(cuts: list[float]) -> list[float]:
-    return sorted({a for a, b in zip(cuts, cuts[1:]) if a == b and abs(a) < _EXACT})
+_HOT = "_is_hot"
 
 
 def add_range(
-    df: DataFrame, order: list[str], rows_per_range: int = ROWS_PER_RANGE
+    df: DataFrame, keys: list[str], order: list[str], rows_per_range: int = ROWS_PER_RANGE
 ) -> DataFrame | None:
-    """``df`` with the column ``_range``, or None when one range is enough.
+    """``df`` with the column ``_range``, or None when no key has more rows than a
+    range.
 
-    A count tells whether cutting is needed at all. The quantiles of the ordering
-    columns are then estimated; the driver receives at most ``MAX_RANGES`` numbers per
-    column. They only say where the cuts lie: every row falls in a range. A value of
-    the first column that fills whole ranges by itself (and null) is cut further by
-    the second.
+    The quantiles of the ordering columns over the rows of hot keys are estimated
+    and brought to the driver, a number per range and column at most. They only say
+    where the cuts lie: every row falls in a range. A value of the first column that
+    fills whole ranges by itself (and null) is cut further by the second.
     """
     rows = df.count()
-    pieces = min(MAX_RANGES, math.ceil(rows / rows_per_range))
-    if pieces <= 1:
+    limit = max(rows_per_range, math.ceil(rows / MAX_RANGES))
+    if rows <= limit:
+        return None
+    marked, hot_rows = _mark_hot(df, keys, rows, limit)
+    if marked is None:
         return None
+
+    pieces = math.ceil(hot_rows / limit)
     numbers = {f"_order{i}": order_number(c, df.schema[c].dataType) for i, c in enumerate(order[:2])}
-    grid = ",".join(f"{i / MAX_RANGES}D" for i in range(1, MAX_RANGES))
-    seen = df if rows <= CUT_ROWS else df.sample(CUT_ROWS / rows, seed=0)
-    stats = (
-        seen.select(*[number.alias(name) for name, number in numbers.items()])
-        .agg(
-            *[F.expr(f"percentile_approx({name}, array({grid}), 10000)").alias(name) for name in numbers]
-        )
-        .first()
-    )
-    # a column of nulls has no quantiles; any cut does
-    cuts = {name: _cuts(stats[name], pieces) if stats[name] else [0.0] for name in numbers}
-    out = df.withColumns(numbers)
+    numbered = marked.withColumns(numbers)
+    cuts = _cuts(numbered.where(_HOT).select(*numbers), hot_rows, pieces)
     out = Bucketizer(
         splitsArray=[_splits(c) for c in cuts.values()],
         inputCols=list(cuts),
         outputCols=[f"{name}_piece" for name in cuts],
         handleInvalid="keep",
-    ).transform(out)
+    ).transform(numbered)
+    number = F.when(F.col(_HOT), _number(cuts)).otherwise(0)
+    return out.withColumn(RANGE, number).drop(_HOT, *numbers, *[f"{name}_piece" for name in cuts])
+
+
+def _mark_hot(
+    df: DataFrame, keys: list[str], rows: int, limit: int
+) -> tuple[DataFrame | None, int]:
+    """``df`` telling the rows of keys with more than ``limit`` rows, and their number.
+
+    As there are at most ``MAX_RANGES`` times ``limit`` rows, there are no more than
+    ``MAX_RANGES`` hot keys, and those are broadcast.
+    """
+    if not keys:
+        return df.withColumn(_HOT, F.lit(True)), rows
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > limit)
+    found = counts.toArrow()
+    if not found.num_rows:
+        return None, 0
+    hot_rows = sum(found["_rows"].to_pylist())
+    hot = df.sparkSession.createDataFrame(found, counts.schema).select(
+        *[F.col(k).alias(f"_hot_{k}") for k in keys], F.lit(True).alias(_HOT)
+    )
+    same = [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys]
+    marked = df.join(F.broadcast(hot), same, "left").withColumn(_HOT, F.coalesce(_HOT, F.lit(False)))
+    return marked.drop(*[f"_hot_{k}" for k in keys]), hot_rows
+
+
+def _cuts(numbers: DataFrame, rows: int, pieces: int) -> dict[str, list[float]]:
+    """Per column, the values between its ``pieces`` quantiles."""
+    wanted = pieces * ROWS_PER_CUT
+    seen = numbers if rows <= wanted else numbers.sample(wanted / rows, seed=0)
+    grid = ",".join(f"{i / pieces}D" for i in range(1, pieces))
+    quantiles = [
+        F.expr(f"percentile_approx({name}, array({grid}), {max(10_000, 10 * pieces)})").alias(name)
+        for name in numbers.columns
+    ]
+    # a column of nulls has no quantiles; any cut does
+    return {name: found or [0.0] for name, found in seen.agg(*quantiles).first().asDict().items()}
+
+
+def _splits(cuts: list[float]) -> list[float]:
+    """Cut points; a value filling a whole piece gets a piece of its own."""
+    points = set(cuts)
+    points |= {math.nextafter(v, math.inf) for v in _repeated(cuts)}
+    return [-math.inf, *sorted(points), math.inf]
+
+
+def _repeated(cuts: list[float]) -> list[float]:
+    return sorted({a for a, b in zip(cuts, cuts[1:]) if a == b and abs(a) < _EXACT})
+
 
-    piece = F.col("_order0_piece").cast("bigint")
+def _number(cuts: dict[str, list[float]]) -> Column:
+    """The range's number from the pieces of the ordering columns, positive as 0 is
+    the range of the keys that are not hot."""
+    width = 2 * MAX_RANGES + 2
+    piece = F.col("_order0_piece").cast("bigint") + 2
     inner = F.lit(0)
     if "_order1" in cuts:
-        inner = F.when(F.col("_order1").isNull(), -1).otherwise(F.col("_order1_piece").cast("bigint"))
+        inner = F.when(F.col("_order1").isNull(), 0).otherwise(F.col("_order1_piece").cast("bigint") + 1)
     heavy = _repeated(cuts["_order0"])
     # rows of equal first value are cut by the second; nulls come first
-    number = (
-        F.when(F.col("_order0").isNull(), inner - 2 * MAX_RANGES)
-        .when(F.col("_order0").isin(heavy), piece * 2 * MAX_RANGES + inner)
-        .otherwise(piece * 2 * MAX_RANGES)
+    return (
+        F.when(F.col("_order0").isNull(), width + inner)
+        .when(F.col("_order0").isin(heavy), piece * width + inner)
+        .otherwise(piece * width)
     )
-    return out.withColumn(RANGE, number).drop(*numbers, *[f"{name}_piece" for name in cuts])

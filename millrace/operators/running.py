@@ -1,8 +1,8 @@
 """Running values per key in arrival order.
 
-The work is split by key *and* range of the order: each range is summed up first,
-the value reached before a range starts is carried into it as one seed row, and
-the ranges then run independently. No task ever holds a whole key.
+A hot key is split into ranges of the order: each range is summed up first, the value
+reached before a range starts is carried into it as one seed row, and the ranges then
+run independently. No task holds a whole hot key.
 """
 
 from __future__ import annotations
@@ -34,12 +34,15 @@ def running(
     ``order`` must order the rows of a key without ties. With ``include_current``
     off, a row sees only the rows before it (null for the first). ``initial`` holds
     the values reached before this table, as ``keys`` and ``name``.
+
+    With hot keys the input is computed several times: if it is costly, pass in a
+    written table (``session.materialise``).
     """
     combine = _COMBINE[how]
     keys = keys or []
     upto = Window.currentRow if include_current else -1
     source = df.withColumn(_VALUE, F.col(value) if isinstance(value, str) else value)
-    ranged = add_range(source, order, rows_per_range)
+    ranged = add_range(source, keys, order, rows_per_range)
 
     if ranged is None and initial is not None:
         ranged = source.withColumn(RANGE, F.lit(0).cast("bigint"))
@@ -48,9 +51,10 @@ def running(
         seen = ordered.rowsBetween(Window.unboundedPreceding, upto)
         return source.withColumn(name, combine(_VALUE).over(seen)).drop(_VALUE)
 
-    totals = ranged.groupBy(*keys, RANGE).agg(combine(_VALUE).alias(_VALUE))
+    carried = ranged if initial is not None else ranged.where(F.col(RANGE) > 0)
+    totals = carried.groupBy(*keys, RANGE).agg(combine(_VALUE).alias(_VALUE))
     if initial is not None:
-        before_all = F.lit(-(2**63)).cast("bigint").alias(RANGE)
+        before_all = F.lit(-1).cast("bigint").alias(RANGE)
         totals = totals.unionByName(initial.select(*keys, before_all, F.col(name).alias(_VALUE)))
     earlier = Window.partitionBy(*keys).orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
     seeds = (

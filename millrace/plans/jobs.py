@@ -32,11 +32,13 @@ def word_count(lines: DataFrame) -> DataFrame:
 
 def name_events(messages: DataFrame, names: dict[str, str]) -> DataFrame:
     """JSON events (column ``value``) with ``event_name`` looked up by ``event_id``;
-    an unknown id adds nothing."""
+    an unknown id adds nothing. A record that is not JSON fails the job."""
     keyed = messages.select("value", json_field("value", "event_id").alias("event_id"))
     named = lookup_map(keyed, "event_id", names, "event_name")
     return named.select(
-        json_text(put_field(json_object("value"), "event_name", F.col("event_name"))).alias("value")
+        json_text(
+            put_field(json_object("value", strict=True), "event_name", F.col("event_name"))
+        ).alias("value")
     )
 
 

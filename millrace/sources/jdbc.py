@@ -24,11 +24,14 @@ class Database:
     def connect(self, spark: SparkSession) -> Any:
         """A connection of the driver program, for short transactions."""
         jvm = spark._jvm
-        jvm.org.apache.spark.sql.execution.datasources.jdbc.DriverRegistry.register(self.driver)
         properties = jvm.java.util.Properties()
         for key, value in self.properties.items():
             properties.setProperty(key, value)
-        return jvm.java.sql.DriverManager.getConnection(self.url, properties)
+        loader = jvm.java.lang.Thread.currentThread().getContextClassLoader()
+        connection = loader.loadClass(self.driver).newInstance().connect(self.url, properties)
+        if connection is None:
+            raise ValueError(f"{self.driver} does not accept {self.url}")
+        return connection
 
 
 def jdbc_query(spark: SparkSession, database: Database, query: str) -> DataFrame:

@@ -23,16 +23,18 @@ def changelog_to_folder(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        # used three times; the source is read once
-        batch.persist()
         initial = spark.read.parquet(f"{root}/totals/batch_id={batch_id - 1}") if batch_id else None
-        changes = running_totals(batch, keys, order, name, initial=initial, rows_per_range=rows_per_range)
-        changes.write.mode("overwrite").parquet(f"{root}/changes/batch_id={batch_id}")
-        totals = keyed_totals(batch, keys, name)
-        if initial is not None:
-            totals = keyed_totals(totals.unionByName(initial), keys, name, F.col(name))
-        totals.write.mode("overwrite").parquet(f"{root}/totals/batch_id={batch_id}")
-        batch.unpersist()
+        # used several times, so the source is read once
+        batch.persist()
+        try:
+            changes = running_totals(batch, keys, order, name, initial=initial, rows_per_range=rows_per_range)
+            changes.write.mode("overwrite").parquet(f"{root}/changes/batch_id={batch_id}")
+            totals = keyed_totals(batch, keys, name)
+            if initial is not None:
+                totals = keyed_totals(totals.unionByName(initial), keys, name, F.col(name))
+            totals.write.mode("overwrite").parquet(f"{root}/totals/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
 
     return write
 

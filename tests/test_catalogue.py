@@ -1,4 +1,5 @@
-"""Every registered query against its SQL on the small tables."""
+"""Every registered query against its SQL on the small tables, and its plan against
+nodes that cannot scale."""
 
 import decimal
 import glob
@@ -42,6 +43,9 @@ def test_query_matches_sql(spark, duck, name):
     assert sorted(got.columns) == sorted(names)
     assert rows, "an empty result shows nothing"
     assert bag(got.columns, rows) == bag(names, want.fetchall())
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "SinglePartition", "CollectLimit"):
+        assert bad not in plan
 
 
 def test_entry_runs(spark):

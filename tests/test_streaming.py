@@ -143,6 +143,12 @@ def test_named_events_stream(spark, tmp_path):
     ]
 
 
+def test_an_event_that_is_not_json_fails_the_job(spark):
+    lines = spark.createDataFrame([("not json",)], "value string")
+    with pytest.raises(Exception, match="MALFORMED"):
+        name_events(lines, {"1001": "1001name"}).collect()
+
+
 def test_clients_are_looked_up_on_the_stream(spark, tmp_path):
     write_files(tmp_path / "in", [["jack,client-id-jack", "jill,bad"]])
 
