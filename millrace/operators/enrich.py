@@ -64,6 +64,7 @@ def service_lookup(
     fetch: Fetch,
     on_error: str = "null",
     hot_share: float = 0.01,
+    tasks: int | None = None,
 ) -> DataFrame:
     """Add ``name``, the service's answer for ``key``, and ``<name>_error``.
 
@@ -71,9 +72,10 @@ def service_lookup(
     exception object among the answers marks that key as failed. It runs on the
     executors. A failed key gets null, or ``""`` with ``on_error="empty"``.
 
-    A table asks once per distinct key: the answers are written to the shared
-    folder, so no later failure repeats a request, and joined back. A stream asks
-    once per distinct key of each Arrow batch, where the rows are.
+    A table asks once per distinct key, in as many ``tasks`` as there are cores by
+    default: the answers are written to the shared folder, so no later failure repeats
+    a request, and joined back. A stream asks once per distinct key of each Arrow
+    batch, where the rows are.
     """
     if on_error not in ("null", "empty"):
         raise ValueError("on_error is 'null' or 'empty'")
@@ -81,7 +83,9 @@ def service_lookup(
         raise TypeError(f"{key} must be a string column")
     if df.isStreaming:
         return _ask_in_place(df, key, name, fetch, on_error)
-    keys = df.select(key).where(F.col(key).isNotNull()).distinct()
+    # keys are small, and adaptive execution would put them all into a task or two
+    tasks = tasks or df.sparkSession.sparkContext.defaultParallelism
+    keys = df.select(key).where(F.col(key).isNotNull()).distinct().repartition(tasks)
     answers = materialise(_ask_in_place(keys, key, name, fetch, on_error), "answers")
     return lookup_join(df, answers, key, hot_keys(df, key, hot_share))
 

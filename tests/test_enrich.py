@@ -71,6 +71,16 @@ def test_service_is_asked_once_per_key(spark, tmp_path):
         assert sorted(f.read().split()) == ["a", "b", "bad", "hot"]
 
 
+def test_requests_are_spread_over_tasks(spark):
+    def fetch(keys):
+        from pyspark import TaskContext
+
+        return [str(TaskContext.get().partitionId())] * len(keys)
+
+    df = spark.range(200).select(F.col("id").cast("string").alias("k"))
+    assert service_lookup(df, "k", "task", fetch, tasks=5).select("task").distinct().count() == 5
+
+
 def test_failed_keys_can_be_empty(spark):
     got = service_lookup(clients(spark), "client", "xuid", lambda keys: [OSError("x")] * len(keys), "empty")
     assert {(r.client, r.xuid) for r in got.collect()} == {

@@ -171,7 +171,9 @@ def test_report_line(spark):
 @pytest.mark.parametrize("rows_per_range", [1_000_000, 64])
 def test_window_lists_are_whole_and_bounded(spark, rows_per_range):
     # two thirds of the rows fall into one window
-    df = spark.range(900).select(
+    session = spark.newSession()
+    session.conf.set("spark.sql.session.timeZone", "America/New_York")
+    df = session.range(900).select(
         "id", F.timestamp_seconds(F.when(F.col("id") < 600, 5).otherwise(F.col("id"))).alias("ts")
     )
     got = collect_window(
