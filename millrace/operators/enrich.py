@@ -32,15 +32,17 @@ def lookup_join(df: DataFrame, dim: DataFrame, on: str, hot: Sequence = ()) -> D
 
     No broadcast hint is given: Spark broadcasts ``dim`` when its size is under
     the session's threshold and shuffles otherwise, splitting skewed partitions.
-    Keys named in ``hot`` skip that shuffle: their few ``dim`` rows (one per key)
-    are broadcast to the rows wherever they are. So do null keys, which match
-    nothing.
+    Keys named in ``hot`` skip that shuffle: their ``dim`` rows, checked to be one
+    per key at most, are broadcast to the rows wherever they are. So do null keys,
+    which match nothing.
     """
     if not hot:
         return df.join(dim, on, "left")
     is_hot = F.col(on).isin(list(hot))
     stays = F.col(on).isNull() | is_hot
     few = dim.where(is_hot)
+    if few.limit(len(hot) + 1).count() > len(hot):
+        raise ValueError(f"the lookup table has several rows for one {on}")
     return (
         df.where(stays).join(F.broadcast(few), on, "left")
         .unionByName(df.where(~stays).join(dim.where(~is_hot), on, "left"))

@@ -41,6 +41,12 @@ def test_lookup_join_keeps_every_row_once(spark, threshold):
     assert rows(split) == want
 
 
+def test_lookup_table_must_have_one_row_per_hot_key(spark):
+    dim = spark.createDataFrame([(7, "a"), (7, "b")], "k long, name string")
+    with pytest.raises(ValueError, match="several rows"):
+        lookup_join(facts(spark), dim, "k", [7])
+
+
 def test_mapping_is_broadcast_and_misses_are_null(spark):
     df = spark.createDataFrame([("1001",), ("7",), (None,)], "event_id string")
     named = lookup_map(df, "event_id", {"1001": "1001name"}, "event_name")
