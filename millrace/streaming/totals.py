@@ -2,28 +2,36 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.operators.aggregate import keyed_totals
 from millrace.operators.ranges import ROWS_PER_RANGE
 from millrace.operators.running import running_totals
 from millrace.sinks.batches import WriteBatch
 
+FULL_EVERY = 20
+
 
 def changelog_to_folder(
-    root: str, keys: list[str], order: list[str], name: str, rows_per_range: int = ROWS_PER_RANGE
+    root: str,
+    keys: list[str],
+    order: list[str],
+    name: str,
+    rows_per_range: int = ROWS_PER_RANGE,
+    full_every: int = FULL_EVERY,
 ) -> WriteBatch:
     """A ``foreachBatch`` writer of the changelog of a keyed row count.
 
     A batch is worked on in ranges like a table, so a hot key is spread over tasks,
-    and starts from the totals the batch before left in ``totals/batch_id=N``. Rows
-    with their totals go to ``changes/batch_id=N``. A replayed batch replaces both.
+    and starts from the totals the batches before left. Rows with their totals go to
+    ``changes/batch_id=N``. The totals of the batch's keys go to
+    ``totals/batch_id=N``, with every ``full_every``-th batch those of all keys, so
+    that only the totals since then are read. A replayed batch replaces both.
     ``root`` belongs to one checkpoint, as batch numbers do.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        initial = spark.read.parquet(f"{root}/totals/batch_id={batch_id - 1}") if batch_id else None
+        initial = _totals_before(batch.sparkSession, root, batch_id, full_every, keys, name)
         # used several times, so the source is read once
         batch.persist()
         try:
@@ -31,7 +39,7 @@ def changelog_to_folder(
             changes.write.mode("overwrite").parquet(f"{root}/changes/batch_id={batch_id}")
             totals = keyed_totals(batch, keys, name)
             if initial is not None:
-                totals = keyed_totals(totals.unionByName(initial), keys, name, F.col(name))
+                totals = _updated(totals, initial, keys, name, everything=batch_id % full_every == 0)
             totals.write.mode("overwrite").parquet(f"{root}/totals/batch_id={batch_id}")
         finally:
             batch.unpersist()
@@ -39,6 +47,26 @@ def changelog_to_folder(
     return write
 
 
+def _totals_before(
+    spark: SparkSession, root: str, batch_id: int, full_every: int, keys: list[str], name: str
+) -> DataFrame | None:
+    if batch_id == 0:
+        return None
+    full = (batch_id - 1) // full_every * full_every
+    paths = [f"{root}/totals/batch_id={i}" for i in range(full, batch_id)]
+    written = spark.read.option("basePath", f"{root}/totals").parquet(*paths)
+    return latest_totals(written, keys, name)
+
+
+def _updated(
+    batch: DataFrame, before: DataFrame, keys: list[str], name: str, everything: bool
+) -> DataFrame:
+    """The totals of the keys of a batch, or of all keys."""
+    parts = batch.withColumn("_new", F.lit(True)).unionByName(before.withColumn("_new", F.lit(False)))
+    totals = parts.groupBy(*keys).agg(F.sum(name).alias(name), F.bool_or("_new").alias("_new"))
+    return (totals if everything else totals.where("_new")).drop("_new")
+
+
 def updates_to_folder(root: str) -> WriteBatch:
     """A ``foreachBatch`` writer for output mode ``update``: the totals a batch
     changed go to ``batch_id=N``."""
@@ -50,5 +78,5 @@ def updates_to_folder(root: str) -> WriteBatch:
 
 
 def latest_totals(updates: DataFrame, keys: list[str], name: str) -> DataFrame:
-    """The last total of each key among the updates written by ``updates_to_folder``."""
+    """The last total of each key among totals written by batch."""
     return updates.groupBy(*keys).agg(F.max_by(name, "batch_id").alias(name))
