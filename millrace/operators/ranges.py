@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from millrace.functions.times import order_number
 
 RANGE = "_range"
+HOT = "_is_hot"
 ROWS_PER_RANGE = 4_000_000
 MAX_RANGES = 10_000
 
@@ -25,14 +26,13 @@ ROWS_PER_CUT = 200
 # Doubles hold every integer below this bound, so equal doubles mean equal values.
 _EXACT = 2.0**53
 
-_HOT = "_is_hot"
 
 
 def add_range(
     df: DataFrame, keys: list[str], order: list[str], rows_per_range: int = ROWS_PER_RANGE
 ) -> DataFrame | None:
-    """``df`` with the column ``_range``, or None when no key has more rows than a
-    range.
+    """``df`` with the columns ``_range`` and ``_is_hot``, or None when no key has more
+    rows than a range.
 
     The quantiles of the ordering columns over the rows of hot keys are estimated
     and brought to the driver, a number per range and column at most. They only say
@@ -50,15 +50,15 @@ def add_range(
     pieces = math.ceil(hot_rows / limit)
     numbers = {f"_order{i}": order_number(c, df.schema[c].dataType) for i, c in enumerate(order[:2])}
     numbered = marked.withColumns(numbers)
-    cuts = _cuts(numbered.where(_HOT).select(*numbers), hot_rows, pieces)
+    cuts = _cuts(numbered.where(HOT).select(*numbers), hot_rows, pieces)
     out = Bucketizer(
         splitsArray=[_splits(c) for c in cuts.values()],
         inputCols=list(cuts),
         outputCols=[f"{name}_piece" for name in cuts],
         handleInvalid="keep",
     ).transform(numbered)
-    number = F.when(F.col(_HOT), _number(cuts)).otherwise(0)
-    return out.withColumn(RANGE, number).drop(_HOT, *numbers, *[f"{name}_piece" for name in cuts])
+    number = F.when(F.col(HOT), _number(cuts)).otherwise(0)
+    return out.withColumn(RANGE, number).drop(*numbers, *[f"{name}_piece" for name in cuts])
 
 
 def _mark_hot(
@@ -70,17 +70,17 @@ def _mark_hot(
     ``MAX_RANGES`` hot keys, and those are broadcast.
     """
     if not keys:
-        return df.withColumn(_HOT, F.lit(True)), rows
+        return df.withColumn(HOT, F.lit(True)), rows
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > limit)
     found = counts.toArrow()
     if not found.num_rows:
         return None, 0
     hot_rows = sum(found["_rows"].to_pylist())
     hot = df.sparkSession.createDataFrame(found, counts.schema).select(
-        *[F.col(k).alias(f"_hot_{k}") for k in keys], F.lit(True).alias(_HOT)
+        *[F.col(k).alias(f"_hot_{k}") for k in keys], F.lit(True).alias(HOT)
     )
     same = [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys]
-    marked = df.join(F.broadcast(hot), same, "left").withColumn(_HOT, F.coalesce(_HOT, F.lit(False)))
+    marked = df.join(F.broadcast(hot), same, "left").withColumn(HOT, F.coalesce(HOT, F.lit(False)))
     return marked.drop(*[f"_hot_{k}" for k in keys]), hot_rows
 
 
@@ -109,8 +109,8 @@ def _repeated(cuts: list[float]) -> list[float]:
 
 
 def _number(cuts: dict[str, list[float]]) -> Column:
-    """The range's number from the pieces of the ordering columns, positive as 0 is
-    the range of the keys that are not hot."""
+    """The range's number from the pieces of the ordering columns; the keys that are
+    not hot have the range 0."""
     width = 2 * MAX_RANGES + 2
     piece = F.col("_order0_piece").cast("bigint") + 2
     inner = F.lit(0)

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from millrace.operators.ranges import RANGE, ROWS_PER_RANGE, add_range
+from millrace.operators.ranges import HOT, RANGE, ROWS_PER_RANGE, add_range
 
 _VALUE = "_value"
 _SEED = "_is_seed"
@@ -45,13 +45,13 @@ def running(
     ranged = add_range(source, keys, order, rows_per_range)
 
     if ranged is None and initial is not None:
-        ranged = source.withColumn(RANGE, F.lit(0).cast("bigint"))
+        ranged = source.withColumns({RANGE: F.lit(0).cast("bigint"), HOT: F.lit(False)})
     if ranged is None:
         ordered = Window.partitionBy(*keys).orderBy(*order)
         seen = ordered.rowsBetween(Window.unboundedPreceding, upto)
         return source.withColumn(name, combine(_VALUE).over(seen)).drop(_VALUE)
 
-    carried = ranged if initial is not None else ranged.where(F.col(RANGE) > 0)
+    carried = ranged if initial is not None else ranged.where(HOT)
     totals = carried.groupBy(*keys, RANGE).agg(combine(_VALUE).alias(_VALUE))
     if initial is not None:
         before_all = F.lit(-1).cast("bigint").alias(RANGE)
@@ -71,7 +71,7 @@ def running(
     return (
         rows.withColumn(name, combine(_VALUE).over(within))
         .where(~F.col(_SEED))
-        .drop(_VALUE, _SEED, RANGE)
+        .drop(_VALUE, _SEED, RANGE, HOT)
     )
 
 
