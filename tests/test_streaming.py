@@ -229,6 +229,20 @@ def test_messages_are_committed_with_their_offsets(spark, tmp_path):
     assert all(m["millis"] >= 0 for m in metrics)
 
 
+def test_batches_without_rows_leave_nothing_to_see(spark, tmp_path):
+    write_files(tmp_path / "in", [envelope(spark, GROUPS), envelope(spark, MEMBERS)])
+    root = f"{tmp_path}/out"
+    members_only = message_stream(spark, tmp_path).where("topic = 'members'")
+    messages_to_tables(members_only, commit_to_folder(root), f"{tmp_path}/checkpoint", None).awaitTermination()
+    assert committed_rows(spark, root).count() == len(MEMBERS)
+    assert [r.batch_id for r in stored_offsets(spark, root).collect()] == [1]
+
+
+def test_nothing_is_committed_before_the_first_batch(spark, tmp_path):
+    assert committed_rows(spark, str(tmp_path)).isEmpty()
+    assert starting_offsets(stored_offsets(spark, str(tmp_path)), {"groups": [0]}) == "earliest"
+
+
 def test_a_new_checkpoint_goes_on_from_the_stored_offsets(spark, tmp_path):
     root = f"{tmp_path}/out"
 
