@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import kneser_ney
+from millrace.llm import kneser_ney, quality_rules, rule_ensemble
 from millrace.llm.shipping import shipped
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,3 +26,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op1_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Kneser-Ney scores of all documents, trained on nine folds of ten."""
     return kneser_ney.held_out_scores(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of the sparse rule ensemble for all documents."""
+    return rule_ensemble.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts, base rules and the n-gram classifier's verdict for all documents."""
+    docs = table(spark, sf_dir, "documents")
+    return quality_rules.judged(docs, quality_rules.train(docs, table(spark, sf_dir, "labels"))).drop("probability")
