@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from millrace.llm import kneser_ney, quality_rules, rule_ensemble
+from millrace.llm import hilbert, kneser_ney, mixing, quality_rules, rule_ensemble
 from millrace.llm.shipping import shipped
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,3 +40,19 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, base rules and the n-gram classifier's verdict for all documents."""
     docs = table(spark, sf_dir, "documents")
     return quality_rules.judged(docs, quality_rules.train(docs, table(spark, sf_dir, "labels"))).drop("probability")
+
+
+@query
+def op7_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents along the Hilbert curve over language, source and size, in 16 shards."""
+    rows = hilbert.placed(table(spark, sf_dir, "documents"))
+    return rows.select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
+@query
+def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words the mix takes of every document."""
+    rows = mixing.copies(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
