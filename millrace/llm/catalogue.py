@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import hilbert, kneser_ney, mixing, quality_rules, rule_ensemble
+from millrace.llm import hilbert, kneser_ney, mixing, quality_rules, repair, rule_ensemble
 from millrace.llm.shipping import shipped
 
+#: Where the public tokenizers' files are on every machine.
+TOKENIZERS = os.environ.get("MILLRACE_TOKENIZERS", "/opt/tokenizers")
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -56,3 +60,10 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words the mix takes of every document."""
     rows = mixing.copies(table(spark, sf_dir, "documents"))
     return rows.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
+
+
+@query
+def op9_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents' ids as Re-Pair blocks, written, read back and decoded."""
+    docs = table(spark, sf_dir, "documents")
+    return repair.digests(spark, repair.written(docs, f"{TOKENIZERS}/byte_bpe_50k.json"))
