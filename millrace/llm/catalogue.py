@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import hilbert, kneser_ney, mixing, quality_rules, repair, rule_ensemble
+from millrace.llm import hilbert, kneser_ney, mixing, quality_rules, repair, rule_ensemble, tiling
 from millrace.llm.shipping import shipped
 
 #: Where the public tokenizers' files are on every machine.
@@ -33,6 +33,13 @@ def op1_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kneser_ney.held_out_scores(table(spark, sf_dir, "documents"))
 
 
+@query
+def op3_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that have benchmark items, by tile coverage."""
+    found = tiling.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.withColumn("n_tiles", F.size("tiles")).drop("tiles")
+
+
 @query
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores of the sparse rule ensemble for all documents."""
