@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import hilbert, kneser_ney, mixing, quality_rules, repair, rule_ensemble, tiling
+from millrace.llm import hilbert, kneser_ney, minhash, mixing, quality_rules, repair, rule_ensemble, tiling
 from millrace.llm.shipping import shipped
 
 #: Where the public tokenizers' files are on every machine.
@@ -40,6 +40,12 @@ def op3_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("n_tiles", F.size("tiles")).drop("tiles")
 
 
+@query
+def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents alike in 85 % of their 3-word shingles."""
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), minhash.Likeness(3, 85))
+
+
 @query
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores of the sparse rule ensemble for all documents."""
