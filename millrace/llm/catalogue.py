@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import hilbert, kneser_ney, minhash, mixing, quality_rules, repair, rule_ensemble, tiling
+from millrace.llm import hilbert, kneser_ney, language, minhash, mixing, quality_rules, repair, rule_ensemble, secrets, tiling
 from millrace.llm.shipping import shipped
 
 #: Where the public tokenizers' files are on every machine.
@@ -33,6 +33,12 @@ def op1_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kneser_ney.held_out_scores(table(spark, sf_dir, "documents"))
 
 
+@query
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in all documents, by the trigram index."""
+    return secrets.digests(table(spark, sf_dir, "documents"))
+
+
 @query
 def op3_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that have benchmark items, by tile coverage."""
@@ -46,6 +52,12 @@ def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), minhash.Likeness(3, 85))
 
 
+@query
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages of all documents, learnt from two folds of three."""
+    return language.identified(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/piece_bpe_32k.model")
+
+
 @query
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores of the sparse rule ensemble for all documents."""
