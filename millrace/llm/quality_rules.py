@@ -159,25 +159,37 @@ RESULT = (
 )
 
 
+def verdicts(batch: pa.RecordBatch, model: Classifier | None, threshold: float) -> dict[str, np.ndarray]:
+    """Counts, probability and verdict of each text of a batch."""
+    texts = texts_of(batch["text"])
+    words = exact_words(texts)
+    found = counts(texts, words)
+    n = found["n_words"]
+    p = model.probability(raw_scores(model, texts, words)) if model else np.ones(len(n))
+    failed = (n < MIN_WORDS) | (100 * found["n_repeat_words"] > MAX_REPEAT_PERCENT * n)
+    names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    return {k: found[k] for k in names} | {"probability": p, "base_failed": failed, "kept": ~failed & (p >= threshold)}
+
+
 def judged(docs: DataFrame, model: Classifier | None, threshold: float = THRESHOLD) -> DataFrame:
     """A row of counts, calibrated probability and verdict per row of ``docs``."""
-    session = docs.sparkSession
-    sent = session.sparkContext.broadcast(model)  # 2^BITS weights
+    sent = docs.sparkSession.sparkContext.broadcast(model)  # 2^BITS weights
 
     def run(batches):
         for batch in batches:
             for piece in pieces(batch):
-                texts = texts_of(piece["text"])
-                words = exact_words(texts)
-                found = counts(texts, words)
-                n = found["n_words"]
-                model = sent.value
-                p = model.probability(raw_scores(model, texts, words)) if model else np.ones(len(n))
-                failed = (n < MIN_WORDS) | (100 * found["n_repeat_words"] > MAX_REPEAT_PERCENT * n)
-                names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-                yield pa.record_batch({
-                    "doc_id": piece["doc_id"], **{k: found[k] for k in names},
-                    "probability": p, "base_failed": failed, "kept": ~failed & (p >= threshold),
-                })
+                yield pa.record_batch({"doc_id": piece["doc_id"]} | verdicts(piece, sent.value, threshold))
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, RESULT)
+
+
+def passing(docs: DataFrame, model: Classifier | None, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that are kept."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches):
+        for batch in batches:
+            for piece in pieces(batch):
+                yield piece.filter(pa.array(verdicts(piece, sent.value, threshold)["kept"]))
+
+    return docs.mapInArrow(run, docs.schema)
