@@ -102,7 +102,7 @@ def placed(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
         "shard-cells",
     )
     total = F.lit(max(rows.count(), 1))
-    ranked = prefix_sums(rows, [], ["curve"], "one", ["doc_id", "text_crc32", "size"], "rank")
+    ranked = prefix_sums(rows, [], ["curve"], "one", ["doc_id", "text_crc32", "size"], "rank", few=True)
     shard = F.floor(F.col("rank") * shards / total).cast("int")
     first = F.ceil(F.col("shard") * total / shards).cast("long")
     return ranked.withColumn("shard", shard).select(

@@ -6,7 +6,8 @@ order of size classes, a random offset is added once, and a document is emitted
 each whole number that its stretch of the sum crosses. Sums are whole numbers (units of
 2^-26 copies), so every crossing is counted exactly once and reruns agree.
 
-A null text has size 0; a source without words has target 0 and nothing of it is taken.
+A document without words, or with a null text, has size 0 and is never taken; a source
+without words has target 0.
 An empty table gives an empty mix. Repeated rows are sampled as documents of their own.
 Up to 4.5 * 10^10 documents of one source fit the sums.
 """
@@ -83,7 +84,8 @@ def copies(docs: DataFrame, weigh=cyclic_weights, most: int = MOST, seed: int =
         F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.col("key")).cast("binary")), 1, 8), 16, 10)
         .cast("long").alias("offset"),
     )
-    aimed = materialise(slim.join(aims, "key"), "mix-expected")
+    units = F.when(F.col("size") > 0, F.col("units")).otherwise(0).cast("long")
+    aimed = materialise(slim.join(aims, "key").withColumn("units", units), "mix-expected")
     placed = prefix_sums(aimed, ["key"], ["class"], "units", ["doc_id", "check"], "before")
     start = F.col("before") + F.shiftright("offset", 6)  # an offset below one copy
     taken = (F.shiftright(start + F.col("units"), 26) - F.shiftright(start, 26)).cast("long")
