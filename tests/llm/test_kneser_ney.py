@@ -1,0 +1,81 @@
+import math
+from collections import Counter, defaultdict
+
+from millrace.llm import kneser_ney as kn
+
+from .conftest import prose
+from .test_words import ASCII, WORD
+
+END, BEGIN = object(), object()
+
+
+def tokens(text):
+    return [*WORD.findall((text or "").translate(ASCII)), END]
+
+
+class Slow:
+    """The model by the book, in dictionaries."""
+
+    def __init__(self, texts):
+        streams = [tokens(t) for t in texts]
+        self.uni = Counter(w for s in streams for w in s)
+        self.bi = Counter(p for s in streams for p in zip([BEGIN, *s], s))
+        self.n, self.v = sum(self.uni.values()), len(self.uni)
+        self.d2 = kn.discounts_of([sum(c == k for c in self.bi.values()) for k in (1, 2, 3, 4)])
+        self.heads = Counter(b for _, b in self.bi)
+        self.d1 = kn.discounts_of([sum(c == k for c in self.heads.values()) for k in (1, 2, 3, 4)])
+        self.context, self.taken = Counter(), defaultdict(float)
+        for (a, _), c in self.bi.items():
+            self.context[a] += c
+            self.taken[a] += self.d2[min(c, 3) - 1]
+
+    def p(self, a, b):
+        total = sum(self.heads.values())
+        left = sum(self.d1[min(c, 3) - 1] for c in self.heads.values()) / total
+        c1 = self.heads[b]
+        low = (c1 - self.d1[min(c1, 3) - 1] if c1 else 0) / total + left / (self.v + 1)
+        if a not in self.context:
+            return low
+        c2 = self.bi[a, b]
+        return (c2 - self.d2[min(c2, 3) - 1] if c2 else 0) / self.context[a] + self.taken[a] / self.context[a] * low
+
+    def scores(self, text):
+        s = tokens(text)
+        base = sum(math.log10((self.uni[w] + 0.1) / (self.n + 0.1 * (self.v + 1))) for w in s)
+        return len(s), sum(w in self.uni for w in s), base, sum(math.log10(self.p(a, b)) for a, b in zip([BEGIN, *s], s))
+
+
+def compare(rows, slow, texts):
+    assert len(rows) == len(texts)
+    for row in rows:
+        n, known, base, score = slow.scores(texts[row.doc_id])
+        assert (row.n_tokens, row.n_known) == (n, known)
+        assert math.isclose(row.base_score, base, rel_tol=1e-9) and math.isclose(row.score, score, rel_tol=1e-9)
+
+
+def test_scores_equal_a_plain_model(make):
+    texts = {i: prose(i % 17, 10 + i) for i in range(60)} | {60: None, 61: "", 62: "never seen words River0"}
+    docs = make([(i, t, None, None) for i, t in texts.items()])
+    model = kn.train(docs.where("doc_id < 50"))
+    compare(kn.score(docs, model).collect(), Slow([texts[i] for i in range(50)]), texts)
+
+
+def test_probabilities_of_a_context_sum_to_one():
+    slow = Slow([prose(i, 30) for i in range(9)])
+    for a in [BEGIN, *list(slow.uni)[:5], "unseen"]:
+        assert math.isclose(sum(slow.p(a, b) for b in slow.uni) + slow.p(a, "unseen"), 1)
+
+
+def test_odd_rows_all_get_a_score(odd, empty, spark):
+    rows = kn.held_out_scores(odd).collect()
+    assert len(rows) == odd.count() and all(r.score < 0 and r.n_tokens > 0 for r in rows)
+    assert {r.n_tokens for r in rows if r.doc_id in (40, 41, 42)} == {1}
+    assert kn.held_out_scores(empty).count() == 0
+    model = kn.train(empty)
+    assert [r.score for r in kn.score(odd.where("doc_id = 1"), model).collect()] == [0.0]
+
+
+def test_held_out_texts_score_better_than_by_the_base_model(make):
+    docs = make([(i, prose(i % 40, 80), None, None) for i in range(400)])
+    rows = kn.held_out_scores(docs).where("held_out").collect()
+    assert sum(r.score for r in rows) > sum(r.base_score for r in rows)
