@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from millrace.llm import minhash, mixing, quality_rules, repair, tiling
 from millrace.llm.catalogue import TOKENIZERS, table
+from millrace.llm.shipping import shipped
 from millrace.session import materialise
 
 
@@ -26,6 +27,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each group alike in 80 % of its 5-word shingles."""
+    shipped(spark)
     return minhash.deduplicated(docs)
 
 
@@ -36,11 +38,13 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeat or leave out documents until each source nears its target."""
+    shipped(spark)
     return mixing.mixed(docs)
 
 
 def token_blocks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Encode, compress, write, and read back."""
+    shipped(spark)
     return repair.digests(spark, repair.written(docs, f"{TOKENIZERS}/byte_bpe_50k.json"))
 
 

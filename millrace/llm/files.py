@@ -15,13 +15,17 @@ def _open(path: str) -> tuple[fs.FileSystem, str]:
 
 
 def save(path: str, array: np.ndarray) -> None:
-    """Write an array under a fresh name, then move it into place, so that a repeated
+    save_bytes(path, np.ascontiguousarray(array).data)
+
+
+def save_bytes(path: str, data) -> None:
+    """Write under a fresh name, then move it into place, so that a repeated
     task leaves the same whole file."""
     system, name = _open(path)
     system.create_dir(os.path.dirname(name), recursive=True)
     fresh = f"{name}.{uuid.uuid4().hex}"
     with system.open_output_stream(fresh) as out:
-        out.write(np.ascontiguousarray(array).data)
+        out.write(data)
     system.move(fresh, name)
 
 

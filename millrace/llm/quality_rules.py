@@ -31,6 +31,8 @@ THRESHOLD = 0.3
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 STEPS, RATE, RIDGE, SCALE = 300, 0.1, 1e-5, 30.0
+#: Bytes of text that are looked at in one go; arrays of 8 bytes each are made of them.
+PIECE = 1 << 20
 
 
 @dataclass
@@ -119,7 +121,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Classifie
 
     def extract(batches):
         for batch in batches:
-            for piece in pieces(batch):
+            for piece in pieces(batch, limit=PIECE):
                 texts = texts_of(piece["text"])
                 found = sparse(texts, exact_words(texts))
                 yield pa.record_batch({
@@ -177,7 +179,7 @@ def judged(docs: DataFrame, model: Classifier | None, threshold: float = THRESHO
 
     def run(batches):
         for batch in batches:
-            for piece in pieces(batch):
+            for piece in pieces(batch, limit=PIECE):
                 yield pa.record_batch({"doc_id": piece["doc_id"]} | verdicts(piece, sent.value, threshold))
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, RESULT)
@@ -189,7 +191,7 @@ def passing(docs: DataFrame, model: Classifier | None, threshold: float = THRESH
 
     def run(batches):
         for batch in batches:
-            for piece in pieces(batch):
+            for piece in pieces(batch, limit=PIECE):
                 yield piece.filter(pa.array(verdicts(piece, sent.value, threshold)["kept"]))
 
     return docs.mapInArrow(run, docs.schema)

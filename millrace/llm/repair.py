@@ -39,7 +39,7 @@ BLOCK = 1 << 20
 #: A pair is replaced if a block has it so often.
 FREQUENT = 4
 #: Text pieces whose ids are remembered by a worker.
-REMEMBERED = 500_000
+REMEMBERED = 200_000
 
 
 class Block(NamedTuple):
