@@ -19,10 +19,23 @@ _LONG_MIN, _LONG_MAX = -(2**63), 2**63 - 1
 
 
 def json_object(message: str | Column, strict: bool = False) -> Column:
-    """The whole object, every value kept as it came. Unparsable text gives null, or
-    fails the job when ``strict``."""
+    """The whole object, every value kept as it came; of a field given twice the last
+    counts. Unparsable text gives null, or fails the job when ``strict``."""
     options = {**JSON_OPTIONS, "mode": "FAILFAST"} if strict else JSON_OPTIONS
-    return F.from_json(as_col(message), "map<string,variant>", options)
+    decoded = F.from_json(as_col(message), "map<string,variant>", options)
+    # the lambda's variable stands for the message decoded once
+    return F.get(F.transform(F.array(decoded), _last_values), 0)
+
+
+def _last_values(fields: Column) -> Column:
+    names = F.map_keys(fields)
+    entries = F.map_entries(fields)
+
+    def is_last(entry: Column, index: Column) -> Column:
+        return ~F.array_contains(F.slice(names, index + 2, F.size(names)), entry["key"])
+
+    last = F.map_from_entries(F.filter(entries, is_last))
+    return F.when(fields.isNull() | (F.size(F.array_distinct(names)) == F.size(names)), fields).otherwise(last)
 
 
 def decode_once(df: DataFrame, decoded: Column, name: str, *keep: str) -> DataFrame:
@@ -52,7 +65,8 @@ def put_field(fields: Column, name: str, value: Column) -> Column:
 
 
 def json_text(fields: Column) -> Column:
-    """The object as JSON text, leaving out null values."""
+    """The object as JSON text, leaving out its null fields. Values within a field are
+    kept as they came, nulls included."""
     return F.to_json(
         F.map_filter(fields, lambda _, v: v.isNotNull() & ~F.is_variant_null(v))
     )
@@ -85,13 +99,17 @@ def typed_rows(
 ) -> DataFrame:
     """Decode ``message`` into the columns of ``schema``.
 
-    Missing fields are null and numeric text fits numeric fields. Bad input fails
-    the job, unless ``lenient``: then unparsable records are left out and a field
-    of the wrong type is null.
+    Missing fields are null and numeric text fits numeric fields. Arrays, structs and
+    maps are decoded with their own types. Bad input fails the job, unless ``lenient``:
+    then unparsable records are left out and a field of the wrong type is null (a nested
+    one: its record is left out).
     """
     if isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
-    as_text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema])
+    nested = (T.ArrayType, T.StructType, T.MapType, T.VariantType)
+    as_text = T.StructType([
+        T.StructField(f.name, f.dataType if isinstance(f.dataType, nested) else T.StringType()) for f in schema
+    ])
     options = dict(JSON_OPTIONS)
     if lenient:
         as_text = as_text.add(_CORRUPT, T.StringType())
@@ -104,6 +122,8 @@ def typed_rows(
 
     def field(f: T.StructField) -> Column:
         text = F.col("_m")[f.name]
+        if isinstance(f.dataType, nested):
+            return text.alias(f.name)
         cast = text.try_cast(f.dataType) if lenient else text.cast(f.dataType)
         return cast.alias(f.name)
 

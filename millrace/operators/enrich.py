@@ -16,37 +16,25 @@ from millrace.session import materialise
 Fetch = Callable[[Sequence[str]], Sequence[object]]
 
 
-def hot_keys(df: DataFrame, on: str, share: float = 0.01) -> list:
-    """The values of ``on`` holding at least ``share`` of the rows.
-
-    There can be no more than ``1 / share`` of them. Counts are partial within
-    each task before they are shuffled.
-    """
-    least = max(1, df.count() * share)
-    counts = df.where(F.col(on).isNotNull()).groupBy(on).agg(F.count(F.lit(1)).alias("n"))
-    return [r[on] for r in counts.where(F.col("n") >= least).select(on).collect()]
+# Parts that the rows with a null key are spread over.
+SPREAD = 1024
 
 
-def lookup_join(df: DataFrame, dim: DataFrame, on: str, hot: Sequence = ()) -> DataFrame:
-    """Left join to a lookup table with one row per key.
+def lookup_join(df: DataFrame, dim: DataFrame, on: str) -> DataFrame:
+    """Left join to a lookup table; a key with several rows there gives as many.
 
-    No broadcast hint is given: Spark broadcasts ``dim`` when its size is under
-    the session's threshold and shuffles otherwise, splitting skewed partitions.
-    Keys named in ``hot`` skip that shuffle: their ``dim`` rows, checked to be one
-    per key at most, are broadcast to the rows wherever they are. So do null keys,
-    which match nothing.
+    No broadcast hint is given: Spark broadcasts ``dim`` when its size is under the
+    session's threshold and shuffles otherwise, splitting the partitions of hot keys.
+    Null keys match nothing and are spread over all partitions. Each side is read once.
     """
-    if not hot:
-        return df.join(dim, on, "left")
-    is_hot = F.col(on).isin(list(hot))
-    stays = F.col(on).isNull() | is_hot
-    few = dim.where(is_hot)
-    if few.limit(len(hot) + 1).count() > len(hot):
-        raise ValueError(f"the lookup table has several rows for one {on}")
-    return (
-        df.where(stays).join(F.broadcast(few), on, "left")
-        .unionByName(df.where(~stays).join(dim.where(~is_hot), on, "left"))
-    )
+    # by the row's own values, so that a repeated task deals out the same
+    values = [f.name for f in df.schema if not any(t in f.dataType.simpleString() for t in ("map<", "variant"))]
+    part = F.pmod(F.xxhash64(*[F.col(f"`{v}`") for v in values]), F.lit(SPREAD))
+    left = df.withColumn("_spread", F.when(F.col(on).isNull(), part).otherwise(0).cast("bigint"))
+    # 0 in any case, but a plain 0 would be taken for a constant and not dealt out by
+    nothing = F.pmod(F.xxhash64(on), F.lit(1)).cast("bigint")
+    right = dim.where(F.col(on).isNotNull()).withColumn("_spread", nothing)
+    return left.join(right, [on, "_spread"], "left").drop("_spread")
 
 
 def lookup_map(df: DataFrame, on: str, mapping: dict[str, str], name: str) -> DataFrame:
@@ -65,7 +53,6 @@ def service_lookup(
     name: str,
     fetch: Fetch,
     on_error: str = "null",
-    hot_share: float = 0.01,
     tasks: int | None = None,
 ) -> DataFrame:
     """Add ``name``, the service's answer for ``key``, and ``<name>_error``.
@@ -89,7 +76,7 @@ def service_lookup(
     tasks = tasks or df.sparkSession.sparkContext.defaultParallelism
     keys = df.select(key).where(F.col(key).isNotNull()).distinct().repartition(tasks)
     answers = materialise(_ask_in_place(keys, key, name, fetch, on_error), "answers")
-    return lookup_join(df, answers, key, hot_keys(df, key, hot_share))
+    return lookup_join(df, answers, key)
 
 
 def _ask_in_place(df: DataFrame, key: str, name: str, fetch: Fetch, on_error: str) -> DataFrame:
@@ -104,8 +91,8 @@ def _ask_in_place(df: DataFrame, key: str, name: str, fetch: Fetch, on_error: st
             answers = dict(zip(wanted, fetch(wanted), strict=True))
             errors = {k: str(a) or type(a).__name__ for k, a in answers.items() if isinstance(a, Exception)}
             values = {k: failed if k in errors else a for k, a in answers.items()}
-            rows[name] = [values.get(k) for k in rows[key]]
-            rows[f"{name}_error"] = [errors.get(k) for k in rows[key]]
+            rows[name] = rows[key].map(values).astype(object)
+            rows[f"{name}_error"] = rows[key].map(errors).astype(object)
             yield rows
 
     return df.mapInPandas(ask, schema)

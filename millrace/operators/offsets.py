@@ -7,6 +7,7 @@ shuffle.
 from __future__ import annotations
 
 import json
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -16,9 +17,10 @@ EARLIEST = -2
 _PARTITION = ["topic", "partition_value"]
 
 
-def newest(rows: DataFrame, *batch: str) -> DataFrame:
-    """The largest offset per source partition (and per ``batch`` columns)."""
-    return rows.groupBy(*_PARTITION, *batch).agg(F.max("offset_value").alias("offset_value"))
+def newest(rows: DataFrame, *batch: str, keys: Sequence[str] = _PARTITION) -> DataFrame:
+    """The largest offset per source partition (and per ``batch`` columns). ``keys`` name
+    the partition; the history of one topic has no topic column."""
+    return rows.groupBy(*keys, *batch).agg(F.max("offset_value").alias("offset_value"))
 
 
 def merge(stored: DataFrame, batch: DataFrame) -> DataFrame:
@@ -27,9 +29,9 @@ def merge(stored: DataFrame, batch: DataFrame) -> DataFrame:
     return newest(stored.select(columns).unionByName(batch.select(columns)))
 
 
-def compact(history: DataFrame) -> DataFrame:
+def compact(history: DataFrame, keys: Sequence[str] = _PARTITION) -> DataFrame:
     """An offset history as one row per source partition."""
-    return newest(history)
+    return newest(history, keys=keys)
 
 
 def next_offsets(stored: DataFrame) -> DataFrame:

@@ -1,125 +1,49 @@
-"""Cut the rows of hot keys into ranges of bounded size.
+"""Cut ordered rows into ranges of bounded size.
 
-A running value needs the rows of a key in order, but one key may hold a third of
-all rows, so a hot key must not become one task. ``add_range`` gives every row of a
-hot key the number of the slice of the order it falls in; rows of a lower slice come
-before all rows of a higher one. The other keys are one slice each.
+A running value needs the rows of a key in order, but one key may hold a third of all
+rows, so a key must not become one task. Rows are dealt out by ranges over the keys and
+all ordering columns, of any type that Spark can order; rows of a lower range come before
+all rows of a higher one.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from millrace.functions.times import order_number
+from millrace.session import materialise
 
 RANGE = "_range"
-HOT = "_is_hot"
 ROWS_PER_RANGE = 4_000_000
-MAX_RANGES = 10_000
-
-# A cut point is read off about this many rows to a range.
-ROWS_PER_CUT = 200
-
-# Doubles hold every integer below this bound, so equal doubles mean equal values.
-_EXACT = 2.0**53
-
 
 
 def add_range(
     df: DataFrame, keys: list[str], order: list[str], rows_per_range: int = ROWS_PER_RANGE
-) -> DataFrame | None:
-    """``df`` with the columns ``_range`` and ``_is_hot``, or None when no key has more
-    rows than a range.
-
-    The quantiles of the ordering columns over the rows of hot keys are estimated
-    and brought to the driver, a number per range and column at most. They only say
-    where the cuts lie: every row falls in a range. A value of the first column that
-    fills whole ranges by itself (and null) is cut further by the second.
-    """
-    rows = df.count()
-    limit = max(rows_per_range, math.ceil(rows / MAX_RANGES))
-    if rows <= limit:
-        return None
-    marked, hot_rows = _mark_hot(df, keys, rows, limit)
-    if marked is None:
-        return None
-
-    pieces = math.ceil(hot_rows / limit)
-    numbers = {f"_order{i}": order_number(c, df.schema[c].dataType) for i, c in enumerate(order[:2])}
-    numbered = marked.withColumns(numbers)
-    cuts = _cuts(numbered.where(HOT).select(*numbers), hot_rows, pieces)
-    out = Bucketizer(
-        splitsArray=[_splits(c) for c in cuts.values()],
-        inputCols=list(cuts),
-        outputCols=[f"{name}_piece" for name in cuts],
-        handleInvalid="keep",
-    ).transform(numbered)
-    number = F.when(F.col(HOT), _number(cuts)).otherwise(0)
-    return out.withColumn(RANGE, number).drop(*numbers, *[f"{name}_piece" for name in cuts])
-
-
-def _mark_hot(
-    df: DataFrame, keys: list[str], rows: int, limit: int
-) -> tuple[DataFrame | None, int]:
-    """``df`` telling the rows of keys with more than ``limit`` rows, and their number.
+) -> tuple[DataFrame, int]:
+    """``df`` with the column ``_range``, and how many ranges there are.
 
-    As there are at most ``MAX_RANGES`` times ``limit`` rows, there are no more than
-    ``MAX_RANGES`` hot keys, and those are broadcast.
+    ``df`` is computed once and written to the shared folder; the number of rows is read
+    from what was written. Where more than one range is needed, Spark places the cuts by
+    a sample and the rows are written once more by range, so that everything computed
+    from them later sees the same cuts.
     """
+    if df.isStreaming:
+        raise ValueError("running values on a stream go batch by batch: see millrace.streaming")
+    written = materialise(df, "running-rows")
+    ranges = math.ceil(written.count() / rows_per_range)
+    if ranges <= 1:
+        return written.withColumn(RANGE, F.lit(0)), 1
+    ranged = written.repartitionByRange(ranges, *keys, *order).withColumn(RANGE, F.spark_partition_id())
+    return materialise(ranged, "running-ranges"), ranges
+
+
+def at_edges(ranged: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows of keys that begin or end a range: all that may lie in several."""
     if not keys:
-        return df.withColumn(HOT, F.lit(True)), rows
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > limit)
-    found = counts.toArrow()
-    if not found.num_rows:
-        return None, 0
-    hot_rows = sum(found["_rows"].to_pylist())
-    hot = df.sparkSession.createDataFrame(found, counts.schema).select(
-        *[F.col(k).alias(f"_hot_{k}") for k in keys], F.lit(True).alias(HOT)
-    )
-    same = [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys]
-    marked = df.join(F.broadcast(hot), same, "left").withColumn(HOT, F.coalesce(HOT, F.lit(False)))
-    return marked.drop(*[f"_hot_{k}" for k in keys]), hot_rows
-
-
-def _cuts(numbers: DataFrame, rows: int, pieces: int) -> dict[str, list[float]]:
-    """Per column, the values between its ``pieces`` quantiles."""
-    wanted = pieces * ROWS_PER_CUT
-    seen = numbers if rows <= wanted else numbers.sample(wanted / rows, seed=0)
-    grid = ",".join(f"{i / pieces}D" for i in range(1, pieces))
-    quantiles = [
-        F.expr(f"percentile_approx({name}, array({grid}), {max(10_000, 10 * pieces)})").alias(name)
-        for name in numbers.columns
-    ]
-    # a column of nulls has no quantiles; any cut does
-    return {name: found or [0.0] for name, found in seen.agg(*quantiles).first().asDict().items()}
-
-
-def _splits(cuts: list[float]) -> list[float]:
-    """Cut points; a value filling a whole piece gets a piece of its own."""
-    points = set(cuts)
-    points |= {math.nextafter(v, math.inf) for v in _repeated(cuts)}
-    return [-math.inf, *sorted(points), math.inf]
-
-
-def _repeated(cuts: list[float]) -> list[float]:
-    return sorted({a for a, b in zip(cuts, cuts[1:]) if a == b and abs(a) < _EXACT})
-
-
-def _number(cuts: dict[str, list[float]]) -> Column:
-    """The range's number from the pieces of the ordering columns; the keys that are
-    not hot have the range 0."""
-    width = 2 * MAX_RANGES + 2
-    piece = F.col("_order0_piece").cast("bigint") + 2
-    inner = F.lit(0)
-    if "_order1" in cuts:
-        inner = F.when(F.col("_order1").isNull(), 0).otherwise(F.col("_order1_piece").cast("bigint") + 1)
-    heavy = _repeated(cuts["_order0"])
-    # rows of equal first value are cut by the second; nulls come first
-    return (
-        F.when(F.col("_order0").isNull(), width + inner)
-        .when(F.col("_order0").isin(heavy), piece * width + inner)
-        .otherwise(piece * width)
-    )
+        return ranged
+    key = F.struct(*keys)
+    edges = ranged.groupBy(RANGE).agg(F.min(key).alias("low"), F.max(key).alias("high"))
+    several = edges.select(F.explode(F.array("low", "high")).alias("_key")).distinct()
+    same = [F.col(k).eqNullSafe(F.col(f"_key.{k}")) for k in keys]
+    return ranged.join(several, same, "left_semi")

@@ -10,10 +10,11 @@ from millrace.functions.messages import JSON_OPTIONS, as_long, decode_once, raw_
 
 GROUP, MEMBER, CORRUPT = "group", "member", "corrupt"
 
-# Columns of a routed message; payload columns of the other kind are null.
+# Columns of a routed message; payload columns of the other kinds are null. ``value`` is
+# the message itself, of corrupt ones only.
 ROUTED_SCHEMA = (
     "kind string, id bigint, group_code string, group_id string, "
-    "topic string, partition_value int, offset_value bigint"
+    "topic string, partition_value int, offset_value bigint, value binary"
 )
 
 
@@ -34,10 +35,11 @@ def route(messages: DataFrame, raw: bool = False) -> DataFrame:
     """Kafka-shaped messages as routed rows carrying their source position.
 
     Text payloads are plain by default; ``raw`` keeps them as JSON text, quotes
-    included. Each message is decoded once, and only the fields in use.
+    included. Each message is decoded once, and only the fields in use. One that cannot
+    be decoded is kept as it came.
     """
     message = F.from_json(F.col("value").cast("string"), _MESSAGE, JSON_OPTIONS)
-    decoded = decode_once(messages, message, "m", "topic", "partition", "offset")
+    decoded = decode_once(messages, message, "m", "topic", "partition", "offset", "value")
     m = F.col("m")
     text = raw_text if raw else (lambda v: v.cast("string"))
     kind = kind_of(m)
@@ -49,6 +51,7 @@ def route(messages: DataFrame, raw: bool = False) -> DataFrame:
         "topic",
         F.col("partition").cast("int").alias("partition_value"),
         F.col("offset").alias("offset_value"),
+        F.when(kind == CORRUPT, F.col("value").cast("binary")).alias("value"),
     )
 
 
@@ -62,6 +65,11 @@ def members(routed: DataFrame) -> DataFrame:
     return routed.where(F.col("kind") == MEMBER).select("id", "group_id")
 
 
+def corrupt(routed: DataFrame) -> DataFrame:
+    """The messages that could not be decoded, with their source positions."""
+    return routed.where(F.col("kind") == CORRUPT).select("topic", "partition_value", "offset_value", "value")
+
+
 def union_streams(*frames: DataFrame) -> DataFrame:
     """All rows of all frames, duplicates kept."""
     return reduce(DataFrame.unionByName, frames)

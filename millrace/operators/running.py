@@ -1,15 +1,15 @@
 """Running values per key in arrival order.
 
-A hot key is split into ranges of the order: each range is summed up first, the value
-reached before a range starts is carried into it as one seed row, and the ranges then
-run independently. No task holds a whole hot key.
+Rows are dealt out by ranges of keys and order: a key that lies in several is summed up by
+range first, the value reached before a range starts is carried into it as one seed row,
+and the ranges then run independently. No task holds a whole hot key.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from millrace.operators.ranges import HOT, RANGE, ROWS_PER_RANGE, add_range
+from millrace.operators.ranges import RANGE, ROWS_PER_RANGE, add_range, at_edges
 
 _VALUE = "_value"
 _SEED = "_is_seed"
@@ -31,35 +31,32 @@ def running(
 ) -> DataFrame:
     """Add ``name``: the running ``sum`` or ``max`` of ``value`` per ``keys``.
 
-    ``order`` must order the rows of a key without ties. With ``include_current``
-    off, a row sees only the rows before it (null for the first). ``initial`` holds
-    the values reached before this table, as ``keys`` and ``name``.
-
-    With hot keys the input is computed several times: if it is costly, pass in a
-    written table (``session.materialise``).
+    ``order`` must order the rows of a key without ties; its columns may be of any type
+    that can be ordered, nulls first. With ``include_current`` off, a row sees only the
+    rows before it (null for the first). ``initial`` holds the values reached before this
+    table, as ``keys`` and ``name``; of these, only the table's keys are looked at.
     """
     combine = _COMBINE[how]
     keys = keys or []
     upto = Window.currentRow if include_current else -1
     source = df.withColumn(_VALUE, F.col(value) if isinstance(value, str) else value)
-    ranged = add_range(source, keys, order, rows_per_range)
+    ranged, ranges = add_range(source, keys, order, rows_per_range)
 
-    if ranged is None and initial is not None:
-        ranged = source.withColumns({RANGE: F.lit(0).cast("bigint"), HOT: F.lit(False)})
-    if ranged is None:
+    if ranges == 1 and initial is None:
         ordered = Window.partitionBy(*keys).orderBy(*order)
         seen = ordered.rowsBetween(Window.unboundedPreceding, upto)
-        return source.withColumn(name, combine(_VALUE).over(seen)).drop(_VALUE)
+        return ranged.withColumn(name, combine(_VALUE).over(seen)).drop(_VALUE, RANGE)
 
-    carried = ranged if initial is not None else ranged.where(HOT)
+    carried = ranged if initial is not None else at_edges(ranged, keys)
     totals = carried.groupBy(*keys, RANGE).agg(combine(_VALUE).alias(_VALUE))
     if initial is not None:
-        before_all = F.lit(-1).cast("bigint").alias(RANGE)
-        totals = totals.unionByName(initial.select(*keys, before_all, F.col(name).alias(_VALUE)))
+        before_all = F.lit(-1).alias(RANGE)
+        known = of_keys(initial.select(*keys, name), ranged, keys)
+        totals = totals.unionByName(known.select(*keys, before_all, F.col(name).alias(_VALUE)))
     earlier = Window.partitionBy(*keys).orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
     seeds = (
         totals.withColumn(_VALUE, combine(_VALUE).over(earlier))
-        .where(F.col(_VALUE).isNotNull())
+        .where(F.col(_VALUE).isNotNull() & (F.col(RANGE) >= 0))
         .withColumn(_SEED, F.lit(True))
     )
     rows = ranged.withColumn(_SEED, F.lit(False)).unionByName(seeds, allowMissingColumns=True)
@@ -71,10 +68,18 @@ def running(
     return (
         rows.withColumn(name, combine(_VALUE).over(within))
         .where(~F.col(_SEED))
-        .drop(_VALUE, _SEED, RANGE, HOT)
+        .drop(_VALUE, _SEED, RANGE)
     )
 
 
+def of_keys(totals: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
+    """The totals of keys that ``rows`` has; null keys are keys too."""
+    if not keys:
+        return totals
+    wanted = rows.select(*[F.col(k).alias(f"_of_{k}") for k in keys]).distinct()
+    return totals.join(wanted, [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys], "left_semi")
+
+
 def running_totals(
     df: DataFrame,
     keys: list[str],
@@ -100,10 +105,11 @@ def running_max(
     order: list[str],
     name: str,
     include_current: bool = True,
+    initial: DataFrame | None = None,
     rows_per_range: int = ROWS_PER_RANGE,
 ) -> DataFrame:
     """Each row with the largest ``value`` among the rows up to it."""
     return running(
         df, value=value, how="max", keys=keys, order=order, name=name,
-        include_current=include_current, rows_per_range=rows_per_range,
+        include_current=include_current, initial=initial, rows_per_range=rows_per_range,
     )

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from millrace.operators.offsets import compact
 
@@ -35,23 +37,47 @@ def recreate(spark: SparkSession, name: str, columns: str, distributed_by: str,
     )
 
 
-def refill(df: DataFrame, name: str) -> None:
-    """Replace the rows of table ``name``; ``df`` may be computed from it.
+def refill(df: DataFrame, name: str, fill: Mapping[str, Column] | None = None) -> None:
+    """Replace the rows of table ``name``, which keeps its columns, types and buckets;
+    ``df`` may be computed from it.
 
-    The new rows are written beside the old ones and the names are then swapped,
-    so a job that dies while writing leaves the table as it was.
+    Columns are matched by name; one that ``df`` lacks gets its value in ``fill``, or
+    null. The new rows are written beside the old ones and the names are then swapped, so
+    a job that dies leaves the table as it was or lets ``recover`` finish the swap. One
+    writer at a time: rows appended meanwhile are lost.
     """
     spark = df.sparkSession
+    recover(spark, name)
+    columns = spark.table(name).columns
+    unknown = sorted(set(df.columns) - set(columns))
+    if unknown:
+        raise ValueError(f"{name} has no column {', '.join(unknown)}")
     fresh, old = f"{name}__fresh", f"{name}__old"
     spark.sql(f"DROP TABLE IF EXISTS {fresh}")
-    copy_table(df, fresh)
-    spark.sql(f"DROP TABLE IF EXISTS {old}")
+    copy_structure(spark, name, fresh)
+    value = {c: F.col(c) for c in df.columns}
+    missing = dict(fill or {})
+    df.select(*[value.get(c, missing.get(c, F.lit(None))).alias(c) for c in columns]).write.insertInto(fresh)
     spark.sql(f"ALTER TABLE {name} RENAME TO {old}")
     spark.sql(f"ALTER TABLE {fresh} RENAME TO {name}")
     spark.sql(f"DROP TABLE {old}")
 
 
+def recover(spark: SparkSession, name: str) -> None:
+    """Finish or undo a swap that was cut short; every refill begins with it."""
+    old = f"{name}__old"
+    if not spark.catalog.tableExists(old):
+        return
+    if spark.catalog.tableExists(name):
+        spark.sql(f"DROP TABLE {old}")
+    else:
+        spark.sql(f"ALTER TABLE {old} RENAME TO {name}")
+
+
 def compact_offset_table(spark: SparkSession, name: str) -> None:
-    """Bring an offset history table down to one row per source partition, from
-    its own rows."""
-    refill(compact(spark.table(name)), name)
+    """Bring an offset history table, of one topic or several, down to one row per source
+    partition, from its own rows."""
+    recover(spark, name)
+    history = spark.table(name)
+    keys = [c for c in ("topic", "partition_value") if c in history.columns]
+    refill(compact(history, keys), name, {"insert_time": F.current_timestamp()})

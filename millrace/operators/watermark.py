@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from millrace.operators.ranges import ROWS_PER_RANGE
 from millrace.operators.running import running_max
+from millrace.operators.windows import window_of
 
 
 def trace(
@@ -19,9 +20,11 @@ def trace(
     source: list[str],
     order: list[str],
     rows_per_range: int = ROWS_PER_RANGE,
+    initial: DataFrame | None = None,
 ) -> DataFrame:
-    """Each row with the running maximum of ``ts`` and the watermark after it."""
-    seen = running_max(df, ts, source, order, "max_ts", rows_per_range=rows_per_range)
+    """Each row with the running maximum of ``ts`` and the watermark after it.
+    ``initial``: per source, the maximum before this table, as ``max_ts``."""
+    seen = running_max(df, ts, source, order, "max_ts", initial=initial, rows_per_range=rows_per_range)
     return seen.withColumn("wm", F.col("max_ts") - F.expr(f"INTERVAL {delay}"))
 
 
@@ -33,18 +36,19 @@ def flag_late(
     source: list[str],
     order: list[str],
     rows_per_range: int = ROWS_PER_RANGE,
+    initial: DataFrame | None = None,
 ) -> DataFrame:
     """Each row with its window bounds and ``is_late``: whether the watermark had
     already closed that window when the row arrived.
 
-    A window closes when the watermark reaches its last millisecond.
+    A window closes when the watermark reaches its last millisecond. A row without a
+    time has no window and is never late. ``initial``: per source, the largest time
+    before this table, as ``_seen``.
     """
-    windowed = df.withColumn("_w", F.window(ts, width)).withColumns(
-        {"ws": F.col("_w.start"), "we": F.col("_w.end")}
-    )
+    windowed = window_of(df, ts, width).withColumns({"ws": F.col("_w.start"), "we": F.col("_w.end")})
     seen = running_max(
         windowed.drop("_w"), ts, source, order, "_seen",
-        include_current=False, rows_per_range=rows_per_range,
+        include_current=False, initial=initial, rows_per_range=rows_per_range,
     )
     last = F.col("we") - F.expr("INTERVAL 1 MILLISECOND")
     late = last <= F.col("_seen") - F.expr(f"INTERVAL {delay}")

@@ -13,7 +13,8 @@ CHUNK_ROWS = 10_000
 
 
 def tumbling(df: DataFrame, ts: str, width: str, keys: list[str]) -> DataFrame:
-    """Per key and window: row count, earliest and latest time, window bounds."""
+    """Per key and window: row count, earliest and latest time, window bounds. Rows
+    without a time are in no window."""
     grouped = df.groupBy(*keys, F.window(ts, width).alias("_w")).agg(
         F.count(F.lit(1)).alias("cnt"), F.min(ts).alias("min_ts"), F.max(ts).alias("max_ts")
     )
@@ -23,14 +24,24 @@ def tumbling(df: DataFrame, ts: str, width: str, keys: list[str]) -> DataFrame:
     )
 
 
+def window_of(df: DataFrame, ts: str, width: str, name: str = "_w") -> DataFrame:
+    """Each row with its window as a struct, null for a row without a time."""
+    # Spark's window function leaves out rows whose time is null, so it never sees one
+    some = F.coalesce(ts, F.lit("1970-01-01 00:00:00").cast(df.schema[ts].dataType))
+    windowed = df.withColumn("_some_time", some).withColumn(name, F.window("_some_time", width))
+    return windowed.withColumn(name, F.when(F.col(ts).isNotNull(), F.col(name))).drop("_some_time")
+
+
 def assign_window(df: DataFrame, ts: str, width: str, name: str = "ws") -> DataFrame:
-    """Each row with the start of its window; rows stay where they are."""
-    return df.withColumn(name, F.window(ts, width)["start"])
+    """Each row with the start of its window; rows stay where they are, and a row without
+    a time has none."""
+    return window_of(df, ts, width).withColumn(name, F.col("_w.start")).drop("_w")
 
 
 def window_counts(df: DataFrame, ts: str, width: str) -> DataFrame:
-    """Rows per window over the whole table."""
-    return assign_window(df, ts, width).groupBy("ws").agg(F.count(F.lit(1)).alias("cnt"))
+    """Rows per window over the whole table; rows without a time are in no window."""
+    grouped = df.groupBy(F.window(ts, width).alias("_w")).agg(F.count(F.lit(1)).alias("cnt"))
+    return grouped.select(F.col("_w.start").alias("ws"), "cnt")
 
 
 def collect_window(
@@ -48,7 +59,7 @@ def collect_window(
 
     A window of any size is given in full as lists of at most ``chunk_rows``
     values, numbered by ``chunk``; one that fits is a single list. No list, and so
-    no task, grows with the window.
+    no task, grows with the window. Rows without a time are listed under a null start.
     """
     keys = keys or []
     rows = assign_window(df, ts, width).select(
@@ -67,7 +78,7 @@ def collect_window(
 
 def report_line(windows: DataFrame, key: str) -> DataFrame:
     """One line per window: key and count after commas, then the four times with
-    nothing between them."""
+    nothing between them. A null key reads ``null``."""
     times = F.concat(*[format_time(c) for c in ("min_ts", "max_ts", "ws", "we")])
-    head = [F.col(key).cast("string"), F.col("cnt").cast("string")]
+    head = [F.coalesce(F.col(key).cast("string"), F.lit("null")), F.col("cnt").cast("string")]
     return windows.select(F.concat_ws(",", *head, times).alias("line"))

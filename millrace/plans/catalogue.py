@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from millrace.functions.messages import (
     as_long, json_field, json_object, json_text, put_field, raw_text, typed_rows,
@@ -14,23 +15,24 @@ from millrace.functions.messages import (
 from millrace.functions.text import csv_key_ts, csv_pair, tokens
 from millrace.functions.times import epoch_micros, format_time, utc_clock
 from millrace.operators.aggregate import keyed_totals, windowed_totals
-from millrace.operators.enrich import hot_keys, lookup_join, lookup_map, service_lookup
+from millrace.operators.enrich import lookup_join, lookup_map, service_lookup
 from millrace.operators.offsets import compact, merge, newest, next_offsets
 from millrace.operators.route import groups, members, route, union_streams
 from millrace.operators.running import running_totals
-from millrace.operators.tables import copy_table
+from millrace.operators.tables import add_columns, compact_offset_table, copy_table, recreate, refill
 from millrace.operators.watermark import drop_late, flag_late, trace
 from millrace.operators.windows import (
     assign_window, collect_window, report_line, tumbling, window_counts,
 )
 from millrace.plans.jobs import messages_to_tables, project_view
 from millrace.session import new_path, streaming_session
-from millrace.sinks.tables import commit_to_folder, committed_rows, stored_offsets
+from millrace.sinks.tables import commit_to_folder, committed_rows, compact_folder, stored_offsets
 from millrace.sources.kafka import as_messages
 from millrace.sources.views import json_view
 from millrace.streaming.event_time import with_bounded_lateness
 from millrace.streaming.run import start_batches, start_files
 from millrace.streaming.totals import changelog_to_folder, latest_totals, updates_to_folder
+from millrace.streaming.watermark import trace_to_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -51,11 +53,6 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-def stream(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    schema = table(spark, sf, name).schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf)
-
-
 # --- lines, words and running totals -------------------------------------------
 
 _TOKENS = """
@@ -87,6 +84,37 @@ def q_running_count(spark: SparkSession, sf: str) -> DataFrame:
     return running_totals(events, ["event_type"], ["event_id"], "running_cnt")
 
 
+# Rows to a range of the queries that show how hot keys are cut.
+FEW_ROWS = 500
+
+
+@query(_RUNNING_COUNT)
+def q_running_count_ranged(spark: SparkSession, sf: str) -> DataFrame:
+    events = table(spark, sf, "events").select("event_id", "event_type")
+    return running_totals(events, ["event_type"], ["event_id"], "running_cnt", rows_per_range=FEW_ROWS)
+
+
+@query("""
+select c_custkey, sum(c_nationkey) over (
+  partition by c_mktsegment order by c_name rows between unbounded preceding and current row)::bigint as reached
+from customer""")
+def q_running_by_text(spark: SparkSession, sf: str) -> DataFrame:
+    rows = table(spark, sf, "customer").select("c_custkey", "c_mktsegment", "c_name", F.col("c_nationkey").cast("bigint").alias("n"))
+    got = running_totals(rows, ["c_mktsegment"], ["c_name"], "reached", "n", rows_per_range=FEW_ROWS)
+    return got.select("c_custkey", "reached")
+
+
+@query("""
+select o_orderkey, count(*) over (
+  order by o_orderstatus, o_orderpriority, o_orderkey rows between unbounded preceding and current row) as place
+from orders""")
+def q_running_three_columns(spark: SparkSession, sf: str) -> DataFrame:
+    """Many ties in the first two columns of the order."""
+    rows = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
+    order = ["o_orderstatus", "o_orderpriority", "o_orderkey"]
+    return running_totals(rows, [], order, "place", rows_per_range=FEW_ROWS).select("o_orderkey", "place")
+
+
 @query("""
 select event_type as k, count(*) as cnt, time_bucket(interval 2 second, ts) as ws,
        time_bucket(interval 2 second, ts) + interval 2 second as we
@@ -158,6 +186,11 @@ def q_late_flag(spark: SparkSession, sf: str) -> DataFrame:
     return flag_late(_arrivals(spark, sf), **_LATENESS).select("event_id", "is_late")
 
 
+@query(f"{_ARRIVALS} select event_id, is_late from f")
+def q_late_flag_ranged(spark: SparkSession, sf: str) -> DataFrame:
+    return flag_late(_arrivals(spark, sf), **_LATENESS, rows_per_range=FEW_ROWS).select("event_id", "is_late")
+
+
 @query(f"""{_ARRIVALS}
 select user_id as k, count(*) as cnt, make_timestamp(we - 3600000000) as ws
 from f where not is_late group by user_id, we""")
@@ -171,6 +204,15 @@ def q_window_assign(spark: SparkSession, sf: str) -> DataFrame:
     return assign_window(table(spark, sf, "events"), "ts", "30 seconds").select("event_id", "ws")
 
 
+@query("""
+select event_id, case when event_id % 7 > 0 then time_bucket(interval 30 second, ts) end as ws from events""")
+def q_window_assign_nulls(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows without a time keep their place, without a window."""
+    ts = F.when(F.col("event_id") % 7 > 0, F.col("ts"))
+    events = table(spark, sf, "events").select("event_id", ts.alias("ts"))
+    return assign_window(events, "ts", "30 seconds").select("event_id", "ws")
+
+
 @query("select time_bucket(interval 30 second, ts) as ws, count(*) as cnt from events group by 1")
 def q_window_counts(spark: SparkSession, sf: str) -> DataFrame:
     return window_counts(table(spark, sf, "events"), "ts", "30 seconds")
@@ -269,6 +311,33 @@ def q_json_lenient(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query("""
+select c_custkey as id, c_name as name, cast(c_nationkey as bigint) as nation, c_mktsegment as tag, c_custkey + 1 as next
+from customer""")
+def q_json_nested(spark: SparkSession, sf: str) -> DataFrame:
+    """A struct, an array and a map within a message."""
+    message = F.to_json(F.struct(
+        F.col("c_custkey").alias("id"), F.struct(F.col("c_name").alias("name"), F.col("c_nationkey").alias("nation")).alias("who"),
+        F.array("c_mktsegment").alias("tags"), F.create_map(F.lit("next"), F.col("c_custkey") + 1).alias("more"),
+    ))
+    rows = typed_rows(
+        table(spark, sf, "customer").select(message.alias("value")), "value",
+        "id bigint, who struct<name:string,nation:bigint>, tags array<string>, more map<string,bigint>",
+    )
+    return rows.select("id", "who.name", "who.nation", F.col("tags")[0].alias("tag"), F.col("more")["next"].alias("next"))
+
+
+@query("select c_custkey + 1 as id, c_mktsegment as seg from customer")
+def q_json_repeated_field(spark: SparkSession, sf: str) -> DataFrame:
+    """Of a field given twice the last value counts, in reading and in writing."""
+    message = F.concat(
+        F.lit('{"id":'), "c_custkey", F.lit(',"seg":"'), "c_mktsegment", F.lit('","id":'), F.col("c_custkey") + 1, F.lit("}")
+    )
+    fields = put_field(json_object(message), "extra", F.lit("x"))
+    written = table(spark, sf, "customer").select(json_text(fields).alias("m"))
+    return typed_rows(written, "m", "id bigint, seg string, extra string").select("id", "seg")
+
+
 def _customer_values(spark: SparkSession, sf: str) -> DataFrame:
     """JSON whose field ``v`` is a number, text, a flag or null by market segment."""
     segment = F.col("c_mktsegment")
@@ -336,8 +405,20 @@ select o_orderkey, c_mktsegment from orders left join customer on o_custkey = c_
 def q_lookup_table(spark: SparkSession, sf: str) -> DataFrame:
     orders = table(spark, sf, "orders").select("o_orderkey", F.col("o_custkey").alias("c_custkey"))
     customer = table(spark, sf, "customer").select("c_custkey", "c_mktsegment")
-    joined = lookup_join(orders, customer, "c_custkey", hot_keys(orders, "c_custkey"))
-    return joined.select("o_orderkey", "c_mktsegment")
+    return lookup_join(orders, customer, "c_custkey").select("o_orderkey", "c_mktsegment")
+
+
+@query("""
+select o_orderkey, c_mktsegment from (
+  select *, case o_orderkey % 3 when 0 then null when 1 then 1 else o_custkey end as k from orders)
+left join customer on k = c_custkey""")
+def q_lookup_skewed(spark: SparkSession, sf: str) -> DataFrame:
+    """A third of the rows have no key and a third the same one."""
+    third = F.col("o_orderkey") % 3
+    key = F.when(third == 0, None).when(third == 1, 1).otherwise(F.col("o_custkey")).cast("bigint")
+    orders = table(spark, sf, "orders").select("o_orderkey", key.alias("c_custkey"))
+    customer = table(spark, sf, "customer").select("c_custkey", "c_mktsegment")
+    return lookup_join(orders, customer, "c_custkey").select("o_orderkey", "c_mktsegment")
 
 
 @query("select o_orderkey, concat('x', o_custkey) as xuid from orders")
@@ -376,9 +457,9 @@ def _member_topic(orders: DataFrame) -> DataFrame:
     return as_messages(orders, "members", "o_orderkey", payload)
 
 
-def _messages(spark: SparkSession, sf: str, read=table) -> DataFrame:
+def _messages(spark: SparkSession, sf: str) -> DataFrame:
     return union_streams(
-        _group_topic(read(spark, sf, "customer")), _member_topic(read(spark, sf, "orders"))
+        _group_topic(table(spark, sf, "customer")), _member_topic(table(spark, sf, "orders"))
     )
 
 
@@ -412,6 +493,21 @@ def q_demux_member(spark: SparkSession, sf: str) -> DataFrame:
     return members(route(_messages(spark, sf)))
 
 
+@query(f"""{_MESSAGES}
+select topic, partition_value, offset_value,
+       case when id % 5 = 0 then 'corrupt' when topic = 'groups' then 'group' else 'member' end as kind,
+       case when id % 5 = 0 then concat('{{"id":', id) end as text
+from msg""")
+def q_route_corrupt(spark: SparkSession, sf: str) -> DataFrame:
+    """Each fifth message is cut short; it is kept as it came, with its position."""
+    messages = _messages(spark, sf)
+    text = F.col("value").cast("string")
+    whole = json_field(text, "id", "bigint")
+    cut = F.when(whole % 5 == 0, F.concat(F.lit('{"id":'), whole)).otherwise(text)
+    routed = route(messages.withColumn("value", cut.cast("binary")))
+    return routed.select("topic", "partition_value", "offset_value", "kind", F.col("value").cast("string").alias("text"))
+
+
 @query(f"{_MESSAGES} select topic, count(*) as cnt from msg group by topic")
 def q_union_topics(spark: SparkSession, sf: str) -> DataFrame:
     return keyed_totals(_messages(spark, sf), ["topic"])
@@ -445,7 +541,30 @@ def q_offset_batch_max(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(_MESSAGES + _NEWEST.format(name="offset_value"))
 def q_offset_compact(spark: SparkSession, sf: str) -> DataFrame:
-    return compact(_offset_history(spark, sf))
+    """A history table brought down to one row per source partition, in place."""
+    name = f"offset_history_{uuid.uuid4().hex}"
+    columns = "topic string, partition_value int, offset_value bigint, insert_time timestamp"
+    recreate(spark, name, columns, "partition_value", 4)
+    history = _offset_history(spark, sf).withColumn("insert_time", F.current_timestamp())
+    history.select("topic", "partition_value", "offset_value", "insert_time").write.insertInto(name)
+    compact_offset_table(spark, name)
+    return spark.table(name).where("insert_time is not null").drop("insert_time")
+
+
+@query("""
+select o_orderkey as id, o_orderpriority as code, case when o_orderkey % 2 = 0 then o_orderstatus end as status
+from orders""")
+def q_table_lifecycle(spark: SparkSession, sf: str) -> DataFrame:
+    """Created in buckets, widened, filled, refilled from its own rows, read back."""
+    name = f"lifecycle_{uuid.uuid4().hex}"
+    recreate(spark, name, "id bigint, code string", "id", 4)
+    add_columns(spark, name, "status string")
+    orders = table(spark, sf, "orders")
+    rows = orders.select(F.col("o_orderkey").alias("id"), F.col("o_orderpriority").alias("code"), F.col("o_orderstatus").alias("status"))
+    rows.write.insertInto(name)
+    even = F.when(F.col("id") % 2 == 0, F.col("status"))
+    refill(spark.table(name).select("code", even.alias("status"), "id"), name)
+    return spark.table(name)
 
 
 @query("""
@@ -487,6 +606,29 @@ def q_ctas_copy(spark: SparkSession, sf: str) -> DataFrame:
 # --- streams -------------------------------------------------------------------
 
 
+def in_batches(
+    spark: SparkSession, sf: str, keys: dict[str, str], start: Callable[..., StreamingQuery], parts: int = 4
+) -> None:
+    """Run a query over several batches, with a restart halfway.
+
+    The tables named in ``keys`` are written into growing folders, in ``parts`` by the
+    column given. ``start`` gets a stream of each folder, a file to a batch.
+    """
+    path = new_path(spark, "parts")
+    sources = {name: table(spark, sf, name) for name in keys}
+    last = {name: sources[name].agg(F.max(key)).first()[0] or 0 for name, key in keys.items()}
+    for i in range(parts):
+        for name, key in keys.items():
+            part = F.floor(F.col(key) * parts / F.lit(last[name] + 1))
+            sources[name].where(part == i).write.mode("append").parquet(f"{path}/{name}")
+        if i in (parts // 2 - 1, parts - 1):
+            streams = [
+                spark.readStream.schema(sources[name].schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/{name}")
+                for name in keys
+            ]
+            start(*streams).awaitTermination()
+
+
 @query(f"""
 select * from ({_TUMBLING})
 where we - interval 1 millisecond
@@ -494,52 +636,85 @@ where we - interval 1 millisecond
 def q_stream_tumbling(spark: SparkSession, sf: str) -> DataFrame:
     """The windows an append-mode stream has closed when the table ends."""
     session = streaming_session(spark)
-    events = stream(session, sf, "events").withColumnRenamed("user_id", "k")
-    closed = tumbling(with_bounded_lateness(events, "ts", 10), "ts", "1 hour", ["k"])
     path = new_path(session, "tumbling")
-    start_files(closed, f"{path}/out", f"{path}/checkpoint").awaitTermination()
+
+    def start(events: DataFrame) -> StreamingQuery:
+        late = with_bounded_lateness(events.withColumnRenamed("user_id", "k"), "ts", 10)
+        return start_files(tumbling(late, "ts", "1 hour", ["k"]), f"{path}/out", f"{path}/checkpoint")
+
+    in_batches(session, sf, {"events": "event_id"}, start)
     times = {c: utc_clock(c) for c in ("min_ts", "max_ts", "ws", "we")}
-    return session.read.schema(closed.schema).parquet(f"{path}/out").withColumns(times)
+    return session.read.parquet(f"{path}/out").withColumns(times)
 
 
 @query(ORACLES["q_word_count"])
 def q_stream_word_count(spark: SparkSession, sf: str) -> DataFrame:
     session = streaming_session(spark)
-    words = tokens(stream(session, sf, "documents"), "text")
-    totals = keyed_totals(words, ["word"], value="n")
     path = new_path(session, "words")
-    start_batches(
-        totals, updates_to_folder(f"{path}/out"), f"{path}/checkpoint", mode="update"
-    ).awaitTermination()
+
+    def start(documents: DataFrame) -> StreamingQuery:
+        totals = keyed_totals(tokens(documents, "text"), ["word"], value="n")
+        return start_batches(totals, updates_to_folder(f"{path}/out"), f"{path}/checkpoint", mode="update")
+
+    in_batches(session, sf, {"documents": "doc_id"}, start)
     return latest_totals(session.read.parquet(f"{path}/out"), ["word"], "cnt")
 
 
 @query(_RUNNING_COUNT)
 def q_stream_running_count(spark: SparkSession, sf: str) -> DataFrame:
     session = streaming_session(spark)
-    events = stream(session, sf, "events").select("event_id", "event_type")
     path = new_path(session, "changelog")
     write = changelog_to_folder(f"{path}/out", ["event_type"], ["event_id"], "running_cnt")
-    start_batches(events, write, f"{path}/checkpoint").awaitTermination()
+    in_batches(session, sf, {"events": "event_id"}, lambda events: start_batches(
+        events.select("event_id", "event_type"), write, f"{path}/checkpoint"
+    ))
     return session.read.parquet(f"{path}/out/changes").drop("batch_id")
 
 
+@query("""
+select event_id, sum(event_id % 100) over (
+  partition by user_id order by event_id rows between unbounded preceding and current row)::bigint as reached
+from events""")
+def q_stream_running_sum(spark: SparkSession, sf: str) -> DataFrame:
+    session = streaming_session(spark)
+    path = new_path(session, "sums")
+    write = changelog_to_folder(f"{path}/out", ["user_id"], ["event_id"], "reached", "n", rows_per_range=FEW_ROWS, full_every=2)
+    in_batches(session, sf, {"events": "event_id"}, lambda events: start_batches(
+        events.select("event_id", "user_id", (F.col("event_id") % 100).alias("n")), write, f"{path}/checkpoint"
+    ))
+    return session.read.parquet(f"{path}/out/changes").select("event_id", "reached")
+
+
+@query(ORACLES["q_watermark_trace"])
+def q_stream_watermark_trace(spark: SparkSession, sf: str) -> DataFrame:
+    session = streaming_session(spark)
+    path = new_path(session, "trace")
+    write = trace_to_folder(f"{path}/out", "ts", "10 SECONDS", ["sp"], ["event_id"])
+    in_batches(session, sf, {"events": "event_id"}, lambda events: start_batches(
+        events.select("event_id", "ts", (F.col("user_id") % 8).alias("sp")), write, f"{path}/checkpoint"
+    ))
+    return session.read.parquet(f"{path}/out/rows").select("event_id", "max_ts", "wm")
+
+
 def _committed(spark: SparkSession, sf: str) -> tuple[SparkSession, str]:
     session = streaming_session(spark)
     path = new_path(session, "commits")
     write = commit_to_folder(f"{path}/out")
-    messages_to_tables(
-        _messages(session, sf, stream), write, f"{path}/checkpoint", every=None
-    ).awaitTermination()
+    in_batches(session, sf, {"customer": "c_custkey", "orders": "o_orderkey"}, lambda customer, orders: messages_to_tables(
+        union_streams(_group_topic(customer), _member_topic(orders)), write, f"{path}/checkpoint", every=None
+    ))
     return session, f"{path}/out"
 
 
 @query(f"""{_MESSAGES}
 select case when topic = 'groups' then 'group' else 'member' end as kind, * from msg""")
 def q_stream_commit(spark: SparkSession, sf: str) -> DataFrame:
-    return committed_rows(*_committed(spark, sf)).drop("run", "batch_id")
+    return committed_rows(*_committed(spark, sf)).drop("run", "batch_id", "value")
 
 
 @query(_MESSAGES + _NEWEST.format(name="offset_value"))
 def q_stream_offsets(spark: SparkSession, sf: str) -> DataFrame:
-    return compact(stored_offsets(*_committed(spark, sf)))
+    """From a history of which the older batches were gathered in a snapshot."""
+    session, root = _committed(spark, sf)
+    compact_folder(session, root, keep=1)
+    return compact(stored_offsets(session, root))

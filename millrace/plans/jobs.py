@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from millrace.functions.messages import json_field, json_object, json_text, put_field
+from millrace.functions.messages import decode_once, json_object, json_text, put_field
 from millrace.functions.text import csv_key_ts, csv_pair, tokens
 from millrace.operators.aggregate import keyed_totals
 from millrace.operators.enrich import Fetch, lookup_map, service_lookup
@@ -33,13 +33,10 @@ def word_count(lines: DataFrame) -> DataFrame:
 def name_events(messages: DataFrame, names: dict[str, str]) -> DataFrame:
     """JSON events (column ``value``) with ``event_name`` looked up by ``event_id``;
     an unknown id adds nothing. A record that is not JSON fails the job."""
-    keyed = messages.select("value", json_field("value", "event_id").alias("event_id"))
+    decoded = decode_once(messages, json_object("value", strict=True), "fields")
+    keyed = decoded.withColumn("event_id", F.col("fields")["event_id"].cast("string"))
     named = lookup_map(keyed, "event_id", names, "event_name")
-    return named.select(
-        json_text(
-            put_field(json_object("value", strict=True), "event_name", F.col("event_name"))
-        ).alias("value")
-    )
+    return named.select(json_text(put_field(F.col("fields"), "event_name", F.col("event_name"))).alias("value"))
 
 
 def window_report(lines: DataFrame, width: str = "3 seconds", lateness: int = 10) -> DataFrame:

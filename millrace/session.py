@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import functools
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -52,25 +50,11 @@ def streaming_session(spark: SparkSession) -> SparkSession:
     return sibling
 
 
-@functools.cache
-def _local_dir() -> str:
-    return tempfile.mkdtemp(prefix="millrace-")
-
-
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach, named by ``spark.checkpoint.dir``.
-
-    Only a local session may go without the setting; it gets a temporary folder.
-    """
-    context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get(
-        "spark.checkpoint.dir"
-    )
-    if folder:
-        return folder.rstrip("/")
-    if not context.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    return _local_dir()
+    """The folder every executor can reach: ``spark.checkpoint.dir``, or else the
+    warehouse, through whichever file system that names."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    return (folder or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
 
 
 def new_path(spark: SparkSession, label: str) -> str:
@@ -90,7 +74,23 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
+def _file_system(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop_path
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, hadoop_path = _file_system(spark, path)
     return fs.exists(hadoop_path)
+
+
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder; none if there is no such folder."""
+    fs, hadoop_path = _file_system(spark, path)
+    return [x.getPath().getName() for x in fs.listStatus(hadoop_path)] if fs.exists(hadoop_path) else []
+
+
+def remove_path(spark: SparkSession, path: str) -> bool:
+    """Remove a folder and what is in it; whether there was one."""
+    fs, hadoop_path = _file_system(spark, path)
+    return fs.delete(hadoop_path, True)

@@ -6,9 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter
 
 
-def printed(df: DataFrame, rows: int = 1_000_000, mode: str = "append") -> DataStreamWriter:
-    """A writer that prints up to ``rows`` rows of each batch, untruncated."""
-    return (
-        df.writeStream.format("console").outputMode(mode)
-        .option("numRows", rows).option("truncate", "false")
-    )
+def print_rows(batch: DataFrame, batch_id: int) -> None:
+    """Print every row of a batch, fetching one partition at a time."""
+    print(f"batch {batch_id}: {', '.join(batch.columns)}")
+    for row in batch.toLocalIterator():
+        print(*row, sep=", ")
+
+
+def printed(df: DataFrame, mode: str = "append") -> DataStreamWriter:
+    """A writer that prints all rows of each batch, on the driver."""
+    return df.writeStream.outputMode(mode).foreachBatch(print_rows)

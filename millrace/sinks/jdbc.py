@@ -11,6 +11,9 @@ Tables (``Outlet`` names the first two kinds):
 - result table: the outlet's columns
 - offset history: ``partition_value int, offset_value bigint, insert_time timestamp``
 - staging table: the columns of ``route.ROUTED_SCHEMA``
+
+Rows of a kind without an outlet, corrupt messages say, fail the batch before anything of
+it is written; give them an ``Outlet`` or filter them out.
 - ledger: ``target varchar, run varchar, batch_id bigint, committed_at timestamp``
 """
 
@@ -22,6 +25,7 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from millrace.session import materialise
 from millrace.sinks.batches import WriteBatch, run_of
 from millrace.sources.jdbc import Database
 
@@ -50,17 +54,23 @@ def append_per_table(outlets: Sequence[Outlet], database: Database) -> WriteBatc
     replayed batch is inserted again."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
-            for outlet in outlets:
-                rows = batch.where(F.col("kind") == outlet.kind).select(*outlet.columns)
-                append_rows(rows, database, outlet.table)
-        finally:
-            batch.unpersist()
+        rows = decoded(batch, outlets)
+        for outlet in outlets:
+            append_rows(rows.where(F.col("kind") == outlet.kind).select(*outlet.columns), database, outlet.table)
 
     return write
 
 
+def decoded(batch: DataFrame, outlets: Sequence[Outlet]) -> DataFrame:
+    """The rows of a batch, written once at the width it is read at: the few connections
+    of a database must not narrow the reading and decoding too."""
+    rows = materialise(batch, "batch")
+    lost = rows.where(~F.col("kind").isin([o.kind for o in outlets])).select("kind", "topic", "offset_value").first()
+    if lost:
+        raise ValueError(f"no outlet for {lost.kind} messages, such as {lost.topic} at {lost.offset_value}")
+    return rows
+
+
 def stage_rows(database: Database) -> Stage:
     """Replaces the rows of a staging table, keeping its definition."""
     return lambda df, table: _writer(df, database, table).option("truncate", "true").mode("overwrite").save()
@@ -133,7 +143,8 @@ def _recorded(connection: Any, ledger: str, target: str, run: str, batch_id: int
 
 
 def _write_groups(
-    groups: dict[str, list[str]], staging: str, ledger: str, stage: Stage, connect: Connect
+    groups: dict[str, list[str]], outlets: Sequence[Outlet], staging: str, ledger: str, stage: Stage,
+    connect: Connect,
 ) -> WriteBatch:
     """A batch writer running one transaction per entry of ``groups``."""
 
@@ -142,7 +153,7 @@ def _write_groups(
         todo = [t for t in groups if not _recorded(connect(spark), ledger, t, run, batch_id)]
         if not todo:
             return
-        stage(batch, staging)
+        stage(decoded(batch, outlets), staging)
         for target in todo:
             record = (
                 f"INSERT INTO {ledger} (target, run, batch_id, committed_at) "
@@ -160,7 +171,7 @@ def commit_per_table(
     """A ``foreachBatch`` writer of routed rows with one transaction per table."""
     groups = {o.table: [insert_rows(o, staging)] for o in outlets}
     return _write_groups(
-        groups, staging, ledger, stage or stage_rows(database), connect or database.connect
+        groups, outlets, staging, ledger, stage or stage_rows(database), connect or database.connect
     )
 
 
@@ -174,7 +185,7 @@ def commit_with_offsets(
     statements = [insert_rows(o, staging) for o in outlets]
     statements += [insert_offsets(o, staging) for o in outlets if o.offsets]
     return _write_groups(
-        {target: statements}, staging, ledger, stage or stage_rows(database), connect or database.connect
+        {target: statements}, outlets, staging, ledger, stage or stage_rows(database), connect or database.connect
     )
 
 

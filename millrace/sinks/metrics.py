@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
+from pyspark.sql.streaming.listener import StreamingQueryProgress
 
 
 def observe_kinds(routed: DataFrame, name: str = "rows") -> DataFrame:
@@ -14,14 +17,39 @@ def observe_kinds(routed: DataFrame, name: str = "rows") -> DataFrame:
     return routed.observe(name, F.count(F.lit(1)).alias("all"), of("group"), of("member"), of("corrupt"))
 
 
+class BatchMetrics(StreamingQueryListener):
+    """Measures of every batch of the queries run while it listens, from the first on."""
+
+    def __init__(self, keep: Callable[[dict], None] | None = None) -> None:
+        """``keep`` gets one entry per batch, to write it somewhere; without it they are
+        gathered in ``entries``."""
+        self.entries: list[dict] = []
+        self._keep = keep or self.entries.append
+
+    def onQueryStarted(self, event) -> None:  # noqa: N802
+        pass
+
+    def onQueryProgress(self, event) -> None:  # noqa: N802
+        self._keep(metrics_of(event.progress))
+
+    def onQueryIdle(self, event) -> None:  # noqa: N802
+        pass
+
+    def onQueryTerminated(self, event) -> None:  # noqa: N802
+        pass
+
+
+def metrics_of(progress: StreamingQueryProgress) -> dict:
+    """Query, batch id, rows read, milliseconds and observed counts of a batch."""
+    return {
+        "query": str(progress.id),
+        "batch_id": progress.batchId,
+        "rows": progress.numInputRows,
+        "millis": progress.durationMs.get("triggerExecution"),
+        **{k: v for row in progress.observedMetrics.values() for k, v in row.asDict().items()},
+    }
+
+
 def batch_metrics(query: StreamingQuery) -> list[dict]:
-    """One entry per recent batch: its id, rows read, milliseconds, observed counts."""
-    return [
-        {
-            "batch_id": p.batchId,
-            "rows": p.numInputRows,
-            "millis": p.durationMs.get("triggerExecution"),
-            **{k: v for row in p.observedMetrics.values() for k, v in row.asDict().items()},
-        }
-        for p in query.recentProgress
-    ]
+    """The entries of the batches that Spark still remembers; ``BatchMetrics`` has all."""
+    return [metrics_of(p) for p in query.recentProgress]

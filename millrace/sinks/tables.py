@@ -6,6 +6,10 @@ streaming query. The offsets are written last and mark the batch as committed:
 readers see the rows of marked batches only. Writing a batch again replaces it, so a
 replay neither loses nor repeats rows. A query with a new checkpoint, started from
 ``stored_offsets``, goes on in the same folder.
+
+``compact_folder`` gathers the offsets of older batches in ``history/snapshot=N``, so that
+there are few folders to list: readers take the newest whole snapshot and the batches
+that have a folder of their own.
 """
 
 from __future__ import annotations
@@ -14,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from millrace.operators.offsets import newest
 from millrace.operators.route import ROUTED_SCHEMA
-from millrace.session import path_exists
+from millrace.session import child_names, path_exists, remove_path
 from millrace.sinks.batches import WriteBatch, run_of
 
 _OFFSETS_SCHEMA = (
@@ -47,17 +51,51 @@ def _replace(df: DataFrame, path: str, *partitions: str) -> None:
 
 def stored_offsets(spark: SparkSession, root: str) -> DataFrame:
     """The offset history of the committed batches."""
-    return _read(spark, f"{root}/offsets", _OFFSETS_SCHEMA)
+    own = _read(spark, f"{root}/offsets", _OFFSETS_SCHEMA)
+    snapshot = _last_snapshot(spark, root)
+    if snapshot is None:
+        return own
+    # a batch is in both while its folder is being removed
+    kept = spark.read.schema(_OFFSETS_SCHEMA).parquet(f"{root}/history/snapshot={snapshot}")
+    return kept.unionByName(own.join(kept.select(*_BATCH).distinct(), _BATCH, "left_anti"))
 
 
 def committed_rows(spark: SparkSession, root: str) -> DataFrame:
     """The routed rows of the committed batches."""
     rows = _read(spark, f"{root}/rows", f"{ROUTED_SCHEMA}, run string, batch_id bigint")
-    batch = ["run", "batch_id"]
-    return rows.join(stored_offsets(spark, root).select(*batch).distinct(), batch, "left_semi")
+    return rows.join(stored_offsets(spark, root).select(*_BATCH).distinct(), _BATCH, "left_semi")
+
+
+def compact_folder(spark: SparkSession, root: str, keep: int = 10) -> int:
+    """Write the history as one snapshot and remove the folders of the batches in it, but
+    for the last ``keep`` of each run, which a restart may still ask for. Returns how many
+    folders went. Run it now and then, one at a time; a run cut short is made up by the next."""
+    history = stored_offsets(spark, root)
+    last = _last_snapshot(spark, root)
+    number = 0 if last is None else last + 1
+    _replace(history.coalesce(1), f"{root}/history/snapshot={number}")
+    held = spark.read.schema(_OFFSETS_SCHEMA).parquet(f"{root}/history/snapshot={number}").select(*_BATCH).distinct()
+    newest_of = held.groupBy("run").agg(F.max("batch_id").alias("newest"))
+    old = held.join(newest_of, "run").where(F.col("batch_id") <= F.col("newest") - keep)
+    removed = 0
+    for row in old.toLocalIterator():
+        removed += remove_path(spark, f"{root}/offsets/run={row.run}/batch_id={row.batch_id}")
+    for n in range(number):
+        remove_path(spark, f"{root}/history/snapshot={n}")
+    return removed
+
+
+_BATCH = ["run", "batch_id"]
+
+
+def _last_snapshot(spark: SparkSession, root: str) -> int | None:
+    """The newest snapshot that was written to its end."""
+    numbers = [int(name.removeprefix("snapshot=")) for name in child_names(spark, f"{root}/history") if name.startswith("snapshot=")]
+    whole = [n for n in numbers if path_exists(spark, f"{root}/history/snapshot={n}/_SUCCESS")]
+    return max(whole, default=None)
 
 
 def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    if not path_exists(spark, path):
+    if not child_names(spark, path):
         return spark.createDataFrame([], T.StructType.fromDDL(schema))
     return spark.read.schema(schema).parquet(path)

@@ -35,10 +35,23 @@ class Database:
 
 
 def jdbc_query(spark: SparkSession, database: Database, query: str) -> DataFrame:
-    """The rows of a SQL query that the database runs."""
+    """The rows of a SQL query that the database runs, read by one task: for results that
+    are small. ``jdbc_table`` reads large ones."""
     return spark.read.format("jdbc").options(**database.options()).option("query", query).load()
 
 
+def jdbc_table(
+    spark: SparkSession, database: Database, table: str, column: str, low: str, high: str, parts: int
+) -> DataFrame:
+    """The rows of a table, or of a query in brackets with a name, in ``parts`` reads.
+
+    ``column``, a number or time, is cut evenly between ``low`` and ``high``; rows beyond
+    these, and with null, are read too.
+    """
+    bounds = {"dbtable": table, "partitionColumn": column, "lowerBound": low, "upperBound": high, "numPartitions": str(parts)}
+    return spark.read.format("jdbc").options(**database.options(), **bounds).load()
+
+
 def jdbc_view(spark: SparkSession, database: Database, table: str, view: str) -> None:
     """A view of a database table that can be read from and inserted into in SQL."""
     options = {**database.options(), "dbtable": table, "batchsize": str(database.batch_rows)}

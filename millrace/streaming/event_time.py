@@ -10,9 +10,9 @@ def with_bounded_lateness(df: DataFrame, ts: str, seconds: int, exact: bool = Tr
 
     Spark closes a window when the watermark reaches its end. With ``exact`` it
     closes one millisecond earlier, when the watermark reaches the window's last
-    millisecond.
+    millisecond. A delay cannot be below 0: there it closes at its end.
     """
     if dict(df.dtypes)[ts] == "timestamp_ntz":
         df = df.withColumn(ts, F.col(ts).cast("timestamp"))
-    delay = f"{seconds * 1000 - 1} milliseconds" if exact else f"{seconds} seconds"
+    delay = f"{max(seconds * 1000 - 1, 0)} milliseconds" if exact else f"{seconds} seconds"
     return df.withWatermark(ts, delay)

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.operators.aggregate import keyed_totals
 from millrace.operators.ranges import ROWS_PER_RANGE
-from millrace.operators.running import running_totals
+from millrace.operators.running import of_keys, running_totals
+from millrace.session import materialise
 from millrace.sinks.batches import WriteBatch
 
 FULL_EVERY = 20
@@ -17,54 +18,47 @@ def changelog_to_folder(
     keys: list[str],
     order: list[str],
     name: str,
+    value: str | None = None,
     rows_per_range: int = ROWS_PER_RANGE,
     full_every: int = FULL_EVERY,
 ) -> WriteBatch:
-    """A ``foreachBatch`` writer of the changelog of a keyed row count.
-
-    A batch is worked on in ranges like a table, so a hot key is spread over tasks,
-    and starts from the totals the batches before left. Rows with their totals go to
-    ``changes/batch_id=N``. The totals of the batch's keys go to
-    ``totals/batch_id=N``, with every ``full_every``-th batch those of all keys, so
-    that only the totals since then are read. A replayed batch replaces both.
-    ``root`` belongs to one checkpoint, as batch numbers do.
+    """A ``foreachBatch`` writer of the changelog of a keyed sum of ``value``, or of a
+    keyed row count.
+
+    A batch is worked on in ranges like a table, so a hot key is spread over tasks, and
+    starts from the totals of its own keys that the batches before left. Rows with their
+    totals go to ``changes/batch_id=N``. The totals of the batch's keys go to
+    ``totals/batch_id=N``, with every ``full_every``-th batch those of all keys, so that
+    only the totals since then are read. A replayed batch replaces both. ``root`` belongs
+    to one checkpoint, as batch numbers do.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        initial = _totals_before(batch.sparkSession, root, batch_id, full_every, keys, name)
-        # used several times, so the source is read once
-        batch.persist()
-        try:
-            changes = running_totals(batch, keys, order, name, initial=initial, rows_per_range=rows_per_range)
-            changes.write.mode("overwrite").parquet(f"{root}/changes/batch_id={batch_id}")
-            totals = keyed_totals(batch, keys, name)
-            if initial is not None:
-                totals = _updated(totals, initial, keys, name, everything=batch_id % full_every == 0)
-            totals.write.mode("overwrite").parquet(f"{root}/totals/batch_id={batch_id}")
-        finally:
-            batch.unpersist()
+        before = _totals_before(batch.sparkSession, root, batch_id, full_every)
+        rows = materialise(batch, "changelog-batch")
+        initial = None
+        if before is not None:
+            # keys of the batch only, before anything is shuffled by them
+            initial = latest_totals(of_keys(before, rows, keys), keys, name)
+        changes = running_totals(rows, keys, order, name, value, initial, rows_per_range)
+        changes.write.mode("overwrite").parquet(f"{root}/changes/batch_id={batch_id}")
+        totals = keyed_totals(rows, keys, name, value) if value else keyed_totals(rows, keys, name)
+        if before is not None:
+            everything = batch_id % full_every == 0
+            earlier = latest_totals(before, keys, name) if everything else initial
+            totals = totals.unionByName(earlier).groupBy(*keys).agg(F.sum(name).alias(name))
+        totals.write.mode("overwrite").parquet(f"{root}/totals/batch_id={batch_id}")
 
     return write
 
 
-def _totals_before(
-    spark: SparkSession, root: str, batch_id: int, full_every: int, keys: list[str], name: str
-) -> DataFrame | None:
+def _totals_before(spark: SparkSession, root: str, batch_id: int, full_every: int) -> DataFrame | None:
+    """What the batches since the last one with all keys wrote."""
     if batch_id == 0:
         return None
     full = (batch_id - 1) // full_every * full_every
     paths = [f"{root}/totals/batch_id={i}" for i in range(full, batch_id)]
-    written = spark.read.option("basePath", f"{root}/totals").parquet(*paths)
-    return latest_totals(written, keys, name)
-
-
-def _updated(
-    batch: DataFrame, before: DataFrame, keys: list[str], name: str, everything: bool
-) -> DataFrame:
-    """The totals of the keys of a batch, or of all keys."""
-    parts = batch.withColumn("_new", F.lit(True)).unionByName(before.withColumn("_new", F.lit(False)))
-    totals = parts.groupBy(*keys).agg(F.sum(name).alias(name), F.bool_or("_new").alias("_new"))
-    return (totals if everything else totals.where("_new")).drop("_new")
+    return spark.read.option("basePath", f"{root}/totals").parquet(*paths)
 
 
 def updates_to_folder(root: str) -> WriteBatch:

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.operators import enrich
-from millrace.operators.enrich import hot_keys, http_fetch, lookup_join, lookup_map, service_lookup
+from millrace.operators.enrich import http_fetch, lookup_join, lookup_map, service_lookup
 
 
 def rows(df):
@@ -21,11 +21,6 @@ def facts(spark):
     )
 
 
-def test_hot_keys_are_those_with_a_large_share(spark):
-    assert hot_keys(facts(spark), "k", 0.1) == [7]
-    assert hot_keys(facts(spark).where("false"), "k") == []
-
-
 @pytest.mark.parametrize("threshold", ["10MB", "-1"])
 def test_lookup_join_keeps_every_row_once(spark, threshold):
     session = spark.newSession()
@@ -33,18 +28,33 @@ def test_lookup_join_keeps_every_row_once(spark, threshold):
     df = session.createDataFrame(facts(spark).collect(), "k long, seq long")
     dim = session.range(0, 500).select(F.col("id").alias("k"), F.col("id").cast("string").alias("name"))
     plain = lookup_join(df, dim, "k").select("seq", "k", "name")
-    split = lookup_join(df, dim, "k", hot_keys(df, "k", 0.1)).select("seq", "k", "name")
     want = sorted(
         ((s, k, str(k) if k is not None and k < 500 else None) for k, s in df.collect()), key=str
     )
     assert rows(plain) == want
-    assert rows(split) == want
 
 
-def test_lookup_table_must_have_one_row_per_hot_key(spark):
-    dim = spark.createDataFrame([(7, "a"), (7, "b")], "k long, name string")
-    with pytest.raises(ValueError, match="several rows"):
-        lookup_join(facts(spark), dim, "k", [7])
+def test_repeated_keys_of_the_lookup_table_give_as_many_rows(spark):
+    dim = spark.createDataFrame([(7, "a"), (7, "b"), (None, "n")], "k long, name string")
+    df = spark.createDataFrame([(7,), (8,), (None,)], "k long")
+    assert rows(lookup_join(df, dim, "k")) == sorted([(7, "a"), (7, "b"), (8, None), (None, None)], key=str)
+
+
+def test_a_lookup_runs_no_job_and_reads_each_side_once(spark, tmp_path):
+    session = spark.newSession()
+    session.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    session.range(0, 4000).select((F.when(F.col("id") % 10 == 0, F.col("id"))).alias("k"), F.col("id").alias("n")).write.parquet(str(tmp_path / "a"))
+    session.range(0, 100).select(F.col("id").alias("k"), F.lit("x").alias("name")).write.parquet(str(tmp_path / "b"))
+    left, right = (session.read.parquet(str(tmp_path / n)) for n in "ab")
+    session.sparkContext.setJobGroup("lookup", "")
+    joined = lookup_join(left, right, "k")
+    assert not session.sparkContext.statusTracker().getJobIdsForGroup("lookup")
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 2
+    # nine rows of ten have no key, and yet no task gets most of them
+    session.conf.set("spark.sql.adaptive.enabled", "false")
+    sizes = lookup_join(left, right, "k").groupBy(F.spark_partition_id()).count().toPandas()["count"]
+    assert len(sizes) == 4 and sizes.max() < 2000
 
 
 def test_mapping_is_broadcast_and_misses_are_null(spark):

@@ -7,6 +7,7 @@ transactions, and what happens on failures and replays.
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from millrace.operators.route import ROUTED_SCHEMA
 from millrace.sinks.jdbc import (
@@ -82,7 +83,7 @@ def db():
 
 @pytest.fixture
 def batch(spark):
-    rows = [("group", 1, "g", None, "groups", 0, 5), ("member", 2, None, "m", "members", 1, 6)]
+    rows = [("group", 1, "g", None, "groups", 0, 5, None), ("member", 2, None, "m", "members", 1, 6, None)]
     return spark.createDataFrame(rows, ROUTED_SCHEMA)
 
 
@@ -102,6 +103,34 @@ def test_all_tables_and_offsets_share_a_transaction(db, batch):
     assert targets == ["groups", "members", "group_offsets", "member_offsets", "ledger"]
 
 
+def test_corrupt_messages_fail_the_batch_unless_they_have_an_outlet(spark, db, batch):
+    odd = batch.unionByName(spark.createDataFrame(
+        [("corrupt", None, None, None, "groups", 0, 9, bytearray(b"{"))], ROUTED_SCHEMA
+    ))
+    staged = []
+    with pytest.raises(ValueError, match="no outlet for corrupt messages, such as groups at 9"):
+        writer(commit_with_offsets, db, staged)(odd, 3)
+    assert not staged and not db.committed
+    outlets = [GROUPS, MEMBERS, Outlet("corrupt", "rejected", ("topic", "partition_value", "offset_value", "value"))]
+    write = commit_with_offsets(
+        outlets, "staging", "ledger", stage=lambda df, table: staged.append(df.count()), connect=db.connect
+    )
+    write(odd, 3)
+    assert staged == [3] and any("INTO rejected" in s for s in db.committed)
+
+
+def test_a_batch_is_decoded_at_its_own_width_before_connections_limit_it(spark, db, batch):
+    seen = []
+    wide = batch.repartition(7).withColumn("id", F.col("id") + F.spark_partition_id() * 0)
+
+    def stage(df, table):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        seen.append("Scan parquet" in plan and "Exchange" not in plan)
+
+    commit_with_offsets([GROUPS, MEMBERS], "staging", "ledger", stage=stage, connect=db.connect)(wide, 1)
+    assert seen == [True]
+
+
 def test_each_table_has_its_transaction(db, batch):
     writer(commit_per_table, db, [])(batch, 3)
     assert [e for e in db.log if e != "close"] == [("commit", 2), ("commit", 2)]

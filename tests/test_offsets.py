@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators.offsets import EARLIEST, compact, merge, newest, next_offsets, starting_offsets
 from millrace.operators.tables import (
-    add_columns, compact_offset_table, copy_structure, copy_table, recreate, refill,
+    add_columns, compact_offset_table, copy_structure, copy_table, recover, recreate, refill,
 )
 
 # stored_offsets of the fixtures
@@ -79,6 +79,33 @@ def test_a_failed_refill_leaves_the_table(spark, history):
     assert spark.table("history").count() == 4
 
 
+def test_a_refilled_table_keeps_its_columns_and_buckets(spark, history):
+    spark.sql("DROP TABLE IF EXISTS kept")
+    recreate(spark, "kept", "partition_value int, offset_value bigint, insert_time timestamp", "partition_value", 4)
+    spark.sql("INSERT INTO kept VALUES (0, 5, timestamp '2024-01-01'), (0, 7, timestamp '2024-01-02'), (1, 3, timestamp '2024-01-01')")
+    compact_offset_table(spark, "kept")
+    table = spark.table("kept")
+    assert rows(table.drop("insert_time")) == [(0, 7), (1, 3)] and table.where("insert_time is null").isEmpty()
+    assert table.columns == ["partition_value", "offset_value", "insert_time"]
+    described = {r.col_name: r.data_type for r in spark.sql("DESCRIBE EXTENDED kept").collect()}
+    assert described["Num Buckets"] == "4" and "partition_value" in described["Bucket Columns"]
+    spark.sql("INSERT INTO kept VALUES (2, 1, timestamp '2024-01-03')")
+    assert spark.table("kept").count() == 3
+    with pytest.raises(ValueError, match="no column other"):
+        refill(table.withColumn("other", F.lit(1)), "kept")
+
+
+def test_a_swap_cut_short_is_made_up(spark, history):
+    spark.sql("ALTER TABLE history RENAME TO history__old")
+    recover(spark, "history")
+    assert spark.table("history").count() == 5
+    spark.sql("CREATE TABLE history__old LIKE history")
+    spark.sql("CREATE TABLE history__fresh LIKE history")
+    compact_offset_table(spark, "history")
+    assert [t.name for t in spark.catalog.listTables() if t.name.startswith("history")] == ["history"]
+    assert spark.table("history").count() == 4
+
+
 def test_table_copies(spark, history, tmp_path):
     copied = copy_table(history, "copied", str(tmp_path / "copied"))
     assert rows(copied) == rows(history)

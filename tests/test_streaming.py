@@ -11,20 +11,22 @@ from millrace.operators.aggregate import keyed_totals
 from millrace.operators.offsets import starting_offsets
 from millrace.operators.route import route
 from millrace.operators.running import running_totals
+from millrace.operators.watermark import flag_late
 from millrace.operators.windows import tumbling
 from millrace.plans.jobs import (
     look_up_clients, messages_to_tables, name_events, project_view, window_report, word_count,
 )
 from millrace.session import ROCKSDB_PROVIDER, streaming_session
 from millrace.sinks.console import printed
-from millrace.sinks.metrics import batch_metrics
-from millrace.sinks.tables import commit_to_folder, committed_rows, stored_offsets
+from millrace.sinks.metrics import BatchMetrics, batch_metrics
+from millrace.sinks.tables import commit_to_folder, committed_rows, compact_folder, stored_offsets
 from millrace.sources.kafka import KAFKA_SCHEMA, message_text
 from millrace.sources.text import folder_lines, socket_lines
 from millrace.sources.views import json_view
 from millrace.streaming.event_time import with_bounded_lateness
 from millrace.streaming.run import start_batches, start_files
 from millrace.streaming.totals import changelog_to_folder, latest_totals, updates_to_folder
+from millrace.streaming.watermark import late_to_folder
 
 BASE = 1790820681000
 
@@ -156,16 +158,16 @@ def test_an_event_that_is_not_json_fails_the_job(spark):
 
 
 def test_clients_are_looked_up_on_the_stream(spark, tmp_path):
-    write_files(tmp_path / "in", [["jack,client-id-jack", "jill,bad"]])
+    write_files(tmp_path / "in", [["ines,device-31", "omar,bad"]])
 
     def fetch(keys):
-        return [KeyError("unknown") if k == "bad" else "y2l920wu7l" for k in keys]
+        return [KeyError("unknown") if k == "bad" else "answer-of-31" for k in keys]
 
     clients = look_up_clients(folder_lines(spark, str(tmp_path / "in")), fetch)
     run(clients, tmp_path, lambda b, i: b.write.mode("append").parquet(f"{tmp_path}/out"))
     got = spark.read.parquet(f"{tmp_path}/out").select("name", "client_id", "xuid", "xuid_error").collect()
     assert sorted(map(tuple, got)) == [
-        ("jack", "client-id-jack", "y2l920wu7l", None), ("jill", "bad", None, "'unknown'"),
+        ("ines", "device-31", "answer-of-31", None), ("omar", "bad", None, "'unknown'"),
     ]
 
 
@@ -208,11 +210,14 @@ def test_messages_are_committed_with_their_offsets(spark, tmp_path):
     files = [GROUPS[:6] + MEMBERS[:1], GROUPS[6:] + MEMBERS[1:] + ODD]
     write_files(tmp_path / "in", [envelope(spark, f) for f in files])
     root = f"{tmp_path}/out"
+    listener = BatchMetrics()
+    spark.streams.addListener(listener)
     query = messages_to_tables(
         message_stream(spark, tmp_path), commit_to_folder(root), f"{tmp_path}/checkpoint", None
     )
     query.awaitTermination()
     got = committed_rows(spark, root)
+    assert got.where("kind = 'corrupt'").first().value is not None and got.where("kind <> 'corrupt' and value is not null").isEmpty()
     counts = {r.kind: r["count"] for r in got.groupBy("kind").count().collect()}
     assert counts == {"group": 11, "member": 6, "corrupt": 1}
     odd = got.where("topic = 'groups' and offset_value = 5").first()
@@ -227,6 +232,50 @@ def test_messages_are_committed_with_their_offsets(spark, tmp_path):
         (0, 7, 7, 6, 1, 0), (1, 11, 11, 5, 5, 1),
     ]
     assert all(m["millis"] >= 0 for m in metrics)
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    spark.streams.removeListener(listener)
+    heard = [m for m in listener.entries if m["query"] == str(query.id) and m["rows"]]
+    assert [m["batch_id"] for m in heard] == [0, 1] and [m["all"] for m in heard] == [7, 11]
+
+
+def test_a_folder_history_is_compacted(spark, tmp_path):
+    write_files(tmp_path / "in", [envelope(spark, [m]) for m in GROUPS[:6]])
+    root = f"{tmp_path}/out"
+    messages_to_tables(
+        message_stream(spark, tmp_path), commit_to_folder(root), f"{tmp_path}/checkpoint", None
+    ).awaitTermination()
+    before = sorted(map(str, stored_offsets(spark, root).collect()))
+    batches = len(list((tmp_path / "out" / "offsets").glob("run=*/batch_id=*")))
+    removed = compact_folder(spark, root, keep=2)
+    assert removed == batches - 2 > 0 and compact_folder(spark, root, keep=2) == 0
+    assert sorted(map(str, stored_offsets(spark, root).collect())) == before
+    assert committed_rows(spark, root).count() == 6
+    # a snapshot that was not written to its end does not count
+    (tmp_path / "out" / "history" / "snapshot=99").mkdir()
+    assert sorted(map(str, stored_offsets(spark, root).collect())) == before
+
+
+def test_late_rows_on_a_stream_are_those_of_the_table(spark, tmp_path):
+    rows = [(i, i % 2, 1000 * ((i * 37) % 200)) for i in range(200)]
+    df = spark.createDataFrame(rows, "seq int, p int, ms long").withColumn("ts", F.timestamp_millis("ms"))
+    for k in range(4):
+        df.where(f"seq div 50 = {k}").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    args = dict(ts="ts", width="3 seconds", delay="10 SECONDS", source=["p"], order=["seq"])
+    write = late_to_folder(str(tmp_path / "out"), **args)
+    start_batches(stream, write, str(tmp_path / "checkpoint")).awaitTermination()
+    got = spark.read.parquet(str(tmp_path / "out" / "rows"))
+    want = flag_late(df, **args)
+    assert {r.seq: r.is_late for r in got.collect()} == {r.seq: r.is_late for r in want.collect()}
+    with pytest.raises(ValueError, match="batch by batch"):
+        flag_late(stream, **args)
+
+
+def test_no_delay_at_all(spark, tmp_path):
+    df = spark.createDataFrame([(1, 0)], "k int, ms long").select("k", F.timestamp_millis("ms").alias("ts"))
+    df.write.parquet(str(tmp_path / "in"))
+    stream = with_bounded_lateness(spark.readStream.schema(df.schema).parquet(str(tmp_path / "in")), "ts", 0)
+    assert stream.isStreaming
 
 
 def test_batches_without_rows_leave_nothing_to_see(spark, tmp_path):
@@ -325,9 +374,9 @@ def test_raw_text_keeps_quotes(spark, tmp_path):
     assert route(df).first().group_code == "g0"
 
 
-def test_printing(spark, tmp_path):
+def test_printing(spark, tmp_path, capsys):
     write_files(tmp_path / "in", [["hello"]])
     query = printed(folder_lines(spark, str(tmp_path / "in"))).trigger(availableNow=True).start()
     query.awaitTermination()
     assert query.lastProgress.numInputRows == 1
-    assert "ConsoleTable" in query.lastProgress.sink.description
+    assert capsys.readouterr().out == "batch 0: value\nhello\n"
