@@ -9,13 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import hilbert, kneser_ney, language, minhash, mixing, quality_rules, repair, rule_ensemble, secrets, tiling
+from millrace.llm.oracles import ORACLES  # noqa: F401  (part of this module's contract)
 from millrace.llm.shipping import shipped
 
 #: Where the public tokenizers' files are on every machine.
 TOKENIZERS = os.environ.get("MILLRACE_TOKENIZERS", "/opt/tokenizers")
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
 
 
 def query(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:

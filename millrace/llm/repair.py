@@ -39,7 +39,7 @@ BLOCK = 1 << 20
 #: A pair is replaced if a block has it so often.
 FREQUENT = 4
 #: Text pieces whose ids are remembered by a worker.
-REMEMBERED = 200_000
+REMEMBERED = 400_000
 
 
 class Block(NamedTuple):
@@ -160,6 +160,9 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True  # their names in a text are plain text
         self.known: dict[str, bytes | None] = {}  # by piece after a space; None: cut differently
         self.tails: dict[str, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.opens = np.zeros(max(vocabulary.values()) + 1, bool)  # tokens that begin with a space
+        self.opens[[i for token, i in vocabulary.items() if token.startswith("\u0120")]] = True
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
@@ -193,12 +196,24 @@ class Encoder:
             else:
                 words.add(piece)
         ordered = list(words)
-        self.known.update(zip(ordered, self._ids([" " + word for word in ordered]), strict=True))
+        self.known.update(zip(ordered, self._ids_after_spaces(ordered), strict=True))
         tails = list({tail for _, _, tail in marked} - self.tails.keys())
         self.tails.update(zip(tails, self._ids(tails), strict=True))
         for piece, word, tail in marked:
             self.known[piece] = self.known[word] + self.tails[tail]
 
+    def _ids_after_spaces(self, words: list[str]) -> list[bytes]:
+        """Ids of words that hold no space, each after one. They are encoded in long rows;
+        a token that begins with a space begins a word, and no other does."""
+        out: list[bytes] = []
+        rows = ["".join(" " + word for word in words[at : at + 2000]) for at in range(0, len(words), 2000)]
+        for encoding in self.tokenizer.encode_batch_fast(rows, add_special_tokens=False):
+            ids = np.array(encoding.ids, "<u4")
+            data = ids.tobytes()
+            cuts = (np.flatnonzero(self.opens[ids]) * 4).tolist()
+            out += [data[a:b] for a, b in zip(cuts, [*cuts[1:], len(data)], strict=True)]
+        return out
+
     def _ids(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", x.ids).tobytes() for x in found]
