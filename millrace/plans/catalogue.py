@@ -232,6 +232,21 @@ def q_window_collect(spark: SparkSession, sf: str) -> DataFrame:
     return lists.withColumn("ids", F.array_join("ids", ","))
 
 
+@query("""
+select ws, chunk, count(*) as cnt, string_agg(cast(event_id as varchar), ',' order by n) as ids
+from (select *, (n - 1) // 25 as chunk from (
+  select event_id, time_bucket(interval 1 day, ts) as ws,
+         row_number() over (partition by time_bucket(interval 1 day, ts) order by ts, event_id) as n
+  from events)) group by ws, chunk""")
+def q_window_collect_chunked(spark: SparkSession, sf: str) -> DataFrame:
+    """Windows of many rows, each as several lists."""
+    lists = collect_window(
+        table(spark, sf, "events"), "ts", "1 day", F.col("event_id").cast("string"), ["ts", "event_id"], name="ids",
+        chunk_rows=25, rows_per_range=FEW_ROWS,
+    )
+    return lists.withColumn("ids", F.array_join("ids", ","))
+
+
 @query("""
 select k, ws, chunk, string_agg(strftime(ts, '%Y-%m-%d %H:%M:%S'), ',' order by n) as times
 from (select *, (n - 1) // 10000 as chunk from (
