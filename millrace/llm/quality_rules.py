@@ -16,6 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,7 +31,7 @@ SAMPLE = 4000
 THRESHOLD = 0.3
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
-STEPS, RATE, RIDGE, SCALE = 300, 0.1, 1e-5, 30.0
+STEPS, RATE, RIDGE, SCALE = 200, 0.1, 1e-5, 30.0
 #: Bytes of text that are looked at in one go; arrays of 8 bytes each are made of them.
 PIECE = 1 << 20
 
@@ -85,15 +86,17 @@ def sparse(texts: Texts, words: Words) -> list[tuple[np.ndarray, np.ndarray]]:
     return [(slots[a:b], values[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)]
 
 
-def fitted(rows: list[np.ndarray], slots: np.ndarray, values: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, float]:
-    """Weights and bias by full-batch Adam; rows: the text of each entry."""
+def fitted(starts: np.ndarray, slots: np.ndarray, values: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, float]:
+    """Weights and bias by full-batch Adam. The entries of a text follow each other, from
+    ``starts`` on; every text has some."""
     n = len(labels)
+    sizes = np.diff(starts, append=len(slots))
     weights, bias = np.zeros(1 << BITS), float(np.log((labels.sum() + 1) / (n - labels.sum() + 1)))
     first, second, step_b = np.zeros(1 << BITS), np.zeros(1 << BITS), 0.0
     for step in range(1, STEPS + 1):
-        raw = np.bincount(rows, values * weights[slots], n) + bias
+        raw = np.add.reduceat(values * weights[slots], starts) + bias
         error = (1 / (1 + np.exp(-np.clip(raw, -60, 60))) - labels) / n
-        slope = np.bincount(slots, values * error[rows], 1 << BITS) + RIDGE * weights
+        slope = np.bincount(slots, values * np.repeat(error, sizes), 1 << BITS) + RIDGE * weights
         first = 0.9 * first + 0.1 * slope
         second = 0.999 * second + 0.001 * slope**2
         weights -= RATE * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-7)
@@ -131,20 +134,24 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Classifie
                 })
 
     def fit(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        table = table.sort_by([("doc_id", "ascending")])
+        # texts without any n-gram say nothing
+        table = table.filter(pc.greater(pc.binary_length(table["slots"]), 0)).sort_by([("doc_id", "ascending")])
         goals = table["label"].to_numpy().astype(float)
         unseen = np.arange(len(goals)) % 4 == 3
         if len(set(goals[~unseen])) < 2:
             return pa.table({"weights": pa.array([], pa.binary()), "numbers": pa.array([], pa.list_(pa.float64()))})
-        slots = [np.frombuffer(x.as_py(), np.int32) for x in table["slots"]]
-        shares = [np.frombuffer(x.as_py(), np.float32) for x in table["shares"]]
-        rows = np.repeat(np.arange(len(slots)), [len(s) for s in slots])
-        slots, shares = np.concatenate(slots), np.concatenate(shares)
-        seen = ~unseen[rows]
-        place = np.cumsum(~unseen) - 1
-        weights, bias = fitted(place[rows[seen]], slots[seen], shares[seen], goals[~unseen])
-        raw = np.bincount(rows, shares * weights[slots], len(goals)) + bias
-        slope, shift = platt(raw[unseen], goals[unseen]) if len(set(goals[unseen])) > 1 else (1.0, 0.0)
+
+        def entries(part: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            slots = [np.frombuffer(x.as_buffer(), np.int32) for x in part["slots"]]
+            starts = np.cumsum([0, *(len(s) for s in slots[:-1])])
+            values = np.concatenate([np.frombuffer(x.as_buffer(), np.float32) for x in part["shares"]])
+            return starts, np.concatenate(slots).astype(np.int64), values
+
+        weights, bias = fitted(*entries(table.filter(pa.array(~unseen))), goals[~unseen])
+        slope, shift = 1.0, 0.0
+        if len(set(goals[unseen])) > 1:
+            starts, slots, values = entries(table.filter(pa.array(unseen)))
+            slope, shift = platt(np.add.reduceat(values * weights[slots], starts) + bias, goals[unseen])
         return pa.table({"weights": [weights.tobytes()], "numbers": [[bias, slope, shift]]})
 
     schema = "all int, doc_id long, label int, slots binary, shares binary"
