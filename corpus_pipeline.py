@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from millrace.llm import minhash, mixing, quality_rules, repair, tiling
-from millrace.llm.catalogue import TOKENIZERS, table
+from millrace.llm.catalogue import table, tokenizer_file
 from millrace.llm.shipping import shipped
 from millrace.session import materialise
 
@@ -45,7 +45,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def token_blocks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Encode, compress, write, and read back."""
     shipped(spark)
-    return repair.digests(spark, repair.written(docs, f"{TOKENIZERS}/byte_bpe_50k.json"))
+    return repair.digests(spark, repair.written(docs, tokenizer_file("byte_bpe_50k.json")))
 
 
 STAGES = [

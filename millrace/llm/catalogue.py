@@ -12,8 +12,16 @@ from millrace.llm import hilbert, kneser_ney, language, minhash, mixing, quality
 from millrace.llm.oracles import ORACLES  # noqa: F401  (part of this module's contract)
 from millrace.llm.shipping import shipped
 
-#: Where the public tokenizers' files are on every machine.
-TOKENIZERS = os.environ.get("MILLRACE_TOKENIZERS", "/opt/tokenizers")
+def tokenizer_file(name: str) -> str:
+    """A public tokenizer's file, which is at the same place on every machine: in the folder
+    that ``MILLRACE_TOKENIZERS`` names, or else in the package that brings them."""
+    folder = os.environ.get("MILLRACE_TOKENIZERS")
+    if folder:
+        return os.path.join(folder, name)
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -55,7 +63,7 @@ def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Languages of all documents, learnt from two folds of three."""
-    return language.identified(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/piece_bpe_32k.model")
+    return language.identified(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
 
 
 @query
@@ -91,4 +99,4 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents' ids as Re-Pair blocks, written, read back and decoded."""
     docs = table(spark, sf_dir, "documents")
-    return repair.digests(spark, repair.written(docs, f"{TOKENIZERS}/byte_bpe_50k.json"))
+    return repair.digests(spark, repair.written(docs, tokenizer_file("byte_bpe_50k.json")))

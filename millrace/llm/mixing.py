@@ -73,7 +73,7 @@ def copies(docs: DataFrame, weigh=cyclic_weights, most: int = MOST, seed: int =
         "doc_id", F.col("source").cast("string").alias("source"), words_in(F.col("text")).alias("size"),
         F.crc32(F.coalesce(F.col("text"), F.lit(""))).alias("check"),
     )
-    # null sources: a name of their own, told apart by its length
+    # null is a source of its own: every name has a mark before it
     named = slim.withColumn("key", F.when(F.col("source").isNull(), "").otherwise(F.concat(F.lit("="), F.col("source"))))
     slim = materialise(named.withColumns({"hash": id_hash(), "class": size_class(F.col("size"))}), "mix-sizes")
     sources = weigh(slim.groupBy("key", "source").agg(F.sum("size").alias("source_size")))

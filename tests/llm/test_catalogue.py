@@ -10,7 +10,7 @@ import pytest
 
 import corpus_pipeline
 from millrace.llm import minhash, mixing, quality_rules
-from millrace.llm.catalogue import ORACLES, QUERIES, TOKENIZERS
+from millrace.llm.catalogue import ORACLES, QUERIES, tokenizer_file
 
 from .conftest import prose
 from .test_minhash import slow
@@ -83,7 +83,7 @@ def test_stages_do_what_brute_force_does(spark, corpus):
     assert set(kept["benchmark_decontamination"]) == set(alone) - {310, 311}
     mix = kept["mix_sources"]
     assert set(mix) <= set(alone) and max(mix[i] for i in mix if i is not None) <= 3
-    plain = Tokenizer.from_file(f"{TOKENIZERS}/byte_bpe_50k.json")
+    plain = Tokenizer.from_file(tokenizer_file("byte_bpe_50k.json"))
     found = docs.collect()
     assert Counter(r.doc_id for r in found) == mix
     for r in found:

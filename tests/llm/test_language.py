@@ -4,9 +4,9 @@ import numpy as np
 import pytest
 
 from millrace.llm import language
-from millrace.llm.catalogue import TOKENIZERS
+from millrace.llm.catalogue import tokenizer_file
 
-PATH = f"{TOKENIZERS}/piece_bpe_32k.model"
+PATH = tokenizer_file("piece_bpe_32k.model")
 TEXTS = {
     "en": "the river and the garden were quiet when they came home that evening with some bread",
     "de": "der Fluss und die Gärten waren ruhig als sie am Abend mit etwas Brot nach Hause kamen",

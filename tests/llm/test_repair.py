@@ -6,9 +6,9 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from millrace.llm import repair
-from millrace.llm.catalogue import TOKENIZERS
+from millrace.llm.catalogue import tokenizer_file
 
-PATH = f"{TOKENIZERS}/byte_bpe_50k.json"
+PATH = tokenizer_file("byte_bpe_50k.json")
 
 
 @settings(max_examples=200, deadline=None)
