@@ -38,8 +38,8 @@ MAGIC = b"RPR1"
 BLOCK = 1 << 20
 #: A pair is replaced if a block has it so often.
 FREQUENT = 4
-#: Text pieces whose ids are remembered by a worker.
-REMEMBERED = 400_000
+#: Text pieces whose ids a task remembers; as many older ones are kept beside them.
+REMEMBERED = 250_000
 
 
 class Block(NamedTuple):
@@ -66,6 +66,27 @@ class Block(NamedTuple):
     def expand(self, symbols: np.ndarray) -> np.ndarray:
         """The ids that the symbols stand for."""
         symbols = symbols.astype(np.int64)
+        at = np.flatnonzero(symbols >= self.terminals)
+        if len(at) <= len(self.left):
+            return self._unfolded(symbols).astype("<u4")
+        # many symbols: unfold each rule once, then copy the runs that they stand for
+        rules = self._unfolded(np.arange(len(self.left)) + self.terminals).astype("<u4")
+        sizes = self.lengths.astype(np.int64)
+        begins = np.cumsum(sizes) - sizes
+        rule = symbols[at] - self.terminals
+        width = np.ones(len(symbols), np.int64)
+        width[at] = sizes[rule]
+        place = np.cumsum(width) - width
+        out = np.empty(place[-1] + width[-1], "<u4")
+        alone = np.ones(len(symbols), bool)
+        alone[at] = False
+        out[place[alone]] = symbols[alone]
+        run = width[at]
+        step = np.arange(run.sum()) - np.repeat(np.cumsum(run) - run, run)
+        out[np.repeat(place[at], run) + step] = rules[np.repeat(begins[rule], run) + step]
+        return out
+
+    def _unfolded(self, symbols: np.ndarray) -> np.ndarray:
         while len(at := np.flatnonzero(symbols >= self.terminals)):
             width = np.ones(len(symbols), np.int64)
             width[at] = 2
@@ -76,7 +97,7 @@ class Block(NamedTuple):
             out[place[at]] = self.left[rule]
             out[place[at] + 1] = self.right[rule]
             symbols = out
-        return symbols.astype("<u4")
+        return symbols
 
     def widths(self) -> np.ndarray:
         """How many ids each symbol of the sequence stands for."""
@@ -158,7 +179,9 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their names in a text are plain text
-        self.known: dict[str, bytes | None] = {}  # by piece after a space; None: cut differently
+        # by piece after a space, the last ones met and those before; None: cut differently
+        self.known: dict[str, bytes | None] = {}
+        self.older: dict[str, bytes | None] = {}
         self.tails: dict[str, bytes] = {}
         vocabulary = self.tokenizer.get_vocab()
         self.opens = np.zeros(max(vocabulary.values()) + 1, bool)  # tokens that begin with a space
@@ -167,8 +190,7 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
         if len(self.known) > REMEMBERED:
-            self.known.clear()
-            self.tails.clear()
+            self.older, self.known = self.known, {}
         cut = [text.split(" ") for text in texts]
         heads = self._ids([parts.pop(0) for parts in cut])
         self._learn(set().union(*cut) - self.known.keys())
@@ -182,9 +204,14 @@ class Encoder:
                 out += self._ids([text])
         return out
 
+    def forget(self) -> None:
+        self.known, self.older, self.tails = {}, {}, {}
+
     def _learn(self, pieces: set[str]) -> None:
         words, marked = set(), []
-        for piece in pieces:
+        again = pieces & self.older.keys()
+        self.known.update((piece, self.older[piece]) for piece in again)
+        for piece in pieces - again:
             if not piece or piece[0].isspace() or piece[-1].isspace():
                 self.known[piece] = None
                 continue
@@ -221,7 +248,7 @@ class Encoder:
 
 @functools.cache
 def encoder_of(path: str) -> Encoder:
-    """One per worker, so that what it has met is kept from task to task."""
+    """One per worker: its vocabulary is not read anew by each task."""
     return Encoder(path)
 
 
@@ -266,6 +293,7 @@ def encoded(docs: DataFrame, path: str, end: int = 0, terminals: int = 1 << 16,
                         number, size = number + 1, 0
         if streams:
             yield block()
+        encoder.forget()  # the worker lives on, in other stages
 
     ranged = (
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
