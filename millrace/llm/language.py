@@ -13,6 +13,7 @@ language that comes first by name.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -21,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.kneser_ney import remainder
-from millrace.llm.words import BASE, SEGMENT, U64, Texts, mix, pieces, sum_by, texts_of, words_of
+from millrace.llm.words import BASE, SEGMENT, U64, Texts, Words, mix, pieces, sum_by, texts_of, words_of
 from millrace.session import materialise
 
 #: Texts of each language that are learnt from, about.
@@ -31,18 +32,28 @@ LONGEST = 12
 SMOOTHED = 0.01
 #: Probability of a character that is no piece, the same for all languages.
 UNKNOWN = 1e-9
+#: Word types that are learnt from at a time.
+TYPES = 50_000
+#: Probabilities of word types, one for each language, that a task remembers.
+REMEMBERED = 4_000_000
 START = "▁"
 
 
-class Vocabulary(NamedTuple):
-    """Sorted hashes of the pieces."""
+class Vocabulary:
+    """Sorted hashes of the pieces, and which of their leading bits occur at all."""
 
-    hashes: np.ndarray
+    def __init__(self, hashes: np.ndarray) -> None:
+        self.hashes = hashes
+        self.some = np.zeros(1 << 20, bool)
+        self.some[hashes >> U64(44)] = True
 
     def ids(self, hashed: np.ndarray) -> np.ndarray:
         """Place of each piece; the number of pieces where there is none."""
-        place = np.minimum(np.searchsorted(self.hashes, hashed), len(self.hashes) - 1)
-        return np.where(self.hashes[place] == hashed, place, len(self.hashes))
+        out = np.full(len(hashed), len(self.hashes))
+        at = np.flatnonzero(self.some[hashed >> U64(44)])
+        place = np.minimum(np.searchsorted(self.hashes, hashed[at]), len(self.hashes) - 1)
+        out[at] = np.where(self.hashes[place] == hashed[at], place, len(self.hashes))
+        return out
 
 
 def rolled(characters: np.ndarray, before: np.ndarray | None = None) -> np.ndarray:
@@ -160,14 +171,51 @@ def expected(words: list[str], counts: np.ndarray, vocabulary: Vocabulary, p: np
     return out[:-1]
 
 
-def distinct_words(batch: pa.RecordBatch) -> tuple[list[str], np.ndarray, np.ndarray, Texts]:
-    """The batch's word types as strings, for each word its type, and the words by text."""
+class Types(NamedTuple):
+    """A batch's word types by their sorted hashes, and for each word its type."""
+
+    texts: Texts
+    words: Words
+    hashes: np.ndarray
+    first: np.ndarray
+    at: np.ndarray
+
+    def strings(self, which: np.ndarray) -> list[str]:
+        """Some of the types, in lower case."""
+        data, first = self.texts.data.tobytes(), self.first[which]
+        starts, ends = self.words.starts[first].tolist(), self.words.ends[first].tolist()
+        return [data[a:b].decode("utf-8", "replace").lower() for a, b in zip(starts, ends, strict=True)]
+
+
+def types_of(batch: pa.RecordBatch) -> Types:
     texts = texts_of(batch["text"])
     words = words_of(texts)
-    _, first, at = np.unique(words.hashes, return_index=True, return_inverse=True)
-    data = texts.data.tobytes()
-    starts, ends = words.starts[first].tolist(), words.ends[first].tolist()
-    return [data[a:b].decode("utf-8", "replace").lower() for a, b in zip(starts, ends, strict=True)], at, words.docs, texts
+    return Types(texts, words, *np.unique(words.hashes, return_index=True, return_inverse=True))
+
+
+class Remembered:
+    """Logarithms of the word types met last, by sorted hashes."""
+
+    def __init__(self, languages: int) -> None:
+        self.hashes, self.logs = np.zeros(0, U64), np.zeros((0, languages))
+
+    def of(self, types: Types, model: Model) -> np.ndarray:
+        """The logarithms of all types of a batch; only those not met before are worked out."""
+        out = np.zeros((len(types.hashes), self.logs.shape[1]))
+        known = np.zeros(len(out), bool)
+        if len(self.hashes):
+            place = np.minimum(np.searchsorted(self.hashes, types.hashes), len(self.hashes) - 1)
+            known = self.hashes[place] == types.hashes
+            out[known] = self.logs[place[known]]
+        fresh = np.flatnonzero(~known)
+        out[fresh] = log_probabilities(types.strings(fresh), model.vocabulary, model.p)
+        if (len(self.hashes) + len(fresh)) * self.logs.shape[1] > REMEMBERED:
+            self.hashes, self.logs = types.hashes, out
+        else:
+            hashes = np.concatenate([self.hashes, types.hashes[fresh]])
+            order = np.argsort(hashes, kind="stable")
+            self.hashes, self.logs = hashes[order], np.concatenate([self.logs, out[fresh]])[order]
+        return out
 
 
 class Model(NamedTuple):
@@ -176,6 +224,18 @@ class Model(NamedTuple):
     p: np.ndarray
 
 
+def gathered(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.Table]:
+    """The batches, several at a time: each word length of a batch costs a pass of its own."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(b.num_rows for b in held) >= rows:
+            yield pa.Table.from_batches(held)
+            held = []
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def sampled(docs: DataFrame, sample: int) -> DataFrame:
     """About ``sample`` texts of each language, by a hash of the id; all if there are fewer."""
     rows = docs.where("lang is not null and text is not null").select("doc_id", "text", F.col("lang").cast("string").alias("lang"))
@@ -193,14 +253,14 @@ def train(docs: DataFrame, path: str, sample: int = SAMPLE, rounds: int = ROUNDS
     def count(batches):
         for batch in batches:
             for piece in pieces(batch):
-                words, at, by_text, _ = distinct_words(piece)
+                types = types_of(piece)
                 names = np.array(piece["lang"].to_pylist(), object)
-                owner = np.repeat(names, np.diff(by_text))
+                owner = np.repeat(names, np.diff(types.words.docs))
                 for lang in set(names):
-                    types, counts = np.unique(at[owner == lang], return_counts=True)
+                    which, counts = np.unique(types.at[owner == lang], return_counts=True)
                     yield pa.record_batch({
-                        "lang": pa.array([lang] * len(types), pa.string()),
-                        "word": pa.array([words[t] for t in types.tolist()], pa.string()), "n": pa.array(counts, pa.int64()),
+                        "lang": pa.array([lang] * len(which), pa.string()),
+                        "word": pa.array(types.strings(which), pa.string()), "n": pa.array(counts, pa.int64()),
                     })
 
     counted = sampled(docs, sample).mapInArrow(count, "lang string, word string, n long")
@@ -213,9 +273,9 @@ def train(docs: DataFrame, path: str, sample: int = SAMPLE, rounds: int = ROUNDS
         def expect(batches):
             vocabulary, languages, p = sent.value
             totals: dict[str, np.ndarray] = {}
-            for batch in batches:
-                names = np.array(batch["lang"].to_pylist(), object)
-                words, counts = np.array(batch["word"].to_pylist(), object), batch["n"].to_numpy()
+            for table in gathered(batches, TYPES):
+                names = np.array(table["lang"].to_pylist(), object)
+                words, counts = np.array(table["word"].to_pylist(), object), table["n"].to_numpy()
                 for lang in set(names):
                     mine = names == lang
                     more = expected(words[mine].tolist(), counts[mine], vocabulary, p[:, languages.index(lang)])
@@ -253,16 +313,17 @@ def predicted(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches):
         model = sent.value
+        remembered = Remembered(len(model.languages))
         for batch in batches:
-            for piece in pieces(batch, limit=2 << 20):
-                n, names, scores = piece.num_rows, np.full(piece.num_rows, "und", object), np.zeros(piece.num_rows)
-                words, at, by_text, texts = distinct_words(piece)
+            for piece in pieces(batch):
+                names, scores = np.full(piece.num_rows, "und", object), np.zeros(piece.num_rows)
+                types = types_of(piece)
                 if model.languages:
-                    logs = log_probabilities(words, model.vocabulary, model.p)[at]
-                    total = np.stack([sum_by(logs[:, k], by_text) for k in range(len(model.languages))], 1)
+                    logs = remembered.of(types, model)[types.at]
+                    total = np.stack([sum_by(logs[:, k], types.words.docs) for k in range(len(model.languages))], 1)
                     best = total.argmax(1)
                     posterior = 1 / np.exp(total - total.max(1, keepdims=True)).sum(1)
-                    known = lettered(texts)
+                    known = lettered(types.texts)
                     names[known] = np.array(model.languages, object)[best[known]]
                     scores[known] = posterior[known]
                 yield pa.record_batch({
