@@ -5,6 +5,8 @@ probability is the sum over all ways to cut it into pieces, by the forward algor
 text's is the product over its words. Piece probabilities are learnt by expectation
 maximisation over the word types of a bounded sample of each language's texts. Words are
 scored once per batch and type, all languages at a time, in arrays of words of one length.
+Words of any length are learnt from and scored: where a script has no spaces, a whole line
+is one word. Long ones go in windows, so that memory does not grow with pieces times length.
 
 The score is the posterior of the predicted language. Texts that are null or have no
 letter get ``und`` and score 0; so do all texts if nothing was learnt. Ties go to the
@@ -22,16 +24,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.kneser_ney import remainder
-from millrace.llm.words import BASE, SEGMENT, U64, Texts, Words, mix, pieces, sum_by, texts_of, words_of
+from millrace.llm.words import BASE, U64, Texts, Words, mix, pieces, sum_by, texts_of, words_of
 from millrace.session import materialise
 
 #: Texts of each language that are learnt from, about.
 SAMPLE = 2000
 ROUNDS = 3
-LONGEST = 12
+#: Characters of the longest piece of the 32k model; each vocabulary has its own ``longest``.
+LONGEST = 16
 SMOOTHED = 0.01
 #: Probability of a character that is no piece, the same for all languages.
 UNKNOWN = 1e-9
+#: Characters times languages that are looked at in one go; longer words go in windows.
+CELLS = 1 << 16
 #: Word types that are learnt from at a time.
 TYPES = 50_000
 #: Probabilities of word types, one for each language, that a task remembers.
@@ -40,10 +45,11 @@ START = "▁"
 
 
 class Vocabulary:
-    """Sorted hashes of the pieces, and which of their leading bits occur at all."""
+    """Sorted hashes of the pieces, how many characters the longest has, and which leading
+    bits of the hashes occur at all."""
 
-    def __init__(self, hashes: np.ndarray) -> None:
-        self.hashes = hashes
+    def __init__(self, hashes: np.ndarray, longest: int) -> None:
+        self.hashes, self.longest = hashes, longest
         self.some = np.zeros(1 << 20, bool)
         self.some[hashes >> U64(44)] = True
 
@@ -63,7 +69,7 @@ def rolled(characters: np.ndarray, before: np.ndarray | None = None) -> np.ndarr
 
 
 def vocabulary_of(path: str) -> Vocabulary:
-    """The pieces of a public model file of at most ``LONGEST`` characters, in lower case."""
+    """The pieces of a public model file, in lower case."""
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -72,78 +78,94 @@ def vocabulary_of(path: str) -> Vocabulary:
         if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i))
     }
     hashed = []
-    for piece in sorted(p for p in found if 0 < len(p) <= LONGEST):
+    for piece in sorted(found - {""}):
         h = None
         for c in piece:
             h = rolled(np.array([ord(c)]), h)
         hashed.append(mix(h))
-    return Vocabulary(np.unique(np.concatenate(hashed)))
+    return Vocabulary(np.unique(np.concatenate(hashed)), max(map(len, found)))
 
 
-def by_length(words: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Places and characters of the words of each length, the start mark included."""
+def by_length(words: list[str], cells: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places and characters of the words of each length, the start mark included, in parts
+    of about ``cells`` characters and one word at least: a row per character, a column per word."""
     lengths = np.array([len(w) for w in words])
-    out = []
     for n in np.unique(lengths).tolist():
         at = np.flatnonzero(lengths == n)
-        for low in range(0, len(at), max(1, SEGMENT // 4 // (n + 1))):
-            part = at[low : low + max(1, SEGMENT // 4 // (n + 1))]
+        rows = max(1, cells // (n + 1))
+        for low in range(0, len(at), rows):
+            part = at[low : low + rows]
             text = "".join(START + words[i] for i in part.tolist())
-            out.append((part, np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).reshape(len(part), n + 1)))
+            characters = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+            yield part, np.ascontiguousarray(characters.reshape(len(part), n + 1).T)
+
+
+def piece_ids(characters: np.ndarray, vocabulary: Vocabulary, low: int, high: int) -> np.ndarray:
+    """The pieces that start at the places ``low`` to ``high``, by place, length and word."""
+    n, w = characters.shape
+    out = np.full((high - low, min(vocabulary.longest, n), w), len(vocabulary.hashes))
+    h = None
+    for k in range(min(out.shape[1], n - low)):
+        stop = min(high, n - k)
+        h = rolled(characters[low + k : stop + k], None if h is None else h[: stop - low])
+        out[: stop - low, k] = vocabulary.ids(mix(h).ravel()).reshape(h.shape)
     return out
 
 
-def piece_ids(characters: np.ndarray, vocabulary: Vocabulary) -> dict[tuple[int, int], np.ndarray]:
-    """For each start and end within the words, the piece there."""
-    n = characters.shape[1]
-    out = {}
-    for i in range(n):
-        h = None
-        for j in range(i, min(n, i + LONGEST)):
-            h = rolled(characters[:, j], h)
-            out[i, j + 1] = vocabulary.ids(mix(h))
+def steps(ids: np.ndarray, p: np.ndarray) -> np.ndarray:
+    """The probabilities of pieces, a column per language behind the places, lengths and words."""
+    out = p[ids]
+    out[:, 0][ids[:, 0] == len(p) - 1] = UNKNOWN
     return out
 
 
-def forward(characters: np.ndarray, vocabulary: Vocabulary, p: np.ndarray, ids: dict | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Sums over the segmentations of each beginning of the words, scaled, and the logs of
-    the scales. ``p``: a row per piece and one of zeros, a column per language."""
-    w, n = characters.shape
-    window: list[np.ndarray] = [np.ones((w, p.shape[1]))]
-    if ids is None:
-        hashed: list[np.ndarray | None] = []
-    scale = np.zeros((w, p.shape[1]))
-    alphas = window[:]
-    for j in range(1, n + 1):
-        total = np.zeros((w, p.shape[1]))
-        if ids is None:
-            hashed = [rolled(characters[:, j - 1], h) for h in (hashed + [None])[-LONGEST:]]
-        for k, i in enumerate(range(max(0, j - LONGEST), j)):
-            at = vocabulary.ids(mix(hashed[k])) if ids is None else ids[i, j]
-            total += alphas[i - j] * p[at] if ids is None else alphas[i] * p[at]
-            if i == j - 1:
-                total += (alphas[-1] if ids is None else alphas[i]) * np.where(at == len(p) - 1, UNKNOWN, 0)[:, None]
-        if ids is None:
-            # only as many beginnings as a piece is long are kept, brought to one scale
-            top = total.max(1, keepdims=True)
-            small = (top < 1e-100) & (top > 0)
-            if small.any():
-                factor = np.where(small, 1e100, 1.0)
-                alphas = [a * factor for a in alphas]
-                total = total * factor
-                scale -= np.where(small, 100 * np.log(10), 0.0)
-            alphas = (alphas + [total])[-LONGEST:]
-        else:
-            alphas.append(total)
-    return (alphas[-1], scale) if ids is None else (np.stack(alphas), scale)
+def endings(characters: np.ndarray, vocabulary: Vocabulary, p: np.ndarray, window: int) -> Iterator[np.ndarray]:
+    """Window by window, probabilities of the pieces that end at each place, the longest first."""
+    n, w = characters.shape
+    longest = min(vocabulary.longest, n)
+    for low in range(0, n, window):
+        high = min(n, low + window)
+        begin = max(0, low - longest + 1)
+        started = steps(piece_ids(characters, vocabulary, begin, high), p)
+        out = np.zeros((high - low, longest, w, p.shape[1]))
+        for k in range(longest):
+            first = max(low, k)
+            out[first - low :, longest - 1 - k] = started[first - k - begin : high - k - begin, k]
+        yield out
+
+
+def beginnings(blocks: Iterator[np.ndarray]) -> Iterator[np.ndarray]:
+    """Logarithms of the sums over the segmentations of each beginning, for each of the
+    ``blocks`` of probabilities of the pieces that end at a place. Only as many sums as a
+    piece is long are kept; a word and language of small ones is brought to a scale of its own."""
+    last = scale = None
+    for block in blocks:
+        m, longest, *rest = block.shape
+        block = block.reshape(m, longest, -1)
+        if last is None:
+            last, scale = np.zeros((longest, block.shape[2])), np.zeros(block.shape[2])
+            last[-1] = 1
+        sums = np.concatenate([last, np.empty((m, block.shape[2]))])
+        out, scales = np.empty((m, block.shape[2])), np.empty((m, block.shape[2]))
+        for t in range(m):
+            total = np.einsum("kx,kx->x", sums[t : t + longest], block[t], out=sums[t + longest])
+            out[t], scales[t] = total, scale
+            if total.min() < 1e-100:
+                small = total < 1e-100
+                sums[t + 1 : t + 1 + longest] *= np.where(small, 1e100, 1.0)
+                scale = scale - np.where(small, 100 * np.log(10), 0.0)
+        last = sums[m:]
+        yield (np.log(np.maximum(out, 1e-300)) + scales).reshape(m, *rest)
 
 
 def log_probabilities(words: list[str], vocabulary: Vocabulary, p: np.ndarray) -> np.ndarray:
-    """Natural logarithms of the words' probabilities, a column per language."""
+    """Natural logarithms of the words' probabilities, a column per language. ``p``: a row
+    per piece and one of zeros, a column per language."""
     out = np.zeros((len(words), p.shape[1]))
-    for at, characters in by_length(words):
-        total, scale = forward(characters, vocabulary, p)
-        out[at] = np.log(np.maximum(total, 1e-300)) + scale
+    cells = max(1, CELLS // p.shape[1])
+    for at, characters in by_length(words, cells):
+        for logs in beginnings(endings(characters, vocabulary, p, max(vocabulary.longest, cells))):
+            out[at] = logs[-1]
     return out
 
 
@@ -151,23 +173,26 @@ def expected(words: list[str], counts: np.ndarray, vocabulary: Vocabulary, p: np
     """How often each piece is expected in the words, over all their segmentations, by one
     language's probabilities."""
     out = np.zeros(len(vocabulary.hashes) + 1)
-    for at, characters in by_length(words):
-        if characters.shape[1] > 40:  # rare, and nothing to learn from
-            continue
-        ids = piece_ids(characters, vocabulary)
-        column = np.append(p, 0.0)[:, None]
-        alpha, _ = forward(characters, vocabulary, column, ids)
-        alpha = alpha[:, :, 0]
-        n = characters.shape[1]
-        beta = np.zeros_like(alpha)
-        beta[n] = 1
-        for i in range(n - 1, -1, -1):
-            for j in range(i + 1, min(n, i + LONGEST) + 1):
-                step = column[ids[i, j], 0]
-                beta[i] += beta[j] * (step + np.where(ids[i, j] == len(p), UNKNOWN, 0) * (j == i + 1))
-        weight = counts[at] / np.maximum(alpha[n], 1e-300)
-        for (i, j), found in ids.items():
-            out += np.bincount(found, alpha[i] * column[found, 0] * beta[j] * weight, len(out))
+    column = np.append(p, 0.0)[:, None]
+    window = max(vocabulary.longest, CELLS)
+    for at, characters in by_length(words, CELLS):
+        n, w = characters.shape
+        lows = range(0, n, window)
+
+        def ids_from(low: int) -> np.ndarray:
+            return piece_ids(characters, vocabulary, low, min(n, low + window))  # noqa: B023
+
+        backwards = (steps(ids_from(low), column)[::-1, ::-1] for low in reversed(lows))
+        start = np.zeros((1, w))
+        alpha = np.concatenate([start, *(x[:, :, 0] for x in beginnings(endings(characters, vocabulary, column, window)))])
+        beta = np.concatenate([start, *(x[:, :, 0] for x in beginnings(backwards))])[::-1]
+        for low in lows:
+            ids = ids_from(low)
+            share = steps(ids, column)[..., 0]
+            for k in range(ids.shape[1]):
+                stop = max(low, min(low + len(ids), n - k))
+                share[: stop - low, k] *= np.exp(alpha[low:stop] + beta[low + k + 1 : stop + k + 1] - alpha[n]) * counts[at]
+            out += np.bincount(ids.ravel(), share.ravel(), len(out))
     return out[:-1]
 
 

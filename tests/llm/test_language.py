@@ -87,3 +87,49 @@ def test_odd_rows(make, odd, empty):
     assert language.identified(empty, PATH).count() == 0
     nothing = language.identified(make([(1, "some text", None, None), (2, None, "en", None)]), PATH).collect()
     assert {(r.lang_pred, r.score) for r in nothing} == {("und", 0.0)}
+
+
+def test_the_vocabulary_says_how_long_its_pieces_are(vocabulary):
+    assert vocabulary.longest == language.LONGEST
+    assert int(vocabulary.ids(hash_of("▁administration"))[0]) < len(vocabulary.hashes)
+
+
+def test_long_words_are_learnt_from(vocabulary, monkeypatch):
+    rng = np.random.default_rng(5)
+    p = rng.random(len(vocabulary.hashes)) ** 4
+    p /= p.sum()
+    words = ["".join(rng.choice(list("thegardnofi"), n)) for n in (3, 38, 39, 40, 41, 200, 200, 2500)]
+    counts = np.arange(1.0, 9.0)
+    whole = language.expected(words, counts, vocabulary, p)
+    # each character is in one piece of each segmentation
+    sizes = np.zeros(len(p))
+    for word in words:
+        text = language.START + word
+        for i in range(len(text)):
+            for j in range(i + 1, min(len(text), i + vocabulary.longest) + 1):
+                if (at := int(vocabulary.ids(hash_of(text[i:j]))[0])) < len(p):
+                    sizes[at] = j - i
+    assert math.isclose((whole * sizes).sum(), sum(c * (len(w) + 1) for c, w in zip(counts, words, strict=True)), rel_tol=1e-6)
+    logs = language.log_probabilities(words, vocabulary, np.vstack([p[:, None], [[0.0]]]))
+    monkeypatch.setattr(language, "CELLS", 100)
+    assert np.allclose(language.expected(words, counts, vocabulary, p), whole, rtol=1e-6, atol=1e-12)
+    assert np.allclose(language.log_probabilities(words, vocabulary, np.vstack([p[:, None], [[0.0]]])), logs, rtol=1e-9)
+
+
+def test_a_language_far_behind_within_a_word_catches_up(vocabulary):
+    p = np.full((len(vocabulary.hashes) + 1, 2), 1e-6)
+    p[-1] = 0
+    p[vocabulary.ids(hash_of("本")), 0] = p[vocabulary.ids(hash_of("日")), 1] = 0.5
+    logs = language.log_probabilities(["本" * 300 + "日" * 400, "日" * 400], vocabulary, p)
+    assert (logs.argmax(1) == 1).all() and math.isclose(logs[0, 1] - logs[0, 0], 100 * math.log(5e5), rel_tol=1e-2)
+
+
+def test_languages_without_spaces_are_told_apart(make):
+    rng = np.random.default_rng(7)
+    often = {"ja": "日本人の学生は大", "zh": "中国人的学生在大"}
+    rows = []
+    for i in range(120):
+        lang = ("ja", "zh")[i % 2]
+        rows.append((i, "".join(rng.choice(list(often[lang]), 60 + i)), lang, "s"))
+    found = {r.doc_id: r for r in language.identified(make(rows), PATH).collect()}
+    assert [found[i].lang_pred for i, *_ in rows] == [la for _, _, la, _ in rows]
