@@ -172,13 +172,16 @@ def compressed(ids: np.ndarray, documents: np.ndarray, terminals: int, frequent:
 class Encoder:
     """Ids of whole texts. A byte-level pre-tokenizer always cuts before a single space
     between two other characters, and between letters and the ASCII marks after them, so
-    the pieces between such places are encoded on their own, each of them once."""
+    the pieces between such places are encoded on their own, each of them once. If names of
+    added tokens stand for these tokens (``named``), texts that hold one are encoded whole."""
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, named: bool = False) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their names in a text are plain text
+        self.whole = Tokenizer.from_file(path) if named else self.tokenizer
+        self.names = [token.content for token in self.whole.get_added_tokens_decoder().values()] if named else []
+        self.tokenizer.encode_special_tokens = True  # pieces and rows of them hold no names
         # by piece after a space, the last ones met and those before; None: cut differently
         self.known: dict[str, bytes | None] = {}
         self.older: dict[str, bytes | None] = {}
@@ -189,6 +192,14 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
+        at = [i for i, text in enumerate(texts) if any(name in text for name in self.names)]
+        held = set(at)
+        out = self._encode([text if i not in held else "" for i, text in enumerate(texts)] if at else texts)
+        for i, encoding in zip(at, self.whole.encode_batch_fast([texts[i] for i in at], add_special_tokens=False), strict=True):
+            out[i] = array("I", encoding.ids).tobytes()
+        return out
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
         if len(self.known) > REMEMBERED:
             self.older, self.known = self.known, {}
         cut = [text.split(" ") for text in texts]
@@ -248,8 +259,9 @@ class Encoder:
 
 @functools.cache
 def encoder_of(path: str) -> Encoder:
-    """One per worker: its vocabulary is not read anew by each task."""
-    return Encoder(path)
+    """One per worker: its vocabulary is not read anew by each task. Ids are those of the
+    tokenizer on whole texts, so the name of an added token in a text is that token."""
+    return Encoder(path, named=True)
 
 
 BLOCKS = "shard int, block long, n long, first_doc long, last_doc long, doc_ids binary, data binary"

@@ -67,3 +67,21 @@ def test_a_document_is_decoded_from_its_own_symbols(spark, make):
         cuts = np.concatenate([[0], np.cumsum(block.documents.astype(np.int64))])
         for k, doc in enumerate(owners.to_pylist()):
             assert block.part(cuts[k], cuts[k + 1]).tobytes() == ids[doc].ids
+
+
+def test_names_of_added_tokens_are_these_tokens(spark, make):
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(PATH)
+    name = "<|endoftext|>"
+    texts = [name, f"a {name} b", f"a{name}", f"{name}{name} \n a", f"word, {name}. word", "word, word.", f"  a  {name}  b", "<|endof text|>", ""]
+    ids = [plain.encode(text, add_special_tokens=False).ids for text in texts]
+    assert plain.token_to_id(name) in ids[1]
+    assert [np.frombuffer(x, "<u4").tolist() for x in repair.encoder_of(PATH).encode(texts)] == ids
+    start, expected = 0, []
+    for i, found in enumerate(ids):
+        data = np.array([*found, 0], "<u4")
+        expected.append((i, start, len(data), zlib.crc32(data.tobytes())))
+        start += len(data)
+    got = repair.digests(spark, repair.written(make([(i, text, None, None) for i, text in enumerate(texts)]), PATH))
+    assert sorted(map(tuple, got.collect())) == expected
