@@ -1,3 +1,4 @@
+import numpy as np
 import pytest
 
 from millrace.llm import quality_rules, rule_ensemble
@@ -82,3 +83,13 @@ def test_paths_become_rules():
 def test_statistics_of_empty_texts_are_zero(odd):
     rows = {r.doc_id: r for r in described(odd).collect()}
     assert all(rows[40][name] == 0 for name in RATIOS) and all(rows[41][name] == 0 for name in RATIOS)
+
+
+def test_the_classifier_is_fitted_in_300_steps(monkeypatch):
+    rng = np.random.default_rng(2)
+    slots, labels = rng.integers(0, 40, 60 * 8), (rng.random(60) < 0.5).astype(float)
+    fit = lambda: quality_rules.fitted(np.arange(60) * 8, slots, np.full(len(slots), 2.0, np.float32), labels)
+    weights, bias = fit()
+    monkeypatch.setattr(quality_rules, "STEPS", 300)
+    longer, longer_bias = fit()
+    assert np.array_equal(weights, longer) and bias == longer_bias
