@@ -8,7 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import hilbert, kneser_ney, language, minhash, mixing, quality_rules, repair, rule_ensemble, secrets, tiling
+from millrace.llm import (
+    hilbert, kneser_ney, language, merkle, minhash, mixing, quality_rules, repair, repeats, rule_ensemble, secrets, tiling, trie,
+)
 from millrace.llm.oracles import ORACLES  # noqa: F401  (part of this module's contract)
 from millrace.llm.shipping import shipped
 
@@ -100,3 +102,22 @@ def op9_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents' ids as Re-Pair blocks, written, read back and decoded."""
     docs = table(spark, sf_dir, "documents")
     return repair.digests(spark, repair.written(docs, tokenizer_file("byte_bpe_50k.json")))
+
+
+@query
+def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the runs of 35 words that occur again anywhere."""
+    rows = repeats.without_repeats(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the prefix trie of all conversations, rebuilt with shared starts."""
+    return trie.shared_starts(table(spark, sf_dir, "conversations"))
+
+
+@query
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaves, roots and proofs of all documents, some of them tampered with."""
+    return merkle.audited(table(spark, sf_dir, "documents"))

@@ -31,7 +31,7 @@ def duck():
 def test_queries(spark, duck, name):
     got = QUERIES[name](spark, SF)
     rows = [tuple(r) for r in got.collect()]
-    if name != "op3_benchmark_leaks":
+    if name not in ("op3_benchmark_leaks", "op12_conversation_trie"):
         assert len(rows) == duck.sql("select count(*) from documents").fetchall()[0][0]
     if name in ORACLES:
         want = duck.sql(ORACLES[name])
@@ -40,7 +40,7 @@ def test_queries(spark, duck, name):
 
 
 def test_every_operator_has_its_query():
-    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 14))
     assert set(ORACLES) <= set(QUERIES)
 
 
