@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import time
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -62,18 +66,56 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/millrace/{label}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, label: str) -> DataFrame:
+# Tables that the open ``working`` blocks have written, from the outermost to the innermost.
+_WORKING: ContextVar[tuple[list[str], ...]] = ContextVar("millrace_working", default=())
+
+
+@contextmanager
+def working(spark: SparkSession) -> Iterator[None]:
+    """Owns the tables that ``materialise`` writes within the block and removes them at its
+    end. Only what is written out within the block, or kept, may be read after it.
+
+    A job that never ends wraps each batch in one, so that its working folder does not grow.
+    """
+    mine: list[str] = []
+    token = _WORKING.set((*_WORKING.get(), mine))
+    try:
+        yield
+    finally:
+        _WORKING.reset(token)
+        for path in mine:
+            remove_path(spark, path)
+
+
+def materialise(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Cuts the lineage so that a lost executor never repeats the work before it,
-    and gives the planner true file sizes to choose join strategies by.
+    and gives the planner true file sizes to choose join strategies by. The table belongs
+    to the innermost ``working`` block, with ``keep`` to the one around that; where there is
+    none it stays until ``remove_older`` takes it.
     """
     spark = df.sparkSession
     path = new_path(spark, label)
+    owners = _WORKING.get()[: -1 if keep else None]
+    if owners:
+        owners[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def remove_older(spark: SparkSession, hours: float) -> int:
+    """Remove what the working folder has had for so many hours, and say how many tables that
+    was. For tables that returned DataFrames read: call it when none so old is in use."""
+    folder = f"{shared_dir(spark)}/millrace"
+    fs, hadoop_path = _file_system(spark, folder)
+    if not fs.exists(hadoop_path):
+        return 0
+    before = time.time() * 1000 - hours * 3_600_000
+    old = [status.getPath() for status in fs.listStatus(hadoop_path) if status.getModificationTime() < before]
+    return sum(fs.delete(path, True) for path in old)
+
+
 def _file_system(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop_path
