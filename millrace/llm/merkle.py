@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.session import materialise
+from millrace.session import materialise, working
 
 #: Leaves of a block: two to this power.
 BITS = 10
@@ -196,14 +196,16 @@ def manifest(docs: DataFrame, extra: dict[str, Column] | None = None, bits: int
         F.col("doc_id").cast("long").alias("doc_id"), tree.alias("tree"), leaf_of().alias("node"),
         *(column.alias(name) for name, column in extra.items()),
     )
-    levels, roots = climbed(numbered(leaves, ["doc_id", "node"]), bits)
-    subroots = roots.select(F.lit("").alias("tree"), F.col("tree").alias("lang"), F.col("root").alias("node"))
-    top_levels, root = climbed(numbered(subroots, ["lang"]), bits)
-    above = descended(top_levels, root.select("tree", "root", F.lit(b"").alias("up")), bits).select(
-        F.col("lang").alias("tree"), F.col("node").alias("subroot"), "root", F.col("witness").alias("up")
-    )
-    rows = descended(levels, materialise(above, "merkle-languages"), bits)
-    return rows.select("doc_id", F.col("node").alias("leaf"), "witness", "subroot", "root", *extra)
+    with working(docs.sparkSession):
+        levels, roots = climbed(numbered(leaves, ["doc_id", "node"]), bits)
+        subroots = roots.select(F.lit("").alias("tree"), F.col("tree").alias("lang"), F.col("root").alias("node"))
+        top_levels, root = climbed(numbered(subroots, ["lang"]), bits)
+        above = descended(top_levels, root.select("tree", "root", F.lit(b"").alias("up")), bits).select(
+            F.col("lang").alias("tree"), F.col("node").alias("subroot"), "root", F.col("witness").alias("up")
+        )
+        rows = descended(levels, materialise(above, "merkle-languages"), bits)
+        rows = rows.select("doc_id", F.col("node").alias("leaf"), "witness", "subroot", "root", *extra)
+        return materialise(rows, "manifest", keep=True)
 
 
 def audited(docs: DataFrame, bits: int = BITS) -> DataFrame:

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.words import BASE, BASE_INVERSE, U64, Texts, hashes, mix, pieces, powers, rows_of, spans, texts_of, windows
-from millrace.session import materialise
+from millrace.session import materialise, working
 
 #: Words of the shortest run that counts, and of the runs that seeds are hashes of.
 LENGTH = 35
@@ -236,7 +236,8 @@ def cut_by_windows(texts: DataFrame, places: DataFrame, length: int) -> DataFram
 
 def _again(found: DataFrame) -> DataFrame:
     """The stretches whose seed occurs again."""
-    several = found.groupBy("seed").agg(F.sum("times").alias("_n")).where("_n > 1").select("seed")
+    # written: a join of two plain shuffles is one whose hot keys Spark can split
+    several = materialise(found.groupBy("seed").agg(F.sum("times").alias("_n")).where("_n > 1").select("seed"), "seeds-again")
     return found.join(several, "seed", "left_semi").select(*(part.split()[0] for part in STRETCHES.split(", ")))
 
 
@@ -297,28 +298,30 @@ def matched(stretched: DataFrame, length: int) -> DataFrame:
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, seed_windows: int = SEED_WINDOWS, shard_words: int = SHARD_WORDS) -> DataFrame:
     """Per text key with any: the spans of words (``start``, ``stop``) that occur elsewhere too."""
-    texts = keyed(docs)
-    found = materialise(_again(materialise(cut(texts, length), "stretches")), "stretches-again")
-    distinct = materialise(_distinct(found), "stretch-names")
-    sizes = distinct.groupBy("seed").agg(F.sum("one.windows").alias("_windows"))
-    large = materialise(sizes.where(F.col("_windows") > seed_windows).select("seed"), "large-seeds")
-    if not large.isEmpty():
-        fine = materialise(cut_by_windows(texts, found.join(large, "seed", "left_semi"), length), "stretch-windows")
-        found = materialise(found.join(large, "seed", "left_anti").select(*fine.columns).unionByName(_again(fine)), "stretches-again")
+    texts, spark = keyed(docs), docs.sparkSession
+    with working(spark):
+        with working(spark):
+            found = materialise(_again(materialise(cut(texts, length), "stretches")), "stretches-again", keep=True)
         distinct = materialise(_distinct(found), "stretch-names")
-    words = distinct.agg(F.sum(F.col("one.windows") + (length - 1))).first()[0] or 0
-    shards = max(1, -(-words // shard_words))
-    marks = materialise(matched(references(texts, distinct, length, shards), length), "stretch-repeats")
-    each = found.join(marks, ["seed", "name"]).select("a", "b", "at", F.explode("repeats").alias("r"))
-    span = F.struct((F.col("at") + F.col("r.start")).alias("start"), (F.col("at") + F.col("r.stop")).alias("stop"))
-    return each.groupBy("a", "b").agg(F.collect_set(span).alias("spans"))
+        sizes = distinct.groupBy("seed").agg(F.sum("one.windows").alias("_windows"))
+        large = materialise(sizes.where(F.col("_windows") > seed_windows).select("seed"), "large-seeds")
+        if not large.isEmpty():
+            fine = materialise(cut_by_windows(texts, found.join(large, "seed", "left_semi"), length), "stretch-windows")
+            rest = found.join(large, "seed", "left_anti").select(*fine.columns)
+            found = materialise(rest.unionByName(_again(fine)), "stretches-again")
+            distinct = materialise(_distinct(found), "stretch-names")
+        words = distinct.agg(F.sum(F.col("one.windows") + (length - 1))).first()[0] or 0
+        shards = max(1, -(-words // shard_words))
+        marks = materialise(matched(references(texts, distinct, length, shards), length), "stretch-repeats")
+        each = found.join(marks, ["seed", "name"]).select("a", "b", "at", F.explode("repeats").alias("r"))
+        span = F.struct((F.col("at") + F.col("r.start")).alias("start"), (F.col("at") + F.col("r.stop")).alias("stop"))
+        return materialise(each.groupBy("a", "b").agg(F.collect_set(span).alias("spans")), "repeated-spans", keep=True)
 
 
 def without_repeats(docs: DataFrame, length: int = LENGTH, **sizes: int) -> DataFrame:
     """Per row of ``docs``: doc_id, n_words, n_removed and the text of the words that stay,
     joined by single spaces."""
-    spans_of = materialise(repeated_spans(docs, length, **sizes), "repeated-spans")
-    rows = keyed(docs).join(spans_of, ["a", "b"], "left").select("doc_id", "text", "spans")
+    rows = keyed(docs).join(repeated_spans(docs, length, **sizes), ["a", "b"], "left").select("doc_id", "text", "spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.session import materialise
+from millrace.session import materialise, working
 
 #: Turns of all rows of a group that a task peels, at most.
 GROUP_TURNS = 1 << 18
@@ -279,8 +279,9 @@ def nodes_of(paths: DataFrame, group_turns: int = GROUP_TURNS) -> DataFrame:
 def trie(rows: DataFrame, base: Column, shared: Column, most: int, group_turns: int = GROUP_TURNS) -> DataFrame:
     """Per node: conv_id (the smallest member), depth, parent_conv_id, n_convs, n_children,
     n_leaves, saved_tokens and ends_sha256."""
-    paths = materialise(paths_of(rebuilt(materialise(turns_of(rows), "trie-turns"), base, shared, most)), "trie-paths")
-    nodes = materialise(nodes_of(paths, group_turns), "trie-nodes")
+    with working(rows.sparkSession):
+        paths = materialise(paths_of(rebuilt(materialise(turns_of(rows), "trie-turns"), base, shared, most)), "trie-paths")
+        nodes = materialise(nodes_of(paths, group_turns), "trie-nodes", keep=True)
     parents = nodes.where("children > 0").select(F.col("name").alias("parent"), F.col("conv_id").alias("parent_conv_id"))
     return nodes.join(parents, "parent", "left").select(
         "conv_id", F.col("depth").cast("long").alias("depth"), "parent_conv_id", F.col("n").alias("n_convs"),
