@@ -251,6 +251,7 @@ def references(texts: DataFrame, distinct: DataFrame, length: int, shards: int)
     lists = distinct.groupBy("one.a", "one.b").agg(
         F.collect_list(F.struct(shard.alias("shard"), "seed", "name", "n", "one.at", "one.windows")).alias("parts")
     )
+    lists = materialise(lists, "stretch-lists")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -266,7 +267,10 @@ def references(texts: DataFrame, distinct: DataFrame, length: int, shards: int)
                     **{name: flat.field(name) for name in ("shard", "seed", "name", "n")}, "words": pa.array(sent, pa.binary()),
                 })
 
-    once = texts.select("a", "b", "text").join(lists, ["a", "b"]).dropDuplicates(["a", "b"])
+    # the keys alone, which are small, go first: where they can be sent to all tasks, only the
+    # texts that are asked for move; else the texts move once, for both joins
+    wanted = texts.select("a", "b", "text").join(lists.select("a", "b"), ["a", "b"], "left_semi")
+    once = wanted.join(lists, ["a", "b"]).dropDuplicates(["a", "b"])
     return once.mapInArrow(run, "shard int, seed long, name long, n long, words binary")
 
 
