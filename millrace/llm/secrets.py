@@ -280,8 +280,14 @@ def found(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     return slim.mapInArrow(run, "doc_id long, spans array<struct<kind:string,start:long,end:long>>")
 
 
-def postings(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """The index itself, to look at or keep: trigram and the ids of the texts of a block."""
+#: Texts whose ids one row of a posting list may hold, about.
+LISTED = 1 << 16
+
+
+def postings(docs: DataFrame, rules: tuple[Rule, ...] = RULES, listed: int = LISTED) -> DataFrame:
+    """The index itself, to look at or keep: trigram, part and the ascending ids of the texts that
+    have it, a repeated id once for each of its rows. Ids are dealt out to as many parts as keep
+    a list, of whatever trigram, near ``listed`` ids. Rows without an id are not listed."""
 
     def run(batches):
         scanner = Scanner(rules)
@@ -294,8 +300,11 @@ def postings(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
                     "doc_ids": pa.array([ids.take(pa.array(p)).to_pylist() for p in lists.values()], pa.list_(pa.int64())),
                 })
 
-    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return slim.mapInArrow(run, "trigram string, doc_ids array<long>")
+    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id IS NOT NULL")
+    parts = max(1, -(-slim.count() // listed))
+    each = slim.mapInArrow(run, "trigram string, doc_ids array<long>").select("trigram", F.explode("doc_ids").alias("doc_id"))
+    part = F.pmod(F.xxhash64("doc_id"), F.lit(parts)).cast("int")
+    return each.groupBy("trigram", part.alias("part")).agg(F.sort_array(F.collect_list("doc_id")).alias("doc_ids"))
 
 
 def digests(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:

@@ -1,3 +1,4 @@
+import pytest
 import hashlib
 import re
 
@@ -61,6 +62,12 @@ def test_derived_queries():
     assert secrets.trigrams_in(secrets.query_of(secrets.Rule("x", "key[0-9]*=val"))) == {"key", "=va", "val"}
 
 
-def test_postings_name_the_texts_that_have_a_trigram(make):
-    rows = secrets.postings(make([(1, "my Token", None, None), (2, "ok", None, None), (3, "tokens", None, None)])).collect()
-    assert {r.trigram: r.doc_ids for r in rows}["tok"] == [1, 3]
+@pytest.mark.parametrize("tasks", [1, 3, 8])
+def test_postings_name_the_texts_that_have_a_trigram(make, tasks):
+    rows = [(1, "my Token", None, None), (2, "ok", None, None), (3, "tokens", None, None), (3, "tokens", None, None), (None, "token", None, None)]
+    docs = make(rows).repartition(tasks)
+    found = {(r.trigram, r.part): r.doc_ids for r in secrets.postings(docs).collect()}
+    assert found["tok", 0] == [1, 3, 3]
+    cut = secrets.postings(docs, listed=1).where("trigram = 'tok'").collect()
+    assert len(cut) > 1 and sorted(i for r in cut for i in r.doc_ids) == [1, 3, 3]
+    assert secrets.postings(docs.where("false")).count() == 0
