@@ -25,12 +25,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.components import components
 from millrace.llm.words import BASE, U64, mix, pieces, texts_of, windows, words_of
-from millrace.session import materialise
+from millrace.session import materialise, working
 
 #: Minima of every text, and further ones of candidates, for a sharper estimate.
 MINIMA = 192
@@ -374,12 +374,18 @@ def _open(members: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def deduplicated(docs: DataFrame, like: Likeness = Likeness()) -> DataFrame:
-    """The rows of ``docs``, with all their columns, one of each component: of the rows
-    with its smallest id the first by text. Rows without shingles or id all stay."""
-    first = near_duplicates(docs, like).where("kept").select("doc_id", "n_shingles").distinct()
-    empty = F.col("_n") == 0
-    rows = docs.join(first.groupBy("doc_id").agg(F.min("n_shingles").alias("_n")).withColumnRenamed("doc_id", "_id"), F.col("doc_id").cast("long").eqNullSafe(F.col("_id")))
-    place = F.row_number().over(Window.partitionBy("_id").orderBy("text"))
-    return rows.withColumn("_place", place).where((F.col("_place") == 1) | empty | F.col("_id").isNull()).select(
-        *(F.col(f"`{name}`") for name in docs.columns)
-    )
+    """The rows of ``docs``, with all their columns, one of each component: the one with the
+    smallest id, of several such rows any. Rows without shingles or id all stay.
+
+    Rows are told apart by a number of their own, so one id may have several texts, and
+    travel as one column, so theirs may have any names."""
+    with working(docs.sparkSession):
+        rows = materialise(docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.monotonically_increasing_id().alias("number")), "rows")
+        known = F.col("row.doc_id").isNotNull()
+        found = near_duplicates(
+            rows.where(known).select(F.col("number").alias("doc_id"), F.col("row.text").alias("text")), like
+        ).select(F.col("doc_id").alias("number"), F.col("component_id").alias("component"))
+        ids = rows.select("number", F.col("row.doc_id").cast("long").alias("id"))
+        first = found.join(ids, "number").groupBy("component").agg(F.min(F.struct("id", "number")).alias("first"))
+        kept = rows.where(known).join(first.select("first.number"), "number", "left_semi")
+        return materialise(kept.unionByName(rows.where(~known)).select("row.*"), "deduplicated", keep=True)

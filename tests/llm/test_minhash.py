@@ -70,6 +70,21 @@ def test_odd_rows(odd, empty):
     assert minhash.near_duplicates(empty).count() == 0 and minhash.deduplicated(empty).count() == 0
 
 
+@pytest.mark.parametrize("tasks", [1, 3, 8])
+def test_no_row_is_lost_for_another_of_its_id(spark, make, tasks):
+    base = [(i, prose(i), "en", "a") for i in range(12)]
+    rows = base + [(3, prose(100), "en", "a"), (4, prose(5) + " more", "en", "a"), (7, None, "en", "a"), (7, prose(7), "en", "a")]
+    rows += [(None, prose(k % 3), "en", "a") for k in range(7)]
+    docs = make(rows).selectExpr("*", "'p' AS _place", "'i' AS _id", "'n' AS _n", "'m' AS number", "'r' AS row").repartition(tasks)
+    kept = minhash.deduplicated(docs)
+    assert kept.columns == docs.columns
+    found = kept.collect()
+    assert {(r._place, r._id, r._n, r.number, r.row) for r in found} == {("p", "i", "n", "m", "r")}
+    want = Counter((i, t) for i, t, *_ in base if i != 5) + Counter([(3, prose(100)), (7, None)]) + Counter((None, prose(k % 3)) for k in range(7))
+    # the near copy has the smaller id of its group
+    assert Counter((r.doc_id, r.text) for r in found) == want + Counter([(4, prose(5) + " more")])
+
+
 def test_groups_cut_into_blocks_lose_no_link(make, monkeypatch):
     monkeypatch.setattr(minhash, "BLOCK", 7)
     like = minhash.Likeness(3, 85)
