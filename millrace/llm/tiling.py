@@ -15,8 +15,8 @@ whole. Repeated documents or items give repeated rows.
 
 from __future__ import annotations
 
+import heapq
 import string
-from collections import defaultdict
 from collections.abc import Iterator
 from functools import reduce
 from typing import NamedTuple
@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.words import SPACES, U64, pieces, rows_of, texts_of, windows, words_of
+from millrace.llm.words import BASE, SPACES, U64, mix, pieces, rows_of, texts_of, windows, words_of
 
 #: Words of the shortest run that counts.
 LEAST = 3
@@ -36,7 +36,6 @@ COVERAGE = 0.6
 BLOCK_BYTES = 2 << 20
 SEPARATORS = SPACES.copy()
 SEPARATORS[list(string.punctuation.encode())] = True
-FIRST_LENGTH = 20
 
 
 class Items(NamedTuple):
@@ -71,76 +70,76 @@ class Tile(NamedTuple):
     length: int
 
 
+def run_starts(item: np.ndarray, doc: np.ndarray, places: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Where runs of ``least`` common words begin that do not go on to the left: places of both
+    sides with the same seed and different words before it. Only these are listed, not all
+    places with one seed, so a word repeated over and over has few."""
+    def seeds(words: np.ndarray) -> np.ndarray:
+        return windows(words, np.array([0, len(words)]), least)[0]
+
+    def before(words: np.ndarray, at: np.ndarray) -> np.ndarray:
+        return np.where(at > 0, words[at - 1], 0)
+
+    mine, other = seeds(item), seeds(doc)[places]
+    order = np.lexsort((before(doc, places), other))
+    places, other = places[order], other[order]
+    last = before(doc, places)
+    starts = [np.zeros((2, 0), np.int64)]
+    low, high = np.searchsorted(other, mine), np.searchsorted(other, mine, "right")
+    for i in np.flatnonzero(high > low).tolist():
+        a, b = low[i], high[i]
+        if i:  # all but those after the same word, and the document's first word
+            c, d = a + np.searchsorted(last[a:b], item[i - 1]), a + np.searchsorted(last[a:b], item[i - 1], "right")
+            j = np.concatenate([places[a:c], places[d:b], places[c:d][places[c:d] == 0]])
+        else:
+            j = places[a:b]
+        starts.append(np.stack([np.full(len(j), i), j]))
+    i, j = np.concatenate(starts, 1)
+    return i, j
+
+
+def run_lengths(item: np.ndarray, doc: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """How many words agree from each pair of places on: Karp-Rabin hashes of windows, each
+    length's made from those of half of it, are compared from the longest down."""
+    hashed = [(item, doc)]
+    while 2 << len(hashed) <= 2 * min(len(item), len(doc)):
+        half, top = 1 << (len(hashed) - 1), U64(pow(BASE, 1 << (len(hashed) - 1), 1 << 64))
+        hashed.append(tuple(x[:-half] * top + mix(x[half:]) for x in hashed[-1]))
+    length = np.zeros(len(i), np.int64)
+    for k in range(len(hashed) - 1, -1, -1):
+        a, b = hashed[k]
+        fits = (i + length < len(a)) & (j + length < len(b))
+        at = np.flatnonzero(fits)
+        same = a[i[at] + length[at]] == b[j[at] + length[at]]
+        length[at[same]] += 1 << k
+    return length
+
+
 def tiles(item: np.ndarray, doc: np.ndarray, places: list[int], least: int) -> list[Tile]:
     """Greedy string tiling of two word sequences; ``places`` are the words of the document
-    at which a run of ``least`` words of the item begins."""
-    item_free, doc_free = np.ones(len(item), bool), np.ones(len(doc), bool)
+    at which a run of ``least`` words of the item begins. Of the longest runs that are free
+    the first in the item, then in the document, is marked; of one that lost words to a
+    longer run, what is left goes on."""
+    i, j = run_starts(item, doc, np.asarray(places, np.int64), least)
+    length = run_lengths(item, doc, i, j)
+    runs = list(zip((-length).tolist(), i.tolist(), j.tolist(), strict=True))
+    heapq.heapify(runs)
+    item_used, doc_used = np.zeros(len(item), bool), np.zeros(len(doc), bool)
     found: list[Tile] = []
-    a, b = item.tolist(), doc.tolist()
-    length = max(least, min(FIRST_LENGTH, len(item)))
-    while True:
-        rolled = defaultdict(list)
-        for i, h in enumerate(_rolled(a, length)):
-            if item_free[i : i + length].all():
-                rolled[h].append(i)
-        runs, longest = [], 0
-        for j, h in _rolled_at(b, places, length):
-            if h in rolled and doc_free[j : j + length].all():
-                for i in rolled[h]:
-                    k = 0
-                    while i + k < len(a) and j + k < len(b) and a[i + k] == b[j + k] and item_free[i + k] and doc_free[j + k]:
-                        k += 1
-                    if k >= length:
-                        runs.append(Tile(i, j, k))
-                        longest = max(longest, k)
-        if longest > 2 * length:
-            length = longest
+    left = len(item)
+    while runs and left >= least:
+        k, i, j = heapq.heappop(runs)
+        used = item_used[i : i - k] | doc_used[j : j - k]
+        if not used.any():
+            found.append(Tile(i, j, -k))
+            item_used[i : i - k] = doc_used[j : j - k] = True
+            left += k
             continue
-        for run in sorted(runs, key=lambda r: (-r.length, r.item_start, r.doc_start)):
-            i, j, k = run
-            if item_free[i : i + k].all() and doc_free[j : j + k].all():
-                item_free[i : i + k] = doc_free[j : j + k] = False
-                found.append(run)
-        # runs that lost a part to a longer one are found again at this length first
-        left = any(
-            item_free[i + x : i + x + length].all() and doc_free[j + x : j + x + length].all()
-            for i, j, k in runs for x in range(k - length + 1)
-        )
-        if left:
-            continue
-        if length == least:
-            return found
-        length = max(least, length // 2)
-
-
-BASE, MODULUS = 1_000_003, (1 << 61) - 1
-
-
-def _rolled(words: list[int], length: int) -> Iterator[int]:
-    """Karp-Rabin hashes of all windows, each from the one before."""
-    top, h = pow(BASE, length - 1, MODULUS), 0
-    for k, word in enumerate(words):
-        if k >= length:
-            h -= words[k - length] * top
-        h = (h * BASE + word) % MODULUS
-        if k >= length - 1:
-            yield h
-
-
-def _rolled_at(words: list[int], places: list[int], length: int) -> Iterator[tuple[int, int]]:
-    """The same hashes, of the windows at some places only, given in order."""
-    top, h, last = pow(BASE, length - 1, MODULUS), 0, None
-    for j in places:
-        if j + length > len(words):
-            return
-        if last is not None and j == last + 1:
-            h = ((h - words[last] * top) * BASE + words[j + length - 1]) % MODULUS
-        else:
-            h = 0
-            for word in words[j : j + length]:
-                h = (h * BASE + word) % MODULUS
-        last = j
-        yield j, h
+        cuts = np.flatnonzero(np.diff(np.concatenate([[True], used, [True]])))
+        for a, b in zip(cuts[::2].tolist(), cuts[1::2].tolist(), strict=True):
+            if b - a >= least:
+                heapq.heappush(runs, (a - b, i + a, j + a))
+    return found
 
 
 def matches(batch: pa.RecordBatch, items: Items, coverage: float) -> list[tuple[int, int, int, list[Tile]]]:
@@ -155,25 +154,23 @@ def matches(batch: pa.RecordBatch, items: Items, coverage: float) -> list[tuple[
         at, low, times = at[times > 0], low[times > 0], times[times > 0]
         if not len(at):
             continue
-        # one entry per seed of an item and place in a document
-        each = np.repeat(low - np.cumsum(times) + times, times) + np.arange(times.sum())
-        place = np.repeat(at, times)
-        doc = np.searchsorted(offsets, place, "right") - 1
-        owner, start = owners[each], starts[each]
+        # one entry per seed of an item and document that has it, however often
+        doc = np.searchsorted(offsets, at, "right") - 1
+        kinds, first = np.unique(doc * len(seeds) + low, return_index=True)
+        low_of, times_of = kinds % len(seeds), times[first]
+        each = np.repeat(low_of - np.cumsum(times_of) + times_of, times_of) + np.arange(times_of.sum())
+        both = np.repeat(kinds // len(seeds), times_of) * len(items.ids) + owners[each]
         # no tile reaches a word of the item outside its shared seeds
         width = int(max(len(w) for w in items.words)) + 1
-        cover = np.unique(((doc * len(items.ids) + owner) * width + start)[:, None] + np.arange(size))
+        cover = np.unique((both * width + starts[each])[:, None] + np.arange(size))
         pair, words_met = np.unique(cover // width, return_counts=True)
         lengths = np.array([len(w) for w in items.words])[pair % len(items.ids)]
-        pair = pair[words_met >= coverage * lengths]
-        both = doc * len(items.ids) + owner
-        order = np.lexsort((place, both))
-        both, place = both[order], place[order]
-        for p, a, b in zip(pair.tolist(), np.searchsorted(both, pair), np.searchsorted(both, pair, "right"), strict=True):
+        for p in pair[words_met >= coverage * lengths].tolist():
             row, item = divmod(p, len(items.ids))
+            a, b = np.searchsorted(doc, [row, row + 1])
+            own = np.isin(rolled[at[a:b]], seeds[owners == item])
             begin = int(words.docs[row])
-            places = np.unique(place[a:b] - offsets[row]).tolist()
-            found = tiles(items.words[item], words.hashes[begin : words.docs[row + 1]], places, size)
+            found = tiles(items.words[item], words.hashes[begin : words.docs[row + 1]], at[a:b][own] - offsets[row], size)
             covered = sum(t.length for t in found)
             if covered >= coverage * len(items.words[item]):
                 out.append((row, item, covered, found))
