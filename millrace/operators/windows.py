@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.functions.columns import as_col
@@ -65,15 +69,78 @@ def collect_window(
     rows = assign_window(df, ts, width).select(
         *keys, "ws", *[c for c in order if c not in keys], as_col(value).alias("_item")
     )
-    numbered = running_totals(
-        rows, keys=[*keys, "ws"], order=order, name="_n", rows_per_range=rows_per_range
-    )
+    return in_lists(rows, [*keys, "ws"], order, name, chunk_rows, rows_per_range)
+
+
+def in_lists(
+    rows: DataFrame, keys: list[str], order: list[str], name: str, chunk_rows: int = CHUNK_ROWS,
+    rows_per_range: int = ROWS_PER_RANGE,
+) -> DataFrame:
+    """The values ``_item`` of each of the ``keys``, in order, in numbered lists."""
+    numbered = running_totals(rows, keys=keys, order=order, name="_n", rows_per_range=rows_per_range)
     chunked = numbered.withColumn("chunk", F.expr(f"(_n - 1) div {chunk_rows}"))
-    lists = chunked.groupBy(*keys, "ws", "chunk").agg(
+    lists = chunked.groupBy(*keys, "chunk").agg(
         F.count(F.lit(1)).alias("cnt"),
         F.sort_array(F.collect_list(F.struct("_n", "_item"))).alias("_list"),
     )
-    return lists.select(*keys, "ws", "chunk", "cnt", F.col("_list._item").alias(name))
+    return lists.select(*keys, "chunk", "cnt", F.col("_list._item").alias(name))
+
+
+# A window's rows in order, as batches, and what it is the window of.
+WindowFunction = Callable[[dict, Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
+
+def over_windows(
+    df: DataFrame, ts: str, width: str, order: list[str], function: WindowFunction, schema: str, keys: list[str] | None = None
+) -> DataFrame:
+    """What a function of yours gives for the rows of each key's window.
+
+    The function gets the window (``keys`` and its start ``ws``) and the window's rows, with
+    all columns of ``df``, sorted by ``order`` and in Arrow batches of the session's size: a
+    window is never held whole, however many rows it has. It yields batches of ``schema``,
+    to which the window's columns are not added. Rows without a time are in no window. One
+    task reads a window, as the function sees its rows one after another; a window read only
+    in part is skipped to its end.
+    """
+    by = [*(keys or []), "ws"]
+    rows = assign_window(df.where(F.col(ts).isNotNull()), ts, width)
+    dealt = rows.repartition(*by).sortWithinPartitions(*by, *order)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = windows_in(batches, by)
+        part = next(parts, None)
+        while part is not None:
+            window, ended = part[0], []
+
+            def rows_of_window(first=part, ended=ended) -> Iterator[pa.RecordBatch]:
+                part = first
+                while part is not None and part[0] == first[0]:
+                    yield part[1].drop_columns(["ws"])
+                    part = next(parts, None)
+                ended.append(part)
+
+            mine = rows_of_window()
+            yield from function(window, mine)
+            for _ in mine:
+                pass
+            part = ended[0]
+
+    return dealt.mapInArrow(run, schema)
+
+
+def windows_in(batches: Iterator[pa.RecordBatch], by: list[str]) -> Iterator[tuple[dict, pa.RecordBatch]]:
+    """Batches cut where one of the columns changes, each with the values of these columns."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        new = np.zeros(batch.num_rows, bool)
+        new[0] = True
+        for name in by:
+            codes = batch[name].dictionary_encode(null_encoding="encode").indices.to_numpy(zero_copy_only=False)
+            new[1:] |= codes[1:] != codes[:-1]
+        cuts = [*np.flatnonzero(new).tolist(), batch.num_rows]
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            yield {name: batch[name][a].as_py() for name in by}, batch.slice(a, b - a)
 
 
 def report_line(windows: DataFrame, key: str) -> DataFrame:

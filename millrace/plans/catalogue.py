@@ -4,8 +4,10 @@ with the SQL that gives the same result."""
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -22,7 +24,7 @@ from millrace.operators.running import running_totals
 from millrace.operators.tables import add_columns, compact_offset_table, copy_table, recreate, refill
 from millrace.operators.watermark import drop_late, flag_late, trace
 from millrace.operators.windows import (
-    assign_window, collect_window, report_line, tumbling, window_counts,
+    assign_window, collect_window, over_windows, report_line, tumbling, window_counts,
 )
 from millrace.plans.jobs import messages_to_tables, project_view
 from millrace.session import new_path, streaming_session
@@ -30,6 +32,7 @@ from millrace.sinks.tables import commit_to_folder, committed_rows, compact_fold
 from millrace.sources.kafka import as_messages
 from millrace.sources.views import json_view
 from millrace.streaming.event_time import with_bounded_lateness
+from millrace.streaming.lists import closed_rows, lists_to_folder
 from millrace.streaming.run import start_batches, start_files
 from millrace.streaming.totals import changelog_to_folder, latest_totals, updates_to_folder
 from millrace.streaming.watermark import trace_to_folder
@@ -612,6 +615,25 @@ def q_sql_projection(spark: SparkSession, sf: str) -> DataFrame:
     return project_view(spark, "group_source", ["id", "group_code"])
 
 
+def _gaps(window: dict, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Microseconds since the row before, over any number of batches."""
+    last = None
+    for batch in batches:
+        times = batch["ts"].cast(pa.int64()).to_numpy()
+        gaps = np.diff(times, prepend=times[0] if last is None else last)
+        last = times[-1]
+        yield pa.record_batch({"event_id": batch["event_id"], "gap": pa.array(gaps)})
+
+
+@query("""
+select event_id, coalesce(epoch_us(ts) - epoch_us(lag(ts) over (
+  partition by user_id, time_bucket(interval 1 day, ts) order by ts, event_id)), 0)::bigint as gap
+from events""")
+def q_window_function(spark: SparkSession, sf: str) -> DataFrame:
+    """A function over the sorted rows of each user's window: gaps between neighbours."""
+    return over_windows(table(spark, sf, "events"), "ts", "1 day", ["ts", "event_id"], _gaps, "event_id long, gap long", ["user_id"])
+
+
 @query(f"{_MESSAGES} select topic, partition_value, offset_value from msg")
 def q_ctas_copy(spark: SparkSession, sf: str) -> DataFrame:
     name = f"offsets_copy_{uuid.uuid4().hex}"
@@ -662,6 +684,26 @@ def q_stream_tumbling(spark: SparkSession, sf: str) -> DataFrame:
     return session.read.parquet(f"{path}/out").withColumns(times)
 
 
+@query(f"""
+select * from ({ORACLES["q_window_collect_chunked"]})
+where ws + interval 1 day - interval 1 millisecond
+      <= (select date_trunc('millisecond', max(ts)) from events) - interval 10 seconds""")
+def q_stream_window_collect(spark: SparkSession, sf: str) -> DataFrame:
+    """The lists of windows that a stream has closed when the table ends."""
+    session = streaming_session(spark)
+    path = new_path(session, "lists")
+    write = lists_to_folder(f"{path}/out", ["ts", "event_id"], name="ids", chunk_rows=25, rows_per_range=FEW_ROWS)
+
+    def start(events: DataFrame) -> StreamingQuery:
+        late = with_bounded_lateness(events.select("event_id", "ts"), "ts", 10)
+        closed = closed_rows(late, "ts", "1 day", F.col("event_id").cast("string"), ["ts", "event_id"])
+        return start_batches(closed, write, f"{path}/checkpoint")
+
+    in_batches(session, sf, {"events": "event_id"}, start)
+    lists = session.read.parquet(f"{path}/out").drop("batch_id")
+    return lists.withColumns({"ws": utc_clock("ws"), "ids": F.array_join("ids", ",")})
+
+
 @query(ORACLES["q_word_count"])
 def q_stream_word_count(spark: SparkSession, sf: str) -> DataFrame:
     session = streaming_session(spark)
@@ -693,7 +735,7 @@ from events""")
 def q_stream_running_sum(spark: SparkSession, sf: str) -> DataFrame:
     session = streaming_session(spark)
     path = new_path(session, "sums")
-    write = changelog_to_folder(f"{path}/out", ["user_id"], ["event_id"], "reached", "n", rows_per_range=FEW_ROWS, full_every=2)
+    write = changelog_to_folder(f"{path}/out", ["user_id"], ["event_id"], "reached", "n", rows_per_range=FEW_ROWS, buckets=3)
     in_batches(session, sf, {"events": "event_id"}, lambda events: start_batches(
         events.select("event_id", "user_id", (F.col("event_id") % 100).alias("n")), write, f"{path}/checkpoint"
     ))

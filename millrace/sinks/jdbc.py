@@ -25,7 +25,7 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.session import materialise
+from millrace.session import materialise, working
 from millrace.sinks.batches import WriteBatch, run_of
 from millrace.sources.jdbc import Database
 
@@ -54,9 +54,10 @@ def append_per_table(outlets: Sequence[Outlet], database: Database) -> WriteBatc
     replayed batch is inserted again."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = decoded(batch, outlets)
-        for outlet in outlets:
-            append_rows(rows.where(F.col("kind") == outlet.kind).select(*outlet.columns), database, outlet.table)
+        with working(batch.sparkSession):
+            rows = decoded(batch, outlets)
+            for outlet in outlets:
+                append_rows(rows.where(F.col("kind") == outlet.kind).select(*outlet.columns), database, outlet.table)
 
     return write
 
@@ -153,7 +154,8 @@ def _write_groups(
         todo = [t for t in groups if not _recorded(connect(spark), ledger, t, run, batch_id)]
         if not todo:
             return
-        stage(decoded(batch, outlets), staging)
+        with working(spark):
+            stage(decoded(batch, outlets), staging)
         for target in todo:
             record = (
                 f"INSERT INTO {ledger} (target, run, batch_id, committed_at) "

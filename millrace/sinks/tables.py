@@ -7,9 +7,10 @@ readers see the rows of marked batches only. Writing a batch again replaces it,
 replay neither loses nor repeats rows. A query with a new checkpoint, started from
 ``stored_offsets``, goes on in the same folder.
 
-``compact_folder`` gathers the offsets of older batches in ``history/snapshot=N``, so that
-there are few folders to list: readers take the newest whole snapshot and the batches
-that have a folder of their own.
+``compact_folder`` gathers them in a ledger, ``history/snapshot=N``, which does not grow with
+the batches: per query run and source partition the newest offset and which batches it
+stands for. A run commits its batches in order, so these are an interval. Readers take the
+newest whole ledger and the batches after its intervals that have a folder of their own.
 """
 
 from __future__ import annotations
@@ -25,6 +26,10 @@ _OFFSETS_SCHEMA = (
     "topic string, partition_value int, offset_value bigint, insert_time timestamp, "
     "run string, batch_id bigint"
 )
+_LEDGER_SCHEMA = (
+    "run string, topic string, partition_value int, offset_value bigint, insert_time timestamp, "
+    "first_batch bigint, last_batch bigint"
+)
 
 
 def commit_to_folder(root: str) -> WriteBatch:
@@ -50,42 +55,70 @@ def _replace(df: DataFrame, path: str, *partitions: str) -> None:
 
 
 def stored_offsets(spark: SparkSession, root: str) -> DataFrame:
-    """The offset history of the committed batches."""
+    """The newest offsets of the committed batches: of those in the ledger per run, under the
+    number of its last batch there, of later ones per batch."""
     own = _read(spark, f"{root}/offsets", _OFFSETS_SCHEMA)
-    snapshot = _last_snapshot(spark, root)
-    if snapshot is None:
+    ledger = _ledger(spark, root)
+    if ledger is None:
         return own
-    # a batch is in both while its folder is being removed
-    kept = spark.read.schema(_OFFSETS_SCHEMA).parquet(f"{root}/history/snapshot={snapshot}")
-    return kept.unionByName(own.join(kept.select(*_BATCH).distinct(), _BATCH, "left_anti"))
+    kept = ledger.withColumnRenamed("last_batch", "batch_id").select(*own.columns)
+    return kept.unionByName(_after(own, ledger))
+
+
+def committed_batches(spark: SparkSession, root: str) -> DataFrame:
+    """Intervals of the committed batches: run, first_batch and last_batch; of a run one from
+    the ledger, and one for each batch after it."""
+    own = _read(spark, f"{root}/offsets", _OFFSETS_SCHEMA)
+    ledger = _ledger(spark, root)
+    later = own if ledger is None else _after(own, ledger)
+    each = later.select("run", F.col("batch_id").alias("first_batch"), F.col("batch_id").alias("last_batch")).distinct()
+    return each if ledger is None else each.unionByName(ledger.select("run", "first_batch", "last_batch").distinct())
 
 
 def committed_rows(spark: SparkSession, root: str) -> DataFrame:
     """The routed rows of the committed batches."""
     rows = _read(spark, f"{root}/rows", f"{ROUTED_SCHEMA}, run string, batch_id bigint")
-    return rows.join(stored_offsets(spark, root).select(*_BATCH).distinct(), _BATCH, "left_semi")
+    batches = committed_batches(spark, root).withColumnRenamed("run", "_run")
+    inside = (F.col("run") == F.col("_run")) & F.col("batch_id").between(F.col("first_batch"), F.col("last_batch"))
+    return rows.join(batches, inside, "left_semi")
 
 
 def compact_folder(spark: SparkSession, root: str, keep: int = 10) -> int:
-    """Write the history as one snapshot and remove the folders of the batches in it, but
-    for the last ``keep`` of each run, which a restart may still ask for. Returns how many
-    folders went. Run it now and then, one at a time; a run cut short is made up by the next."""
-    history = stored_offsets(spark, root)
+    """Bring the ledger up to date and remove the folders of the batches in it, but for the
+    last ``keep`` of each run, which a restart may still ask for. Returns how many folders
+    went. Run it now and then, one at a time; a run cut short is made up by the next."""
+    own = _read(spark, f"{root}/offsets", _OFFSETS_SCHEMA)
+    known, before = own.withColumns({"first_batch": F.col("batch_id"), "last_batch": F.col("batch_id")}).drop("batch_id"), _ledger(spark, root)
+    if before is not None:
+        known = known.unionByName(before)
+    batches = known.groupBy("run").agg(F.min("first_batch").alias("first_batch"), F.max("last_batch").alias("last_batch"))
+    offsets = known.groupBy("run", "topic", "partition_value").agg(
+        F.max("offset_value").alias("offset_value"), F.max("insert_time").alias("insert_time")
+    )
     last = _last_snapshot(spark, root)
     number = 0 if last is None else last + 1
-    _replace(history.coalesce(1), f"{root}/history/snapshot={number}")
-    held = spark.read.schema(_OFFSETS_SCHEMA).parquet(f"{root}/history/snapshot={number}").select(*_BATCH).distinct()
-    newest_of = held.groupBy("run").agg(F.max("batch_id").alias("newest"))
-    old = held.join(newest_of, "run").where(F.col("batch_id") <= F.col("newest") - keep)
+    _replace(offsets.join(batches, "run"), f"{root}/history/snapshot={number}")
     removed = 0
-    for row in old.toLocalIterator():
-        removed += remove_path(spark, f"{root}/offsets/run={row.run}/batch_id={row.batch_id}")
-    for n in range(number):
-        remove_path(spark, f"{root}/history/snapshot={n}")
+    # a row per run, and of its batches only those that still have a folder
+    for row in _ledger(spark, root).select("run", "last_batch").distinct().toLocalIterator():
+        for name in child_names(spark, f"{root}/offsets/run={row.run}"):
+            if name.startswith("batch_id=") and int(name.removeprefix("batch_id=")) <= row.last_batch - keep:
+                removed += remove_path(spark, f"{root}/offsets/run={row.run}/{name}")
+    for name in child_names(spark, f"{root}/history"):
+        if name.startswith("snapshot=") and int(name.removeprefix("snapshot=")) < number:
+            remove_path(spark, f"{root}/history/{name}")
     return removed
 
 
-_BATCH = ["run", "batch_id"]
+def _ledger(spark: SparkSession, root: str) -> DataFrame | None:
+    number = _last_snapshot(spark, root)
+    return None if number is None else spark.read.schema(_LEDGER_SCHEMA).parquet(f"{root}/history/snapshot={number}")
+
+
+def _after(own: DataFrame, ledger: DataFrame) -> DataFrame:
+    """The offsets of batches that the ledger does not stand for."""
+    batches = ledger.select(F.col("run").alias("_run"), "last_batch").distinct()
+    return own.join(batches, (F.col("run") == F.col("_run")) & (F.col("batch_id") <= F.col("last_batch")), "left_anti")
 
 
 def _last_snapshot(spark: SparkSession, root: str) -> int | None:

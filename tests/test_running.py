@@ -2,13 +2,14 @@
 
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from millrace.operators.ranges import RANGE, add_range
 from millrace.operators.running import running, running_max, running_totals
 from millrace.operators.watermark import drop_late, flag_late, trace
-from millrace.operators.windows import assign_window, collect_window, report_line, tumbling
+from millrace.operators.windows import assign_window, collect_window, over_windows, report_line, tumbling
 
 
 def events(spark, n=2000, hot=0.4, ties=0.0, nulls=0.02, seed=1):
@@ -240,3 +241,35 @@ def test_running_max_keeps_the_order_of_arrival(spark):
     df = spark.createDataFrame([(0, 5), (1, 3), (2, 9)], "seq int, v int")
     got = running_max(df, "v", [], ["seq"], "m").orderBy("seq").collect()
     assert [r.m for r in got] == [5, 5, 9]
+
+
+def test_a_function_gets_a_window_in_bounded_batches(spark):
+    rows = [(k, i, (i * 7919) % 5000) for k, n in ((None, 30), ("a", 900), ("b", 1), ("c", 900)) for i in range(n)]
+    df = spark.createDataFrame(rows, "k string, seq int, ms long").withColumn("ts", F.timestamp_millis("ms"))
+    df = df.unionByName(spark.createDataFrame([("a", -1, None, None)], df.schema))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")
+    try:
+        def whole(window, batches):
+            sizes, times = [], []
+            for batch in batches:
+                sizes.append(batch.num_rows)
+                times += batch["ms"].to_pylist()
+            assert times == sorted(times) and max(sizes) <= 100
+            yield pa.RecordBatch.from_pylist([{"k": window["k"], "ws": window["ws"], "n": sum(sizes), "batches": len(sizes)}])
+
+        got = over_windows(df, "ts", "3 seconds", ["ts", "seq"], whole, "k string, ws timestamp, n long, batches long", ["k"]).collect()
+        want = {(r.k, r.ws): r.cnt for r in tumbling(df, "ts", "3 seconds", ["k"]).select("k", "ws", "cnt").collect()}
+        assert {(r.k, r.ws): r.n for r in got} == want
+        assert max(r.batches for r in got) > 4
+
+        # a function that looks at the first batch only, or at none
+        def first(window, batches):
+            yield next(batches).select(["seq"]).slice(0, 1)
+
+        def none(window, batches):
+            return iter(())
+
+        assert over_windows(df, "ts", "3 seconds", ["ts", "seq"], first, "seq int", ["k"]).count() == len(want)
+        assert over_windows(df, "ts", "3 seconds", ["ts", "seq"], none, "seq int").count() == 0
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")

@@ -2,31 +2,34 @@
 
 import json
 import os
+import re
+import time
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from millrace.functions.text import csv_key_ts, tokens
 from millrace.operators.aggregate import keyed_totals
-from millrace.operators.offsets import starting_offsets
-from millrace.operators.route import route
+from millrace.operators.offsets import newest, starting_offsets
+from millrace.operators.route import ROUTED_SCHEMA, route
 from millrace.operators.running import running_totals
 from millrace.operators.watermark import flag_late
-from millrace.operators.windows import tumbling
+from millrace.operators.windows import collect_window, tumbling
 from millrace.plans.jobs import (
     look_up_clients, messages_to_tables, name_events, project_view, window_report, word_count,
 )
-from millrace.session import ROCKSDB_PROVIDER, streaming_session
+from millrace.session import ROCKSDB_PROVIDER, child_names, materialise, remove_older, shared_dir, streaming_session, working
 from millrace.sinks.console import printed
 from millrace.sinks.metrics import BatchMetrics, batch_metrics
-from millrace.sinks.tables import commit_to_folder, committed_rows, compact_folder, stored_offsets
+from millrace.sinks.tables import commit_to_folder, committed_batches, committed_rows, compact_folder, stored_offsets
 from millrace.sources.kafka import KAFKA_SCHEMA, message_text
 from millrace.sources.text import folder_lines, socket_lines
 from millrace.sources.views import json_view
 from millrace.streaming.event_time import with_bounded_lateness
+from millrace.streaming.lists import closed_rows, lists_to_folder
 from millrace.streaming.run import start_batches, start_files
-from millrace.streaming.totals import changelog_to_folder, latest_totals, updates_to_folder
-from millrace.streaming.watermark import late_to_folder
+from millrace.streaming.totals import changelog_to_folder, latest_totals, totals_before, updates_to_folder, with_bucket
+from millrace.streaming.watermark import late_to_folder, trace_to_folder
 
 BASE = 1790820681000
 
@@ -85,7 +88,7 @@ def test_changelog_over_batches_and_restarts(spark, tmp_path):
     # a key may be null, and some keys come back after many batches
     rows = [("hot" if i % 3 else None if i % 7 == 0 else f"k{i % 7}", i) for i in range(240)]
     text = [f"{k},{i}" if k else f"~,{i}" for k, i in rows]
-    write = changelog_to_folder(f"{tmp_path}/out", ["k"], ["seq"], "n", rows_per_range=20, full_every=3)
+    write = changelog_to_folder(f"{tmp_path}/out", ["k"], ["seq"], "n", rows_per_range=20, buckets=3)
     cuts = [0, 100, 101, 103, 110, 111, 200, 240]
     files = [text[a:b] for a, b in zip(cuts, cuts[1:])]
     write_files(tmp_path / "in", files[:4])
@@ -98,9 +101,121 @@ def test_changelog_over_batches_and_restarts(spark, tmp_path):
     assert got.select("batch_id").distinct().count() == 7
     want = running_totals(spark.createDataFrame(rows, "k string, seq int"), ["k"], ["seq"], "n")
     assert sorted(map(str, got.select("k", "seq", "n").collect())) == sorted(map(str, want.collect()))
-    totals = spark.read.parquet(f"{tmp_path}/out/totals")
-    sizes = {r.batch_id: r["count"] for r in totals.groupBy("batch_id").count().collect()}
-    assert sizes[0] == sizes[3] == sizes[6] == 8 and sizes[1] == 1
+    # what all buckets have merged is gone
+    assert sorted(os.listdir(tmp_path / "out" / "new"))[:2] == ["batch_id=3", "batch_id=4"]
+    assert all(len(os.listdir(tmp_path / "out" / "merged" / b)) <= 2 for b in os.listdir(tmp_path / "out" / "merged"))
+
+
+def test_a_batch_reads_the_buckets_it_has_keys_in(spark, tmp_path):
+    root = f"{tmp_path}/out"
+    write = changelog_to_folder(root, ["k"], ["seq"], "n", buckets=4)
+    rows = [(f"k{i % 40}", i) for i in range(400)]
+    for n in range(10):
+        write(spark.createDataFrame(rows[n * 40 : n * 40 + 40], "k string, seq int").coalesce(1), n)
+    one = with_bucket(spark.createDataFrame([("k7",)], "k string"), ["k"], 4).first()["_bucket"]
+    schema = T.StructType.fromDDL("k string, n bigint")
+    before = totals_before(spark, root, schema, 10, [one], 4)
+    paths = [r[0] for r in before.select(F.input_file_name()).distinct().collect()]
+    assert paths and all(f"_bucket={one}/" in p for p in paths)
+    plan = before._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"PartitionFilters: \[[^\]]*_bucket#\d+ = ", plan)) == 2
+    assert {r.k: r.n for r in latest_totals(before, ["k"], "n").collect()}["k7"] == 10
+
+
+def test_empty_batches_leave_totals_as_they_are(spark, tmp_path):
+    write = changelog_to_folder(f"{tmp_path}/out", ["k"], ["seq"], "n", "v", buckets=2)
+    schema = "k string, seq int, v int"
+    for n, rows in enumerate([[], [("a", 1, 5)], [], [], [("a", 2, 6), ("b", 3, 1)]]):
+        write(spark.createDataFrame(rows, schema), n)
+    got = spark.read.schema("k string, seq int, n bigint").parquet(f"{tmp_path}/out/changes")
+    assert sorted((r.k, r.n) for r in got.collect()) == [("a", 5), ("a", 11), ("b", 1)]
+
+
+def test_the_working_folder_does_not_grow_with_the_batches(spark, tmp_path):
+    rows = spark.createDataFrame([("a", 1, 1000), ("b", 2, 5000)], "k string, seq int, ms int")
+    rows = rows.withColumn("ts", F.timestamp_millis("ms")).coalesce(1)
+    writers = [
+        changelog_to_folder(f"{tmp_path}/totals", ["k"], ["seq"], "n", rows_per_range=1),
+        trace_to_folder(f"{tmp_path}/trace", "ts", "1 SECOND", ["k"], ["seq"], rows_per_range=1),
+        late_to_folder(f"{tmp_path}/late", "ts", "1 second", "1 SECOND", ["k"], ["seq"], rows_per_range=1),
+        lists_to_folder(f"{tmp_path}/lists", ["seq"], rows_per_range=1),
+    ]
+    lists = rows.select("seq", F.col("ts").alias("ws"), F.col("k").alias("_item"))
+    before = child_names(spark, f"{shared_dir(spark)}/millrace")
+    for n in range(50):
+        writers[n % 4](lists if n % 4 == 3 else rows, n // 4)
+    assert child_names(spark, f"{shared_dir(spark)}/millrace") == before
+
+
+def test_a_returned_table_outlives_the_work_on_it(spark):
+    def counted():
+        with working(spark):
+            rows = materialise(spark.range(10), "inner")
+            return materialise(rows.where("id > 3"), "result", keep=True)
+
+    with working(spark):
+        with working(spark):
+            found = counted()
+            assert found.count() == 6 and found.join(found, "id").count() == 6
+        with pytest.raises(Exception, match="PATH_NOT_FOUND|FileNotFound|does not exist|FILE_NOT_EXIST"):
+            found.count()
+    kept = counted()
+    assert kept.count() == 6 and remove_older(spark, 1) == 0 and kept.count() == 6
+
+
+@pytest.mark.parametrize("salts", [1, 5])
+def test_lists_of_a_window_are_given_when_it_closes(spark, tmp_path, salts):
+    session = streaming_session(spark)
+    rows = [(f"k{i % 2}", i, (i * 37) % 100 * 100) for i in range(100)] + [("k0", 100, None), ("k0", 101, 12_999), ("k0", 102, 500), ("k1", 103, 30_000)]
+    df = session.createDataFrame(rows, "k string, seq int, ms long").withColumn("ts", F.timestamp_millis(F.col("ms") + BASE))
+    late = ("k0", 102)
+    for k in range(4):
+        part = df.where(f"seq between {k * 26} and {k * 26 + 25}")
+        if k == 3:  # a row for a window that closed by then comes in a batch of its own
+            part.where("seq < 101").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+            part.where("seq = 101").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+            part = part.where("seq > 101")
+        part.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+
+    def run_on():
+        stream = session.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+        closed = closed_rows(with_bounded_lateness(stream, "ts", 10), "ts", "3 seconds", "seq", ["ts", "seq"], ["k"], salts)
+        start_batches(closed, lists_to_folder(f"{tmp_path}/out", ["ts", "seq"], ["k"], chunk_rows=4), f"{tmp_path}/checkpoint").awaitTermination()
+
+    run_on()
+    more = session.createDataFrame([("k1", 200, 60_000)], "k string, seq int, ms long").withColumn("ts", F.timestamp_millis(F.col("ms") + BASE))
+    more.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    run_on()
+    on_time = df.unionByName(more).where(f"seq <> {late[1]} and ms < 49000")
+    want = collect_window(on_time, "ts", "3 seconds", "seq", ["ts", "seq"], ["k"], chunk_rows=4).where("ws is not null")
+    got = session.read.parquet(f"{tmp_path}/out").drop("batch_id").select(*want.columns)
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_windows_of_the_clock_close_when_it_is_past_them(spark, tmp_path):
+    session = streaming_session(spark)
+    df = session.createDataFrame([(i,) for i in range(20)], "seq int")
+    df.where("seq < 10").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = session.readStream.schema(df.schema).parquet(str(tmp_path / "in"))
+    closed = closed_rows(stream, None, "2 seconds", "seq", ["seq"])
+    query = start_batches(closed, lists_to_folder(f"{tmp_path}/out", ["seq"]), f"{tmp_path}/checkpoint", every="500 milliseconds")
+    until, lists = time.time() + 90, []
+    try:
+        while time.time() < until and not any(p.numInputRows for p in query.recentProgress):
+            time.sleep(0.2)
+        time.sleep(2.5)
+        df.where("seq >= 10").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        while time.time() < until:
+            time.sleep(1)
+            if not os.path.isdir(f"{tmp_path}/out"):
+                continue
+            lists = session.read.schema("ws timestamp, chunk long, cnt long, items array<int>").parquet(f"{tmp_path}/out").collect()
+            if sum(r.cnt for r in lists) == 20:
+                break
+    finally:
+        query.stop()
+    assert sorted(x for r in lists for x in r["items"]) == list(range(20))
+    assert len({r.ws for r in lists}) == 2 and sorted(r["items"][0] for r in lists) == [0, 10]
 
 
 def closed_windows(spark, tmp_path, files, exact):
@@ -244,15 +359,39 @@ def test_a_folder_history_is_compacted(spark, tmp_path):
     messages_to_tables(
         message_stream(spark, tmp_path), commit_to_folder(root), f"{tmp_path}/checkpoint", None
     ).awaitTermination()
-    before = sorted(map(str, stored_offsets(spark, root).collect()))
+    before = sorted(map(str, newest(stored_offsets(spark, root)).collect()))
     batches = len(list((tmp_path / "out" / "offsets").glob("run=*/batch_id=*")))
     removed = compact_folder(spark, root, keep=2)
     assert removed == batches - 2 > 0 and compact_folder(spark, root, keep=2) == 0
-    assert sorted(map(str, stored_offsets(spark, root).collect())) == before
+    assert sorted(map(str, newest(stored_offsets(spark, root)).collect())) == before
     assert committed_rows(spark, root).count() == 6
     # a snapshot that was not written to its end does not count
     (tmp_path / "out" / "history" / "snapshot=99").mkdir()
-    assert sorted(map(str, stored_offsets(spark, root).collect())) == before
+    assert sorted(map(str, newest(stored_offsets(spark, root)).collect())) == before
+
+
+def test_the_ledger_does_not_grow_with_the_batches(spark, tmp_path):
+    root = f"{tmp_path}/out"
+    offsets = spark.range(100).selectExpr("id AS batch_id", "explode(array(0, 1, 2)) AS partition_value").selectExpr(
+        "'t' AS topic", "partition_value", "batch_id * 10 AS offset_value", "current_timestamp() AS insert_time",
+        "if(batch_id < 60, 'a', 'b') AS run", "if(batch_id < 60, batch_id, batch_id - 60) AS batch_id",
+    )
+    offsets.coalesce(1).write.partitionBy("run", "batch_id").parquet(f"{root}/offsets")
+    rows = spark.createDataFrame([], T.StructType.fromDDL(ROUTED_SCHEMA)).schema
+    found = spark.range(0, 106, 7).selectExpr("'group' AS kind", "'t' AS topic", "if(id < 60, 'a', 'b') AS run", "if(id < 60, id, id - 60) AS batch_id")
+    for field in rows:
+        if field.name not in found.columns:
+            found = found.withColumn(field.name, F.lit(None).cast(field.dataType))
+    found.coalesce(1).write.partitionBy("run", "batch_id", "kind").parquet(f"{root}/rows")
+    known, before = committed_rows(spark, root).count(), sorted(map(str, newest(stored_offsets(spark, root)).collect()))
+    assert known == len(range(0, 100, 7))  # the last batch was not committed
+    assert compact_folder(spark, root, keep=3) == 57 + 37
+    ledger = spark.read.parquet(f"{root}/history/snapshot=0")
+    assert ledger.count() == 6
+    assert {(r.run, r.first_batch, r.last_batch) for r in committed_batches(spark, root).collect()} == {("a", 0, 59), ("b", 0, 39)}
+    assert committed_rows(spark, root).count() == known
+    assert sorted(map(str, newest(stored_offsets(spark, root)).collect())) == before
+    assert compact_folder(spark, root, keep=3) == 0 and os.listdir(f"{root}/history") == ["snapshot=1"]
 
 
 def test_late_rows_on_a_stream_are_those_of_the_table(spark, tmp_path):
