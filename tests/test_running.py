@@ -255,7 +255,8 @@ def test_a_function_gets_a_window_in_bounded_batches(spark):
                 sizes.append(batch.num_rows)
                 times += batch["ms"].to_pylist()
             assert times == sorted(times) and max(sizes) <= 100
-            yield pa.RecordBatch.from_pylist([{"k": window["k"], "ws": window["ws"], "n": sum(sizes), "batches": len(sizes)}])
+            kind = pa.schema([("k", pa.string()), ("ws", pa.timestamp("us", "UTC")), ("n", pa.int64()), ("batches", pa.int64())])
+            yield pa.RecordBatch.from_pylist([{**window, "n": sum(sizes), "batches": len(sizes)}], kind)
 
         got = over_windows(df, "ts", "3 seconds", ["ts", "seq"], whole, "k string, ws timestamp, n long, batches long", ["k"]).collect()
         want = {(r.k, r.ws): r.cnt for r in tumbling(df, "ts", "3 seconds", ["k"]).select("k", "ws", "cnt").collect()}
