@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.words import BASE, U64, pieces
+from millrace.llm.words import BASE, U64, hashes, mix, pieces, texts_of
 from millrace.session import new_path
 
 MAGIC = b"RPR1"
@@ -38,8 +38,9 @@ MAGIC = b"RPR1"
 BLOCK = 1 << 20
 #: A pair is replaced if a block has it so often.
 FREQUENT = 4
-#: Text pieces whose ids a task remembers; as many older ones are kept beside them.
-REMEMBERED = 250_000
+#: Text pieces whose ids a worker remembers, 40 bytes or so each, and the bytes of the longest.
+REMEMBERED = 1_500_000
+LONGEST = 200
 
 
 class Block(NamedTuple):
@@ -169,11 +170,17 @@ def compressed(ids: np.ndarray, documents: np.ndarray, terminals: int, frequent:
     return Block(terminals, join(left), join(right), sizes[terminals:], sequence, documents)
 
 
+#: Byte values of two hashes; together they tell pieces apart.
+EXACT = [mix(np.arange(k, k + 256, dtype=U64) * U64(BASE)) for k in (1, 1001)]
+
+
 class Encoder:
     """Ids of whole texts. A byte-level pre-tokenizer always cuts before a single space
-    between two other characters, and between letters and the ASCII marks after them, so
-    the pieces between such places are encoded on their own, each of them once. If names of
-    added tokens stand for these tokens (``named``), texts that hold one are encoded whole."""
+    between two other characters, so the pieces between such places are encoded on their
+    own, each of them once: pieces are told apart by 128 bits of hash, cut, hashed, looked up
+    and put together by array operations over many texts. Texts where white space meets
+    white space, or with a very long piece, are encoded whole. If names of added tokens stand
+    for these tokens (``named``), texts that hold one are encoded whole, too."""
 
     def __init__(self, path: str, named: bool = False) -> None:
         from tokenizers import Tokenizer
@@ -182,13 +189,17 @@ class Encoder:
         self.whole = Tokenizer.from_file(path) if named else self.tokenizer
         self.names = [token.content for token in self.whole.get_added_tokens_decoder().values()] if named else []
         self.tokenizer.encode_special_tokens = True  # pieces and rows of them hold no names
-        # by piece after a space, the last ones met and those before; None: cut differently
-        self.known: dict[str, bytes | None] = {}
-        self.older: dict[str, bytes | None] = {}
-        self.tails: dict[str, bytes] = {}
         vocabulary = self.tokenizer.get_vocab()
         self.opens = np.zeros(max(vocabulary.values()) + 1, bool)  # tokens that begin with a space
         self.opens[[i for token, i in vocabulary.items() if token.startswith("\u0120")]] = True
+        self.forget()
+
+    def forget(self) -> None:
+        # of each piece, in the order of its hash: the other hash, where its ids begin among
+        # all ids, and how many it has (-1: it can only be encoded with what is around it)
+        self.keys, self.checks = np.zeros(0, U64), np.zeros(0, U64)
+        self.begins, self.sizes, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, "<u4")
+        self.tails: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
@@ -200,45 +211,103 @@ class Encoder:
         return out
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.known) > REMEMBERED:
-            self.older, self.known = self.known, {}
-        cut = [text.split(" ") for text in texts]
-        heads = self._ids([parts.pop(0) for parts in cut])
-        self._learn(set().union(*cut) - self.known.keys())
-        out = []
-        for text, head, parts in zip(texts, heads, cut, strict=True):
-            try:
-                if parts and text[len(text.split(" ", 1)[0]) - 1].isspace():
-                    raise TypeError
-                out.append(head + b"".join(map(self.known.__getitem__, parts)))
-            except TypeError:  # white space meets white space somewhere
-                out += self._ids([text])
+        data, offsets = texts_of(pa.array(texts, pa.large_string()))
+        spaces = np.flatnonzero(data == 0x20)
+        cuts = np.searchsorted(spaces, offsets)
+        starts = spaces + 1
+        ends = np.append(spaces[1:], len(data))
+        last = cuts[1:][np.diff(cuts) > 0] - 1
+        ends[last] = offsets[1:][np.diff(cuts) > 0]
+        sizes, ids = self._pieces(data, starts, ends)
+        whole = np.zeros(len(texts), bool)
+        whole[np.searchsorted(cuts, np.flatnonzero(sizes < 0), "right") - 1] = True
+        places = np.concatenate([[0], np.cumsum(np.maximum(sizes, 0))])[cuts] * 4
+        stream = ids.tobytes()
+        heads = [text.split(" ", 1)[0] for text in texts]
+        whole |= [head[-1:].isspace() and len(head) < len(text) for head, text in zip(heads, texts, strict=True)]
+        out = [head + stream[a:b] for head, a, b in zip(self._ids(heads), places, places[1:], strict=False)]
+        again = np.flatnonzero(whole).tolist()
+        for i, encoding in zip(again, self._ids([texts[i] for i in again]), strict=True):
+            out[i] = encoding
         return out
 
-    def forget(self) -> None:
-        self.known, self.older, self.tails = {}, {}, {}
-
-    def _learn(self, pieces: set[str]) -> None:
-        words, marked = set(), []
-        again = pieces & self.older.keys()
-        self.known.update((piece, self.older[piece]) for piece in again)
-        for piece in pieces - again:
-            if not piece or piece[0].isspace() or piece[-1].isspace():
-                self.known[piece] = None
-                continue
-            word = piece.rstrip(string.punctuation)
-            if word != piece and word.isalpha():
-                marked.append((piece, word, piece[len(word) :]))
-                if word not in self.known:
-                    words.add(word)
-            else:
-                words.add(piece)
-        ordered = list(words)
-        self.known.update(zip(ordered, self._ids_after_spaces(ordered), strict=True))
-        tails = list({tail for _, _, tail in marked} - self.tails.keys())
+    def _pieces(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """How many ids each piece has (-1: none of its own) and the ids of all pieces."""
+        if not len(starts):
+            return np.zeros(0, np.int64), self.ids[:0]
+        full = ends > starts
+        key, check = np.zeros((2, len(starts)), U64)
+        key[full], check[full] = (hashes(data, starts[full], ends[full], values) for values in EXACT)
+        kinds, first, kind = np.unique(key, return_index=True, return_inverse=True)
+        at, have = self._found(kinds, check[first])
+        new = first[~have]
+        if len(new):
+            if len(self.keys) + len(new) > REMEMBERED:
+                self._keep(np.unique(at[have]))
+                self.tails = {}
+            self._learn([data[a:b].tobytes() for a, b in zip(starts[new].tolist(), ends[new].tolist(), strict=True)], key[new], check[new])
+            at, have = self._found(kinds, check[first])
+        at = at[kind]
+        sizes = self.sizes[at].astype(np.int64)
+        sizes[check != self.checks[at]] = -1  # two pieces of one hash in these texts
+        sizes[ends - starts > LONGEST] = -1
+        run = np.maximum(sizes, 0)
+        before = np.cumsum(run) - run
+        return sizes, self.ids[np.repeat(self.begins[at] - before, run) + np.arange(run.sum())]
+
+    def _found(self, keys: np.ndarray, checks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = np.minimum(np.searchsorted(self.keys, keys), max(len(self.keys) - 1, 0))
+        return at, (self.keys[at] == keys) & (self.checks[at] == checks) if len(self.keys) else np.zeros(len(keys), bool)
+
+    def _keep(self, at: np.ndarray) -> None:
+        """Forget all pieces but some."""
+        run = np.maximum(self.sizes[at], 0).astype(np.int64)
+        before = np.cumsum(run) - run
+        self.ids = self.ids[np.repeat(self.begins[at] - before, run) + np.arange(run.sum())]
+        self.keys, self.checks, self.sizes, self.begins = self.keys[at], self.checks[at], self.sizes[at], before
+
+    def _learn(self, pieces: list[bytes], keys: np.ndarray, checks: np.ndarray) -> None:
+        """Add pieces to those known. The pre-tokenizer also cuts between letters and the ASCII
+        marks after them, so a word with marks has the ids of the word and of the marks."""
+        texts = [piece.decode() if len(piece) <= LONGEST else "" for piece in pieces]
+        marked, own = {}, {}
+        for i, text in enumerate(texts):
+            if text and not text[0].isspace() and not text[-1].isspace():
+                stem = text.rstrip(string.punctuation)
+                if stem != text and stem.isalpha():
+                    marked[i] = stem
+                else:
+                    own[text] = i
+        found = dict(zip(own, self._ids_after_spaces(list(own)), strict=True))
+        stems = list(set(marked.values()) - found.keys())
+        if stems:
+            coded = [stem.encode() for stem in stems]
+            ends = np.cumsum([len(c) for c in coded])
+            starts = np.append(0, ends[:-1])
+            key, check = (hashes(np.frombuffer(b"".join(coded), np.uint8), starts, ends, values) for values in EXACT)
+            at, have = self._found(key, check)
+            for k in np.flatnonzero(have).tolist():
+                begin, size = self.begins[at[k]], self.sizes[at[k]]
+                found[stems[k]] = self.ids[begin : begin + size].tobytes()
+            new = np.flatnonzero(~have)
+            fresh = [stems[k] for k in new.tolist()]
+            found.update(zip(fresh, self._ids_after_spaces(fresh), strict=True))
+            own |= {stem: len(texts) + k for k, stem in enumerate(fresh)}
+            keys, checks = np.concatenate([keys, key[new]]), np.concatenate([checks, check[new]])
+        tails = list({texts[i][len(stem) :] for i, stem in marked.items()} - self.tails.keys())
         self.tails.update(zip(tails, self._ids(tails), strict=True))
-        for piece, word, tail in marked:
-            self.known[piece] = self.known[word] + self.tails[tail]
+        parts = [b""] * len(keys)
+        for text, i in own.items():
+            parts[i] = found[text]
+        for i, stem in marked.items():
+            parts[i] = found[stem] + self.tails[texts[i][len(stem) :]]
+        sizes = np.array([len(ids) // 4 or -1 for ids in parts], np.int32)
+        run = np.maximum(sizes, 0).astype(np.int64)
+        order = np.argsort(np.concatenate([self.keys, keys]), kind="stable")
+        self.begins = np.concatenate([self.begins, len(self.ids) + np.cumsum(run) - run])[order]
+        self.ids = np.concatenate([self.ids, np.frombuffer(b"".join(parts), "<u4")])
+        self.keys, self.checks = np.concatenate([self.keys, keys])[order], np.concatenate([self.checks, checks])[order]
+        self.sizes = np.concatenate([self.sizes, sizes])[order]
 
     def _ids_after_spaces(self, words: list[str]) -> list[bytes]:
         """Ids of words that hold no space, each after one. They are encoded in long rows;
@@ -259,8 +328,9 @@ class Encoder:
 
 @functools.cache
 def encoder_of(path: str) -> Encoder:
-    """One per worker: its vocabulary is not read anew by each task. Ids are those of the
-    tokenizer on whole texts, so the name of an added token in a text is that token."""
+    """One per worker: neither its vocabulary is read nor the pieces that it remembers are
+    encoded anew by each task. Ids are those of the tokenizer on whole texts, so the name of
+    an added token in a text is that token."""
     return Encoder(path, named=True)
 
 
@@ -305,7 +375,6 @@ def encoded(docs: DataFrame, path: str, end: int = 0, terminals: int = 1 << 16,
                         number, size = number + 1, 0
         if streams:
             yield block()
-        encoder.forget()  # the worker lives on, in other stages
 
     ranged = (
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
