@@ -269,7 +269,8 @@ def references(texts: DataFrame, distinct: DataFrame, length: int, shards: int)
 
     # the keys alone, which are small, go first: where they can be sent to all tasks, only the
     # texts that are asked for move; else the texts move once, for both joins
-    wanted = texts.select("a", "b", "text").join(lists.select("a", "b"), ["a", "b"], "left_semi")
+    keys = materialise(lists.select("a", "b"), "list-keys")
+    wanted = texts.select("a", "b", "text").join(keys, ["a", "b"], "left_semi")
     once = wanted.join(lists, ["a", "b"]).dropDuplicates(["a", "b"])
     return once.mapInArrow(run, "shard int, seed long, name long, n long, words binary")
 
