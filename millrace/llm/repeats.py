@@ -251,7 +251,6 @@ def references(texts: DataFrame, distinct: DataFrame, length: int, shards: int)
     lists = distinct.groupBy("one.a", "one.b").agg(
         F.collect_list(F.struct(shard.alias("shard"), "seed", "name", "n", "one.at", "one.windows")).alias("parts")
     )
-    lists = materialise(lists, "stretch-lists")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -267,11 +266,8 @@ def references(texts: DataFrame, distinct: DataFrame, length: int, shards: int)
                     **{name: flat.field(name) for name in ("shard", "seed", "name", "n")}, "words": pa.array(sent, pa.binary()),
                 })
 
-    # the keys alone, which are small, go first: where they can be sent to all tasks, only the
-    # texts that are asked for move; else the texts move once, for both joins
-    keys = materialise(lists.select("a", "b"), "list-keys")
-    wanted = texts.select("a", "b", "text").join(keys, ["a", "b"], "left_semi")
-    once = wanted.join(lists, ["a", "b"]).dropDuplicates(["a", "b"])
+    # merged: the same plan for tables of every size
+    once = texts.select("a", "b", "text").join(lists.hint("merge"), ["a", "b"]).dropDuplicates(["a", "b"])
     return once.mapInArrow(run, "shard int, seed long, name long, n long, words binary")
 
 
@@ -326,7 +322,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, seed_windows: int = SE
 def without_repeats(docs: DataFrame, length: int = LENGTH, **sizes: int) -> DataFrame:
     """Per row of ``docs``: doc_id, n_words, n_removed and the text of the words that stay,
     joined by single spaces."""
-    rows = keyed(docs).join(repeated_spans(docs, length, **sizes), ["a", "b"], "left").select("doc_id", "text", "spans")
+    rows = keyed(docs).join(repeated_spans(docs, length, **sizes).hint("merge"), ["a", "b"], "left").select("doc_id", "text", "spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -1,11 +1,13 @@
 """Quality classifier: a sparse ensemble of rules over text statistics.
 
-Boosted shallow trees are grown on a bounded sample of labelled rows; every path from a
+The shallow trees of a random forest are grown on a bounded sample of labelled rows; every path from a
 root to a node becomes a conjunctive rule; an L1-penalised logistic regression over the
 rules keeps few of them; and what is left is compiled into one Spark column expression.
 
-Empty and null texts have statistics of 0 and are scored like any other. Without labels
-of both kinds the score is 0.5 throughout.
+Empty and null texts have statistics of 0 and are scored like any other; texts are read
+whole, of any length. Repeated rows get repeated scores; of a repeated id in the labels one
+label counts. Without labels of both kinds the score is 0.5 throughout; an empty table gives
+no rows.
 """
 
 from __future__ import annotations
