@@ -238,7 +238,7 @@ def _again(found: DataFrame) -> DataFrame:
     """The stretches whose seed occurs again."""
     # written: a join of two plain shuffles is one whose hot keys Spark can split
     several = materialise(found.groupBy("seed").agg(F.sum("times").alias("_n")).where("_n > 1").select("seed"), "seeds-again")
-    return found.join(several, "seed", "left_semi").select(*(part.split()[0] for part in STRETCHES.split(", ")))
+    return found.join(several.hint("merge"), "seed", "left_semi").select(*(part.split()[0] for part in STRETCHES.split(", ")))
 
 
 def _distinct(found: DataFrame) -> DataFrame:
