@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import urllib.parse
 import urllib.request
 from collections.abc import Callable, Iterator, Sequence
@@ -64,22 +65,27 @@ def service_lookup(
     A table asks once per distinct key, in as many ``tasks`` as there are cores by
     default: the answers are written to the shared folder, so no later failure repeats
     a request, and joined back. A stream asks once per distinct key of each Arrow
-    batch, where the rows are.
+    batch, where the rows are; ``streaming.answers`` asks once per key of the whole run.
     """
-    if on_error not in ("null", "empty"):
-        raise ValueError("on_error is 'null' or 'empty'")
-    if not isinstance(df.schema[key].dataType, T.StringType):
-        raise TypeError(f"{key} must be a string column")
+    check_lookup(df, key, on_error)
     if df.isStreaming:
-        return _ask_in_place(df, key, name, fetch, on_error)
+        return ask_service(df, key, name, fetch, on_error)
     # keys are small, and adaptive execution would put them all into a task or two
     tasks = tasks or df.sparkSession.sparkContext.defaultParallelism
     keys = df.select(key).where(F.col(key).isNotNull()).distinct().repartition(tasks)
-    answers = materialise(_ask_in_place(keys, key, name, fetch, on_error), "answers")
+    answers = materialise(ask_service(keys, key, name, fetch, on_error), "answers")
     return lookup_join(df, answers, key)
 
 
-def _ask_in_place(df: DataFrame, key: str, name: str, fetch: Fetch, on_error: str) -> DataFrame:
+def check_lookup(df: DataFrame, key: str, on_error: str) -> None:
+    if on_error not in ("null", "empty"):
+        raise ValueError("on_error is 'null' or 'empty'")
+    if not isinstance(df.schema[key].dataType, T.StringType):
+        raise TypeError(f"{key} must be a string column")
+
+
+def ask_service(df: DataFrame, key: str, name: str, fetch: Fetch, on_error: str) -> DataFrame:
+    """Ask where the rows are, once per distinct key of each Arrow batch."""
     schema = T.StructType(
         [*df.schema.fields, T.StructField(name, T.StringType()), T.StructField(f"{name}_error", T.StringType())]
     )
@@ -98,6 +104,33 @@ def _ask_in_place(df: DataFrame, key: str, name: str, fetch: Fetch, on_error: st
     return df.mapInPandas(ask, schema)
 
 
+def retrying(fetch: Fetch, attempts: int = 3, wait: float = 0.5, longest: float = 30.0) -> Fetch:
+    """``fetch`` asking again for the keys that failed, after ``wait`` seconds and then twice
+    as long each time, up to ``longest``. What still fails after ``attempts`` stays failed.
+
+    The waits are in the task that asks. A ``fetch`` that raises counts as failed for all its
+    keys, so that its last error is an answer and not the end of the job.
+    """
+
+    def ask(keys: Sequence[str]) -> Sequence[object]:
+        answers: dict[str, object] = {}
+        todo = list(keys)
+        for attempt in range(attempts):
+            if attempt:
+                time.sleep(min(wait * 2 ** (attempt - 1), longest))
+            try:
+                got = fetch(todo)
+            except Exception as error:
+                got = [error] * len(todo)
+            answers.update(zip(todo, got, strict=True))
+            todo = [k for k in todo if isinstance(answers[k], Exception)]
+            if not todo:
+                break
+        return [answers[k] for k in keys]
+
+    return ask
+
+
 def http_fetch(
     url: str, param: str, method: str = "GET", timeout: float = 10.0, concurrency: int = 8
 ) -> Fetch:

@@ -30,7 +30,8 @@ from millrace.plans.jobs import messages_to_tables, project_view
 from millrace.session import new_path, streaming_session
 from millrace.sinks.tables import commit_to_folder, committed_rows, compact_folder, stored_offsets
 from millrace.sources.kafka import as_messages
-from millrace.sources.views import json_view
+from millrace.sources.views import json_view, tokens_function
+from millrace.streaming.answers import answers_to_folder
 from millrace.streaming.event_time import with_bounded_lateness
 from millrace.streaming.lists import closed_rows, lists_to_folder
 from millrace.streaming.run import start_batches, start_files
@@ -74,6 +75,14 @@ def q_tokenize(spark: SparkSession, sf: str) -> DataFrame:
     return tokens(table(spark, sf, "documents"), "text", "doc_id")
 
 
+@query(ORACLES["q_tokenize"])
+def q_sql_tokens(spark: SparkSession, sf: str) -> DataFrame:
+    """A function from a row to rows, used in SQL over a view."""
+    table(spark, sf, "documents").createOrReplaceTempView("token_source")
+    tokens_function(spark)
+    return spark.sql("SELECT doc_id, word, n FROM token_source, LATERAL tokens(text)")
+
+
 _RUNNING_COUNT = """
 select event_id, event_type, count(*) over (
   partition by event_type order by event_id
@@ -753,6 +762,18 @@ def q_stream_watermark_trace(spark: SparkSession, sf: str) -> DataFrame:
     return session.read.parquet(f"{path}/out/rows").select("event_id", "max_ts", "wm")
 
 
+@query(ORACLES["q_service_lookup"])
+def q_stream_service_lookup(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers of later batches are mostly known from earlier ones."""
+    session = streaming_session(spark)
+    path = new_path(session, "lookups")
+    write = answers_to_folder(f"{path}/out", "client_id", "xuid", lambda keys: [f"x{key}" for key in keys], buckets=3)
+    in_batches(session, sf, {"orders": "o_orderkey"}, lambda orders: start_batches(
+        orders.select("o_orderkey", F.col("o_custkey").cast("string").alias("client_id")), write, f"{path}/checkpoint"
+    ))
+    return session.read.parquet(f"{path}/out/rows").select("o_orderkey", "xuid")
+
+
 def _committed(spark: SparkSession, sf: str) -> tuple[SparkSession, str]:
     session = streaming_session(spark)
     path = new_path(session, "commits")

@@ -1,8 +1,8 @@
-"""Message topics as SQL views."""
+"""Message topics as SQL views, and functions for SQL."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.functions.messages import typed_rows
 
@@ -12,3 +12,14 @@ def json_view(messages: DataFrame, name: str, schema: str, lenient: bool = True)
     the columns of ``schema``."""
     text = messages.select(F.col("value").cast("string").alias("value"))
     typed_rows(text, "value", schema, lenient=lenient).createOrReplaceTempView(name)
+
+
+def tokens_function(spark: SparkSession, name: str = "tokens") -> None:
+    """A temporary table function for SQL, ``tokens(text)``: the rows of ``functions.text.tokens``,
+    a token of each line with the count 1. Used as ``FROM lines, LATERAL tokens(text)``. Its body
+    is SQL, so a query over it is planned as one."""
+    spark.sql(f"""
+        CREATE OR REPLACE TEMPORARY FUNCTION {name}(text STRING) RETURNS TABLE (word STRING, n BIGINT)
+        RETURN SELECT word, 1L FROM (SELECT explode(split(text, '\\n')) AS line)
+          LATERAL VIEW explode(CASE WHEN length(line) > 0 AND rtrim(line) = '' THEN CAST(array() AS ARRAY<STRING>)
+                                    ELSE split(rtrim(line), ' ') END) t AS word""")

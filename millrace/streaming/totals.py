@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from millrace.operators.aggregate import keyed_totals
@@ -56,15 +58,8 @@ def changelog_to_folder(
             totals = own_totals
             if initial is not None:
                 totals = totals.unionByName(initial).groupBy(*keys).agg(F.sum(name).alias(name))
-            _by_bucket(with_bucket(totals, keys, buckets), f"{root}/new/batch_id={batch_id}")
-        own = batch_id % buckets
-        merged = totals_before(spark, root, own_totals.schema, batch_id + 1, [own], buckets, batch_id - buckets)
-        if merged is not None:
-            latest = latest_totals(merged, keys, name)
-            latest.write.mode("overwrite").parquet(f"{root}/merged/{_BUCKET}={own}/upto={batch_id}")
-        # the batch before will not come again, so what only it would read can go
-        remove_path(spark, f"{root}/new/batch_id={batch_id - buckets - 1}")
-        remove_path(spark, f"{root}/merged/{_BUCKET}={(batch_id - 1) % buckets}/upto={batch_id - 1 - buckets}")
+            by_bucket(with_bucket(totals, keys, buckets), f"{root}/new/batch_id={batch_id}")
+        merge_one_bucket(spark, root, own_totals.schema, batch_id, buckets, lambda found: latest_totals(found, keys, name))
 
     return write
 
@@ -73,12 +68,26 @@ def with_bucket(df: DataFrame, keys: list[str], buckets: int) -> DataFrame:
     return df.withColumn(_BUCKET, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
 
 
-def _by_bucket(df: DataFrame, path: str) -> None:
+def by_bucket(df: DataFrame, path: str) -> None:
     # rebalanced: a file or a few per bucket, whatever their sizes
     writer = df.hint("rebalance", _BUCKET).write.mode("overwrite").option("partitionOverwriteMode", "static")
     writer.partitionBy(_BUCKET).parquet(path)
 
 
+def merge_one_bucket(
+    spark: SparkSession, root: str, schema: T.StructType, batch_id: int, buckets: int,
+    latest: Callable[[DataFrame], DataFrame],
+) -> None:
+    """Merge the bucket whose turn it is, by ``latest``, and remove what no batch will read."""
+    own = batch_id % buckets
+    found = totals_before(spark, root, schema, batch_id + 1, [own], buckets, batch_id - buckets)
+    if found is not None:
+        latest(found).write.mode("overwrite").parquet(f"{root}/merged/{_BUCKET}={own}/upto={batch_id}")
+    # the batch before will not come again, so what only it would read can go
+    remove_path(spark, f"{root}/new/batch_id={batch_id - buckets - 1}")
+    remove_path(spark, f"{root}/merged/{_BUCKET}={(batch_id - 1) % buckets}/upto={batch_id - 1 - buckets}")
+
+
 def totals_before(
     spark: SparkSession, root: str, schema: T.StructType, batch_id: int, touched: list[int], buckets: int,
     merged_at: int | None = None,

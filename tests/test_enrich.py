@@ -7,7 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.operators import enrich
-from millrace.operators.enrich import http_fetch, lookup_join, lookup_map, service_lookup
+from millrace.operators.enrich import http_fetch, lookup_join, lookup_map, retrying, service_lookup
+from millrace.session import child_names
+from millrace.streaming.answers import answers_to_folder
 
 
 def rows(df):
@@ -135,3 +137,69 @@ def test_web_requests(monkeypatch, method):
         (f"http://service/xuid?{query}", None, "GET") if method == "GET"
         else ("http://service/xuid", query.encode(), "POST")
     )
+
+
+def test_failed_keys_are_asked_again(monkeypatch):
+    calls, waits = [], []
+    monkeypatch.setattr(enrich.time, "sleep", waits.append)
+
+    def fetch(keys):
+        calls.append(list(keys))
+        if len(calls) == 1:
+            raise OSError("down")
+        return [OSError(k) if k == "bad" or (k == "slow" and len(calls) < 3) else k.upper() for k in keys]
+
+    a, slow, bad = retrying(fetch, attempts=4, wait=1, longest=3)(["a", "slow", "bad"])
+    assert (a, slow) == ("A", "SLOW") and isinstance(bad, OSError)
+    assert calls == [["a", "slow", "bad"], ["a", "slow", "bad"], ["slow", "bad"], ["bad"]]
+    assert waits == [1, 2, 3]
+
+
+def test_a_run_asks_once_per_key(spark, tmp_path):
+    log, root, now = str(tmp_path / "asked"), str(tmp_path / "out"), [1000.0]
+
+    def fetch(keys):
+        with open(log, "a") as f:
+            f.writelines(f"{k}\n" for k in keys)
+        return [ValueError("no") if k == "bad" else f"x{k}" for k in keys]
+
+    def asked():
+        with open(log, "a+") as f:
+            f.seek(0)
+            found = f.read().split()
+            f.truncate(0)
+        return sorted(found)
+
+    write = answers_to_folder(root, "k", "x", fetch, keep=100, keep_failed=10, buckets=2, clock=lambda: now[0])
+
+    def batch(number, *keys):
+        df = spark.createDataFrame([(i, k) for i, k in enumerate(keys)], "i int, k string").repartition(3)
+        write(df, number)
+        rows = spark.read.parquet(f"{root}/rows/batch_id={number}").collect()
+        assert [k for _, k in sorted((r.i, r.k) for r in rows)] == list(keys)
+        assert {(r.x, r.x_error) for r in rows if r.k is None} <= {(None, None)}
+        assert all(r.x == (None if r.k == "bad" else f"x{r.k}") for r in rows if r.k is not None)
+        assert {r.x_error for r in rows if r.k == "bad"} <= {"no"}
+        return asked()
+
+    assert batch(0, "a", "a", "bad", None, "b") == ["a", "b", "bad"]
+    assert batch(1, "b", "c", "bad", "a") == ["c"]
+    assert batch(1, "b", "c", "bad", "a") == []  # a batch that comes again
+    assert batch(2, None) == []
+    now[0] += 20  # failures are forgotten sooner
+    assert batch(3, "a", "b", "bad", "c") == ["bad"]
+    for number in range(4, 10):
+        assert batch(number, "a", "d") == (["d"] if number == 4 else [])
+    # what has been merged is gone, and the store does not grow with the batches
+    assert len(child_names(spark, f"{root}/new")) <= 4
+    assert sum(len(child_names(spark, f"{root}/merged/{b}")) for b in child_names(spark, f"{root}/merged")) <= 4
+    now[0] += 100
+    assert batch(10, "a", "c", "d") == ["a", "c", "d"]
+
+
+def test_answers_of_rows_without_keys_and_of_no_rows(spark, tmp_path):
+    write = answers_to_folder(str(tmp_path), "k", "x", lambda keys: [OSError("e")] * len(keys), on_error="empty")
+    write(spark.createDataFrame([], "k string, other int"), 0)
+    write(spark.createDataFrame([(None, 1), ("q", 2)], "k string, other int"), 1)
+    got = spark.read.parquet(f"{tmp_path}/rows")
+    assert rows(got.select("other", "x", "x_error")) == sorted([(1, None, None), (2, "", "e")], key=str)
