@@ -19,6 +19,7 @@ it is written; give them an ``Outlet`` or filter them out.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from typing import Any
@@ -27,6 +28,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.session import materialise, working
 from millrace.sinks.batches import WriteBatch, run_of
+from millrace.sinks.metrics import KeepTables, millis_since, timed_write
 from millrace.sources.jdbc import Database
 
 Stage = Callable[[DataFrame, str], None]
@@ -49,19 +51,31 @@ def append_rows(df: DataFrame, database: Database, table: str) -> None:
     _writer(df, database, table).option("isolationLevel", "NONE").mode("append").save()
 
 
-def append_per_table(outlets: Sequence[Outlet], database: Database) -> WriteBatch:
+def append_per_table(outlets: Sequence[Outlet], database: Database, keep: KeepTables | None = None) -> WriteBatch:
     """A ``foreachBatch`` writer of routed rows with a plain insert per table; a
-    replayed batch is inserted again."""
+    replayed batch is inserted again. ``keep`` gets the rows and the time of each insert."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        entries = []
         with working(batch.sparkSession):
             rows = decoded(batch, outlets)
             for outlet in outlets:
-                append_rows(rows.where(F.col("kind") == outlet.kind).select(*outlet.columns), database, outlet.table)
+                own = rows.where(F.col("kind") == outlet.kind).select(*outlet.columns)
+                if keep is None:
+                    append_rows(own, database, outlet.table)
+                else:
+                    count, millis = timed_write(own, lambda df, to=outlet.table: append_rows(df, database, to))
+                    entries.append(_entry(batch, batch_id, outlet.table, count, millis))
+        if keep is not None:
+            keep(entries)
 
     return write
 
 
+def _entry(batch: DataFrame, batch_id: int, table: str, rows: int, millis: int) -> dict:
+    return {"run": run_of(batch), "batch_id": batch_id, "table": table, "rows": rows, "millis": millis}
+
+
 def decoded(batch: DataFrame, outlets: Sequence[Outlet]) -> DataFrame:
     """The rows of a batch, written once at the width it is read at: the few connections
     of a database must not narrow the reading and decoding too."""
@@ -116,14 +130,18 @@ def compact_offsets(outlet: Outlet, scratch: str) -> list[str]:
     ]
 
 
-def transaction(connection: Any, statements: Sequence[str]) -> None:
-    """All statements or none; a failure is raised after the rollback."""
+def transaction(connection: Any, statements: Sequence[str]) -> list[tuple[int, int]]:
+    """All statements or none; a failure is raised after the rollback. Returns the rows that
+    each statement changed, as the database says, and its milliseconds."""
+    done = []
     try:
         connection.setAutoCommit(False)
         statement = connection.createStatement()
         for sql in statements:
-            statement.executeUpdate(sql)
+            begin = time.monotonic()
+            done.append((statement.executeUpdate(sql), millis_since(begin)))
         connection.commit()
+        return done
     except BaseException:
         connection.rollback()
         raise
@@ -145,9 +163,11 @@ def _recorded(connection: Any, ledger: str, target: str, run: str, batch_id: int
 
 def _write_groups(
     groups: dict[str, list[str]], outlets: Sequence[Outlet], staging: str, ledger: str, stage: Stage,
-    connect: Connect,
+    connect: Connect, keep: KeepTables | None,
 ) -> WriteBatch:
-    """A batch writer running one transaction per entry of ``groups``."""
+    """A batch writer running one transaction per entry of ``groups``. ``keep`` gets the rows
+    and the time of the insert into each result table, after its transaction."""
+    tables = {insert_rows(o, staging): o.table for o in outlets}
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark, run = batch.sparkSession, run_of(batch)
@@ -161,7 +181,10 @@ def _write_groups(
                 f"INSERT INTO {ledger} (target, run, batch_id, committed_at) "
                 f"VALUES ('{target}', '{run}', {batch_id}, CURRENT_TIMESTAMP)"
             )
-            transaction(connect(spark), [*groups[target], record])
+            done = transaction(connect(spark), [*groups[target], record])
+            if keep is not None:
+                made = zip(groups[target], done, strict=False)
+                keep([_entry(batch, batch_id, tables[sql], *what) for sql, what in made if sql in tables])
 
     return write
 
@@ -169,25 +192,26 @@ def _write_groups(
 def commit_per_table(
     outlets: Sequence[Outlet], staging: str, ledger: str,
     database: Database | None = None, stage: Stage | None = None, connect: Connect | None = None,
+    keep: KeepTables | None = None,
 ) -> WriteBatch:
     """A ``foreachBatch`` writer of routed rows with one transaction per table."""
     groups = {o.table: [insert_rows(o, staging)] for o in outlets}
     return _write_groups(
-        groups, outlets, staging, ledger, stage or stage_rows(database), connect or database.connect
+        groups, outlets, staging, ledger, stage or stage_rows(database), connect or database.connect, keep
     )
 
 
 def commit_with_offsets(
     outlets: Sequence[Outlet], staging: str, ledger: str,
     database: Database | None = None, stage: Stage | None = None, connect: Connect | None = None,
-    target: str = "all",
+    target: str = "all", keep: KeepTables | None = None,
 ) -> WriteBatch:
     """A ``foreachBatch`` writer of routed rows that commits the rows of all tables
     and the newest source offsets in a single transaction."""
     statements = [insert_rows(o, staging) for o in outlets]
     statements += [insert_offsets(o, staging) for o in outlets if o.offsets]
     return _write_groups(
-        {target: statements}, outlets, staging, ledger, stage or stage_rows(database), connect or database.connect
+        {target: statements}, outlets, staging, ledger, stage or stage_rows(database), connect or database.connect, keep
     )
 
 

@@ -1,10 +1,11 @@
-"""Counts and times of batches, as measured by Spark."""
+"""Counts and times of batches, as measured by Spark, and of the tables that they are written to."""
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from pyspark.sql.streaming.listener import StreamingQueryProgress
 
@@ -53,3 +54,29 @@ def metrics_of(progress: StreamingQueryProgress) -> dict:
 def batch_metrics(query: StreamingQuery) -> list[dict]:
     """The entries of the batches that Spark still remembers; ``BatchMetrics`` has all."""
     return [metrics_of(p) for p in query.recentProgress]
+
+
+#: Gets the entries of the tables that a batch was written to: run, batch_id, table, rows, millis.
+KeepTables = Callable[[list[dict]], None]
+_TABLES_SCHEMA = "run string, batch_id bigint, table string, rows bigint, millis bigint"
+
+
+def timed_write(df: DataFrame, write: Callable[[DataFrame], None]) -> tuple[int, int]:
+    """Rows that pass in the one job of ``write``, counted by it, and its milliseconds."""
+    seen, begin = Observation(), time.monotonic()
+    write(df.observe(seen, F.count(F.lit(1)).alias("rows")))
+    return seen.get["rows"], millis_since(begin)
+
+
+def millis_since(begin: float) -> int:
+    return round((time.monotonic() - begin) * 1000)
+
+
+def table_metrics_to_folder(spark: SparkSession, root: str) -> KeepTables:
+    """Adds the entries of each batch to a table in ``root``: one row per table written."""
+
+    def keep(entries: list[dict]) -> None:
+        if entries:
+            spark.createDataFrame(entries, _TABLES_SCHEMA).coalesce(1).write.mode("append").parquet(root)
+
+    return keep

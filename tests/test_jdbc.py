@@ -14,6 +14,7 @@ from millrace.sinks.jdbc import (
     Outlet, append_per_table, append_rows, commit_per_table, commit_with_offsets, compact_offsets, rows_into_view,
     stage_rows, transaction,
 )
+from millrace.sinks.metrics import table_metrics_to_folder
 from millrace.sources.jdbc import Database, _quoted, jdbc_query, jdbc_view
 
 GROUPS = Outlet("group", "groups", ("id", "group_code"), "groups_topic", "group_offsets")
@@ -45,6 +46,7 @@ class Connection:
         if self.db.fail_on and self.db.fail_on in sql:
             raise RuntimeError("database gone")
         self.pending.append(sql)
+        return len(self.pending)
 
     def executeQuery(self, sql):
         target, run, batch_id = re.search(r"target = '(.*)' AND run = '(.*)' AND batch_id = (.*)", sql).groups()
@@ -145,6 +147,34 @@ def test_plain_inserts_go_to_each_table(monkeypatch, batch):
     assert seen == [("groups", [(1, "g")]), ("members", [(2, "m")])]
 
 
+def test_rows_and_time_of_each_table_are_kept(spark, monkeypatch, batch, tmp_path):
+    from millrace.sinks import jdbc
+
+    monkeypatch.setattr(jdbc, "append_rows", lambda df, db, table: df.write.mode("append").parquet(str(tmp_path / table)))
+    write = append_per_table([GROUPS, MEMBERS], DB, table_metrics_to_folder(spark, str(tmp_path / "metrics")))
+    more = batch.union(batch.where("kind = 'group'"))
+    write(batch, 0)
+    write(more, 1)
+    kept = {(r.batch_id, r.table): r for r in spark.read.parquet(str(tmp_path / "metrics")).collect()}
+    assert {k: r.rows for k, r in kept.items()} == {(0, "groups"): 1, (0, "members"): 1, (1, "groups"): 2, (1, "members"): 1}
+    assert sum(r.rows for (n, _), r in kept.items() if n == 1) == more.count()
+    assert all(r.millis > 0 and r.run == "none" for r in kept.values())
+
+
+@pytest.mark.parametrize(("kind", "want"), [
+    # the stand-in says how many statements its transaction has had
+    (commit_per_table, [[("groups", 1)], [("members", 1)]]),
+    (commit_with_offsets, [[("groups", 1), ("members", 2)]]),
+])
+def test_transactions_tell_what_the_database_counted(db, batch, kind, want):
+    kept = []
+    write = kind([GROUPS, MEMBERS], "staging", "ledger", stage=lambda df, table: None, connect=db.connect, keep=kept.append)
+    write(batch, 4)
+    write(batch, 4)  # committed already: nothing is written
+    assert [[(e["table"], e["rows"]) for e in entries] for entries in kept] == want
+    assert all(e["batch_id"] == 4 and e["millis"] >= 0 for entries in kept for e in entries)
+
+
 def test_repeated_staging_rows_count_once(db, batch):
     writer(commit_with_offsets, db, [])(batch, 0)
     assert db.committed[0] == (
