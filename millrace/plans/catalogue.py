@@ -23,6 +23,7 @@ from millrace.operators.route import groups, members, route, union_streams
 from millrace.operators.running import running_totals
 from millrace.operators.tables import add_columns, compact_offset_table, copy_table, recreate, refill
 from millrace.operators.watermark import drop_late, flag_late, trace
+from millrace.operators.watermarks import min_trace
 from millrace.operators.windows import (
     assign_window, collect_window, over_windows, report_line, tumbling, window_counts,
 )
@@ -211,6 +212,25 @@ def q_late_dropped_agg(spark: SparkSession, sf: str) -> DataFrame:
     return kept.groupBy(F.col("user_id").alias("k"), "ws").agg(F.count(F.lit(1)).alias("cnt"))
 
 
+_REACHED = ", ".join(f"max(us) filter (where sp = {i}) over w" for i in range(8))
+
+
+@query(f"""{_ARRIVALS},
+m as (select event_id, we, list_value({_REACHED}) as reached,
+             (select count(distinct sp) from o) as sources
+      from w window w as (order by arr, event_id rows between unbounded preceding and 1 preceding)),
+l as (select event_id, we, case when list_count(reached) = sources then list_min(reached) end as low from m)
+select event_id, make_timestamp(low - 600000000) as wm, coalesce(we - 1000 <= low - 600000000, false) as is_late from l""")
+def q_watermark_min(spark: SparkSession, sf: str) -> DataFrame:
+    """The watermark of all sources that a row meets, and whether it had closed the row's window."""
+    rows = min_trace(
+        assign_window(_arrivals(spark, sf), "ts", "1 hour"), "ts", "10 MINUTES", "sp", ["arr", "event_id"],
+        include_current=False, rows_per_range=FEW_ROWS,
+    )
+    last = F.col("ws") + F.expr("INTERVAL 1 HOUR") - F.expr("INTERVAL 1 MILLISECOND")
+    return rows.select("event_id", "wm", F.coalesce(last <= F.col("wm"), F.lit(False)).alias("is_late"))
+
+
 @query("select event_id, time_bucket(interval 30 second, ts) as ws from events")
 def q_window_assign(spark: SparkSession, sf: str) -> DataFrame:
     return assign_window(table(spark, sf, "events"), "ts", "30 seconds").select("event_id", "ws")
