@@ -33,6 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm.packing import packed, unpacked
 from millrace.llm.words import BASE, BASE_INVERSE, U64, Texts, hashes, mix, pieces, powers, rows_of, spans, texts_of, windows
 from millrace.session import materialise, working
 
@@ -214,7 +215,7 @@ def cut_by_windows(texts: DataFrame, places: DataFrame, length: int) -> DataFram
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in pieces(batch):
+            for piece in unpacked(batch):
                 hashed, docs = words_of(texts_of(piece["text"]))
                 lists = piece["places"]
                 owner = rows_of(lists.offsets.to_numpy() - lists.offsets[0].as_py())
@@ -231,7 +232,7 @@ def cut_by_windows(texts: DataFrame, places: DataFrame, length: int) -> DataFram
                     "times": pa.array(one),
                 })
 
-    return texts.select("a", "b", "text").join(lists, ["a", "b"]).mapInArrow(run, STRETCHES)
+    return packed(texts.select("a", "b", "text")).join(lists, ["a", "b"]).mapInArrow(run, STRETCHES)
 
 
 def _again(found: DataFrame) -> DataFrame:
@@ -254,7 +255,7 @@ def references(texts: DataFrame, distinct: DataFrame, length: int, shards: int)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in pieces(batch):
+            for piece in unpacked(batch):
                 hashed, docs = words_of(texts_of(piece["text"]))
                 lists = piece["parts"]
                 owner = rows_of(lists.offsets.to_numpy() - lists.offsets[0].as_py())
@@ -267,7 +268,7 @@ def references(texts: DataFrame, distinct: DataFrame, length: int, shards: int)
                 })
 
     # merged: the same plan for tables of every size
-    once = texts.select("a", "b", "text").join(lists.hint("merge"), ["a", "b"]).dropDuplicates(["a", "b"])
+    once = packed(texts.select("a", "b", "text")).join(lists.hint("merge"), ["a", "b"]).dropDuplicates(["a", "b"])
     return once.mapInArrow(run, "shard int, seed long, name long, n long, words binary")
 
 
@@ -322,11 +323,12 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, seed_windows: int = SE
 def without_repeats(docs: DataFrame, length: int = LENGTH, **sizes: int) -> DataFrame:
     """Per row of ``docs``: doc_id, n_words, n_removed and the text of the words that stay,
     joined by single spaces."""
-    rows = keyed(docs).join(repeated_spans(docs, length, **sizes).hint("merge"), ["a", "b"], "left").select("doc_id", "text", "spans")
+    marks = repeated_spans(docs, length, **sizes)
+    rows = packed(keyed(docs)).join(marks.hint("merge"), ["a", "b"], "left").select("doc_id", "packed", "size", "spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in pieces(batch):
+            for piece in unpacked(batch):
                 texts, counts, removed = [], array("q"), array("q")
                 for text, spans in zip(piece["text"].to_pylist(), piece["spans"].to_pylist(), strict=True):
                     words = text.encode().split()  # at the white space of ASCII
