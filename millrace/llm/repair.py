@@ -118,58 +118,74 @@ class Block(NamedTuple):
 
 
 def compressed(ids: np.ndarray, documents: np.ndarray, terminals: int, frequent: int = FREQUENT) -> Block:
-    """The block of a stream of ids. Rounds go on until no pair is frequent."""
-    sequence, left, right = ids.astype(np.int64), [], []
+    """The block of a stream of ids. Rounds go on until no pair is frequent.
+
+    A pair of old symbols never becomes more frequent, so after the first round only places
+    beside new symbols, and those of pairs that were frequent and had to wait, are counted.
+    """
+    sequence, left, right = ids.astype(np.int32), [], []
     sizes = np.ones(terminals, np.int64)
+    open_ = np.ones(len(sequence), bool)  # places whose pair may be frequent
     turn = 0
-    while len(sequence) > 1:
-        keys = sequence[:-1] << 32 | sequence[1:]
+    while len(at := np.flatnonzero(open_[:-1])):
+        turn += 1
+        keys = sequence[at].astype(np.int64) << 32 | sequence[at + 1]
+        # pairs that share a slot are counted together first: only full slots are sorted
+        slot = _slots(keys, len(keys).bit_length() + 1, turn)
+        full = np.bincount(slot)[slot] >= frequent
+        at, keys = at[full], keys[full]
         found, times = np.unique(keys, return_counts=True)
         often = np.flatnonzero(times >= frequent)
         if not len(often):
             break
-        often = often[np.argsort(-times[often], kind="stable")]
-        a, b = found[often] >> 32, found[often] & 0xFFFFFFFF
-        # a symbol is only a left side or only a right side in this round: the side of the
-        # most frequent pair it occurs in; pairs that need it on the other side wait
-        rank = np.arange(len(often))
-        side = np.full(len(sizes), 2 * len(often), np.int64)
-        np.minimum.at(side, a, 2 * rank)
-        np.minimum.at(side, b, 2 * rank + 1)
-        twins = (a == b) & (side[a] == 2 * rank)
-        chosen = (side[a] % 2 == 0) & (side[b] % 2 == 1) & (a != b) | twins
-        pairs = found[often][chosen]
-        # pairs are looked up by a hash; of those that share a slot the rarer ones wait too
-        turn += 1
-        bits = max(8, int(len(pairs)).bit_length() + 4)
-        scramble = lambda k: (k.astype(U64) * U64(BASE + 2 * turn)) >> U64(64 - bits)  # noqa: E731, B023
+        pairs = _apart(found[often[np.argsort(-times[often], kind="stable")]], len(sizes))
+        # pairs are looked up by a hash; of those that share a slot the rarer ones wait
+        bits = max(8, len(pairs).bit_length() + 4)
         slots = np.full(1 << bits, -1, np.int32)
-        slots[scramble(pairs[::-1])] = np.arange(len(pairs))[::-1]
-        pairs = pairs[slots[scramble(pairs)] == np.arange(len(pairs))]
+        slots[_slots(pairs[::-1], bits, turn)] = np.arange(len(pairs))[::-1]
+        pairs = pairs[slots[_slots(pairs, bits, turn)] == np.arange(len(pairs))]
         slots[:] = -1
-        slots[scramble(pairs)] = np.arange(len(pairs))
-        lefts, rights = np.zeros(len(sizes), bool), np.zeros(len(sizes), bool)
-        lefts[pairs >> 32], rights[pairs & 0xFFFFFFFF] = True, True
-        at = np.flatnonzero(lefts[sequence[:-1]] & rights[sequence[1:]])
-        place = slots[scramble(keys[at])]
-        hit = (place >= 0) & (pairs[place] == keys[at])
+        slots[_slots(pairs, bits, turn)] = np.arange(len(pairs))
+        open_[:] = False
+        open_[at] = True
+        place = slots[_slots(keys, bits, turn)]
+        hit = (place >= 0) & (pairs[place] == keys)
         at, place = at[hit], place[hit]
         # in a run of one repeated symbol every other pair is taken
         run = np.flatnonzero(np.diff(at, prepend=-2) != 1)
-        begin = np.repeat(at[run], np.diff([*run, len(at)]))
+        begin = np.repeat(at[run], np.diff(run, append=len(at)))
         even = (at - begin) % 2 == 0
         at, place = at[even], place[even]
         left.append(pairs >> 32)
         right.append(pairs & 0xFFFFFFFF)
         sequence[at] = len(sizes) + place
         sizes = np.concatenate([sizes, sizes[left[-1]] + sizes[right[-1]]])
+        open_[at] = open_[np.maximum(at - 1, 0)] = True
         keep = np.ones(len(sequence), bool)
         keep[at + 1] = False
-        sequence = sequence[keep]
+        sequence, open_ = sequence[keep], open_[keep]
     join = lambda parts: np.concatenate(parts) if parts else np.zeros(0, np.int64)
     return Block(terminals, join(left), join(right), sizes[terminals:], sequence, documents)
 
 
+def _slots(keys: np.ndarray, bits: int, turn: int) -> np.ndarray:
+    """Hashes of so many bits, others in every round."""
+    return ((keys.view(U64) * U64(BASE + 2 * turn)) >> U64(64 - bits)).view(np.int64)
+
+
+def _apart(pairs: np.ndarray, symbols: int) -> np.ndarray:
+    """Those of the pairs, the most frequent first, of which no two can overlap: a symbol is only
+    a left side or only a right side in a round, the side of the most frequent pair it occurs
+    in; pairs that need it on the other side wait."""
+    a, b = pairs >> 32, pairs & 0xFFFFFFFF
+    rank = np.arange(len(pairs))
+    side = np.full(symbols, 2 * len(pairs), np.int64)
+    np.minimum.at(side, a, 2 * rank)
+    np.minimum.at(side, b, 2 * rank + 1)
+    twins = (a == b) & (side[a] == 2 * rank)
+    return pairs[(side[a] % 2 == 0) & (side[b] % 2 == 1) & (a != b) | twins]
+
+
 #: Byte values of two hashes; together they tell pieces apart.
 EXACT = [mix(np.arange(k, k + 256, dtype=U64) * U64(BASE)) for k in (1, 1001)]
 
