@@ -1,3 +1,6 @@
+import math
+import re
+
 import numpy as np
 import pytest
 
@@ -93,3 +96,48 @@ def test_the_classifier_is_fitted_in_300_steps(monkeypatch):
     monkeypatch.setattr(quality_rules, "STEPS", 300)
     longer, longer_bias = fit()
     assert np.array_equal(weights, longer) and bias == longer_bias
+
+
+def slow_ratios(text):
+    """The statistics by plain code."""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    lines = [re.findall(r"[^\x20\x09-\x0D]+", line) for line in text.split("\n")]
+    kept = [line for line, found in zip(text.split("\n"), lines, strict=True) if found]
+    size, n, chars = max(len(text.encode()), 1), max(len(words), 1), max(sum(map(len, words)), 1)
+    counted = dict(zip(("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"), slow_counts(text), strict=True))
+    share = lambda marks: sum(c in marks for c in text) / size
+    return {
+        "log_words": math.log1p(len(words)), "word_length": chars / n if words else 0,
+        "long_words": sum(len(w.encode()) > 20 for w in words) / n, "short_words": sum(len(w.encode()) < 3 for w in words) / n,
+        "distinct_words": len(set(words)) / n, "same_as_last": sum(a == b for a, b in zip(words, words[1:], strict=False)) / n,
+        "symbols": counted["n_symbols"] / chars, "dup_lines": (len(kept) - len(set(kept))) / max(len(kept), 1),
+        "repeat_words": counted["n_repeat_words"] / n, "line_words": math.log1p(len(words) / max(len(kept), 1)),
+        "upper": share("ABCDEFGHIJKLMNOPQRSTUVWXYZ"), "digits": share("0123456789"), "marks": share(".,;:!?'\"()-"),
+        "stops": share(".!?"), "not_ascii": sum(b > 127 for b in text.encode()) / size, "pipes": share("|"), "braces": share("{}<>=/\\_"),
+    }
+
+
+ODD_TEXTS = [
+    "", "one", " \n\t ", "a a a b\nsame line\nsame line\n", "日本語 テキスト ☃ #x $y", "A | B {c} <d> = / \\ _ 12.5%! ok?", "w" * 30 + " x\n\nx",
+    prose(1, 200), prose(2, 20) + "\n" + prose(2, 20), "MiXed Case MiXed case (well), so: \"it's\" - done.",
+]
+
+
+def test_statistics_equal_plain_counts(make):
+    rows = described(make([(i, t, None, None) for i, t in enumerate(ODD_TEXTS)])).collect()
+    assert len(rows) == len(ODD_TEXTS)
+    for r in rows:
+        assert {name: r[name] for name in RATIOS} == pytest.approx(slow_ratios(ODD_TEXTS[r.doc_id])), r.doc_id
+
+
+def test_compiled_scores_equal_rules_evaluated_by_hand(labelled, make):
+    docs, labels = labelled
+    sample = described(docs.join(labels.selectExpr("doc_id", "quality AS label"), "doc_id"), label=True)
+    intercept, rules = rule_ensemble.train(sample)
+    assert rules and all(weight for weight, _ in rules)
+    texts = {i: t for i, t in enumerate([*ODD_TEXTS, junk(4), junk(9), prose(7)])}
+    found = described(make([(i, t, None, None) for i, t in texts.items()]))
+    holds = {"<=": lambda a, b: a <= b, ">": lambda a, b: a > b}
+    for r in found.select("*", rule_ensemble.compiled(intercept, rules).alias("score")).collect():
+        met = [w for w, rule in rules if all(holds[sign](r[name], value) for name, sign, value in rule)]
+        assert r.score == pytest.approx(1 / (1 + math.exp(-intercept - sum(met))))
