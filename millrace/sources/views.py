@@ -17,9 +17,10 @@ def json_view(messages: DataFrame, name: str, schema: str, lenient: bool = True)
 def tokens_function(spark: SparkSession, name: str = "tokens") -> None:
     """A temporary table function for SQL, ``tokens(text)``: the rows of ``functions.text.tokens``,
     a token of each line with the count 1. Used as ``FROM lines, LATERAL tokens(text)``. Its body
-    is SQL, so a query over it is planned as one."""
+    is a single generator over its argument, which Spark puts over the caller's rows; of a body in
+    several steps it would make a join by the text, with both sides shuffled."""
     spark.sql(f"""
         CREATE OR REPLACE TEMPORARY FUNCTION {name}(text STRING) RETURNS TABLE (word STRING, n BIGINT)
-        RETURN SELECT word, 1L FROM (SELECT explode(split(text, '\\n')) AS line)
-          LATERAL VIEW explode(CASE WHEN length(line) > 0 AND rtrim(line) = '' THEN CAST(array() AS ARRAY<STRING>)
-                                    ELSE split(rtrim(line), ' ') END) t AS word""")
+        RETURN SELECT word, 1L FROM explode(flatten(transform(split(text, '\\n'), line ->
+          CASE WHEN length(line) > 0 AND rtrim(line) = '' THEN CAST(array() AS ARRAY<STRING>)
+               ELSE split(rtrim(line), ' ') END))) AS t(word)""")

@@ -10,6 +10,7 @@ from millrace.functions.messages import (
 )
 from millrace.functions.text import csv_key_ts, csv_pair, split_tokens, tokens, topic_list
 from millrace.functions.times import epoch_micros, format_time, utc_clock, wall_clock
+from millrace.sources.views import tokens_function
 
 
 def column(spark, values, expr):
@@ -30,6 +31,18 @@ def test_tokens_are_paired_with_one(spark):
     assert got == [(1, "a", 1), (1, "b", 1), (1, "", 1), (1, "a", 1)]
 
 
+def test_the_sql_function_gives_the_same_tokens_without_a_join(spark):
+    texts = ["a b", "a  b ", "", "  ", " a", None, "a b\n\n  \n a ", "a b", "\n"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string").repartition(3)
+    df.createOrReplaceTempView("lines_of_test")
+    tokens_function(spark, "tokens_of_test")
+    got = spark.sql("SELECT id, word, n FROM lines_of_test, LATERAL tokens_of_test(text)")
+    assert got.schema == tokens(df, "text", "id").schema
+    assert sorted(got.collect()) == sorted(tokens(df, "text", "id").collect())
+    # a join by the text would shuffle every text and every token with its text
+    assert "Join" not in got._jdf.queryExecution().executedPlan().toString()
+
+
 def test_topic_list():
     assert topic_list("event") == ["event"]
     assert topic_list("a,b") == ["a", "b"]
