@@ -88,6 +88,18 @@ def test_a_hot_key_is_cut(spark):
     assert max(sum(v.count(n) for v in by_key.values()) for n in range(ranges)) <= 350
 
 
+def test_many_ranges_take_few_tasks(spark):
+    rows, df = events(spark, 3000, hot=0.4)
+    ranged, ranges = add_range(df, ["k"], ["t", "seq"], 10)
+    sizes = {r[RANGE]: r["count"] for r in ranged.groupBy(RANGE).count().collect()}
+    assert ranges == 300 and sizes == dict.fromkeys(range(300), 10)
+    # a file per task; a task per range would send its figures and cuts for each to the driver
+    assert len(ranged.inputFiles()) <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+    of = {r.seq: r[RANGE] for r in ranged.collect()}
+    numbers = [of[r[0]] for r in sorted(in_order(rows), key=lambda r: r[2])]
+    assert numbers == sorted(numbers)
+
+
 def test_keys_of_several_columns_and_nulls(spark):
     df = spark.range(900).select(
         F.col("id").alias("seq"),
