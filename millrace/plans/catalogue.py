@@ -675,10 +675,12 @@ def q_ctas_copy(spark: SparkSession, sf: str) -> DataFrame:
 def in_batches(
     spark: SparkSession, sf: str, keys: dict[str, str], start: Callable[..., StreamingQuery], parts: int = 4
 ) -> None:
-    """Run a query over several batches, with a restart halfway.
+    """Run a query over several batches, restarted before each.
 
     The tables named in ``keys`` are written into growing folders, in ``parts`` by the
-    column given. ``start`` gets a stream of each folder, a file to a batch.
+    column given. ``start`` gets a stream of each folder, and what a part adds is a batch: by a
+    number of files there would be more batches the larger the tables are, each of which has
+    tasks for all its shuffle partitions, and files of a part would come in any order.
     """
     path = new_path(spark, "parts")
     sources = {name: table(spark, sf, name) for name in keys}
@@ -687,12 +689,8 @@ def in_batches(
         for name, key in keys.items():
             part = F.floor(F.col(key) * parts / F.lit(last[name] + 1))
             sources[name].where(part == i).write.mode("append").parquet(f"{path}/{name}")
-        if i in (parts // 2 - 1, parts - 1):
-            streams = [
-                spark.readStream.schema(sources[name].schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/{name}")
-                for name in keys
-            ]
-            start(*streams).awaitTermination()
+        streams = [spark.readStream.schema(sources[name].schema).parquet(f"{path}/{name}") for name in keys]
+        start(*streams).awaitTermination()
 
 
 @query(f"""

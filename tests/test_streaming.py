@@ -15,6 +15,7 @@ from millrace.operators.route import ROUTED_SCHEMA, route
 from millrace.operators.running import running_totals
 from millrace.operators.watermark import flag_late
 from millrace.operators.windows import collect_window, tumbling
+from millrace.plans.catalogue import in_batches
 from millrace.plans.jobs import (
     look_up_clients, messages_to_tables, name_events, project_view, window_report, word_count,
 )
@@ -519,3 +520,19 @@ def test_printing(spark, tmp_path, capsys):
     query.awaitTermination()
     assert query.lastProgress.numInputRows == 1
     assert capsys.readouterr().out == "batch 0: value\nhello\n"
+
+
+def test_batches_do_not_grow_with_the_files_of_a_table(spark, tmp_path):
+    """A part of a table is a batch, whatever number of files it has."""
+    df = spark.range(4000).select("id", (F.col("id") % 7).alias("k"))
+    df.repartition(12).write.parquet(f"{tmp_path}/in/numbers.parquet")
+    seen = []
+
+    def start(stream):
+        def write(batch, batch_id):
+            seen.append((batch_id, sorted(r.id for r in batch.collect())))
+
+        return start_batches(stream, write, f"{tmp_path}/checkpoint")
+
+    in_batches(spark, f"{tmp_path}/in", {"numbers": "id"}, start)
+    assert seen == [(i, list(range(1000 * i, 1000 * (i + 1)))) for i in range(4)]
