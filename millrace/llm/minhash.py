@@ -380,7 +380,7 @@ def deduplicated(docs: DataFrame, like: Likeness = Likeness()) -> DataFrame:
     Rows are told apart by a number of their own, so one id may have several texts, and
     travel as one column, so theirs may have any names."""
     with working(docs.sparkSession):
-        rows = materialise(docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.monotonically_increasing_id().alias("number")), "rows")
+        rows = materialise(docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.monotonically_increasing_id().alias("number")), "rows", codec="zstd")
         known = F.col("row.doc_id").isNotNull()
         found = near_duplicates(
             rows.where(known).select(F.col("number").alias("doc_id"), F.col("row.text").alias("text")), like
@@ -388,4 +388,4 @@ def deduplicated(docs: DataFrame, like: Likeness = Likeness()) -> DataFrame:
         ids = rows.select("number", F.col("row.doc_id").cast("long").alias("id"))
         first = found.join(ids, "number").groupBy("component").agg(F.min(F.struct("id", "number")).alias("first"))
         kept = rows.where(known).join(first.select("first.number"), "number", "left_semi")
-        return materialise(kept.unionByName(rows.where(~known)).select("row.*"), "deduplicated", keep=True)
+        return materialise(kept.unionByName(rows.where(~known)).select("row.*"), "deduplicated", keep=True, codec="zstd")

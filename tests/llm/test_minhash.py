@@ -1,6 +1,7 @@
 from collections import Counter
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 
 from millrace.llm import minhash
@@ -124,3 +125,10 @@ def test_long_chains_become_one_component(spark):
     found = {r.id: r.component for r in components(links).collect()}
     assert found == {k: 0 for k in range(1, 61)} | {101: 100}
     assert components(links.where("false")).count() == 0
+
+
+def test_texts_copied_for_the_deduplication_are_compressed_well(spark):
+    docs = spark.createDataFrame([(i, f"text {i} " * 9) for i in range(6)], "doc_id long, text string")
+    got = minhash.deduplicated(docs)
+    codecs = {pq.ParquetFile(path.removeprefix("file://").removeprefix("file:")).metadata.row_group(0).column(0).compression for path in got.inputFiles()}
+    assert codecs == {"ZSTD"} and got.count() == 6
