@@ -18,9 +18,11 @@ def tokens_function(spark: SparkSession, name: str = "tokens") -> None:
     """A temporary table function for SQL, ``tokens(text)``: the rows of ``functions.text.tokens``,
     a token of each line with the count 1. Used as ``FROM lines, LATERAL tokens(text)``. Its body
     is a single generator over its argument, which Spark puts over the caller's rows; of a body in
-    several steps it would make a join by the text, with both sides shuffled."""
-    spark.sql(f"""
+    several steps it would make a join by the text, with both sides shuffled.
+
+    Lines of spaces only are taken out, each with the line break before it, then the spaces at
+    the ends of lines; a line break is put before the first line, whose empty token is cut off."""
+    spark.sql(rf"""
         CREATE OR REPLACE TEMPORARY FUNCTION {name}(text STRING) RETURNS TABLE (word STRING, n BIGINT)
-        RETURN SELECT word, 1L FROM explode(flatten(transform(split(text, '\\n'), line ->
-          CASE WHEN length(line) > 0 AND rtrim(line) = '' THEN CAST(array() AS ARRAY<STRING>)
-               ELSE split(rtrim(line), ' ') END))) AS t(word)""")
+        RETURN SELECT word, 1L FROM explode(CAST(slice(split(regexp_replace(regexp_replace(concat(char(10), text),
+          r'\n +(?=\n|\z)', ''), r'(?<! ) +(?=\n|\z)', ''), r'[ \n]'), 2, 2147483647) AS ARRAY<STRING>)) AS t(word)""")

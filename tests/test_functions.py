@@ -32,7 +32,7 @@ def test_tokens_are_paired_with_one(spark):
 
 
 def test_the_sql_function_gives_the_same_tokens_without_a_join(spark):
-    texts = ["a b", "a  b ", "", "  ", " a", None, "a b\n\n  \n a ", "a b", "\n"]
+    texts = ["a b", "a  b ", "", "  ", " a", None, "a b\n\n  \n a ", "a b", "\n", "  \n  \nb", "a  \n", "a\n   ", "\n  \n\n", "é\r\n ü\t \n\u2028x \u3000", "a" + " " * 200_000 + "b"]
     df = spark.createDataFrame(list(enumerate(texts)), "id int, text string").repartition(3)
     df.createOrReplaceTempView("lines_of_test")
     tokens_function(spark, "tokens_of_test")
